@@ -41,10 +41,10 @@ def remove_stop_words(words: Column, stop_words: Iterable[str] = ENGLISH) -> Col
 def keyword_flag(
     text: Column, keyword: str, stop_words: Iterable[str] = ENGLISH
 ) -> Column:
-    """1 when ``keyword`` occurs in the text left after stop-word removal, else 0.
+    """Whether ``keyword`` occurs in the text left after stop-word removal.
 
     The text left over is its tokens joined by commas, and the keyword is a
-    plain case-sensitive substring of that.  NULL text gives 0.
+    plain case-sensitive substring of that.  NULL text gives false.
 
     Only a keyword with a comma can span two tokens, so every other keyword is
     decided on the raw text without building the token array:
@@ -66,7 +66,7 @@ def keyword_flag(
         hit = F.contains(lowered, F.lit(keyword))
     else:
         hit = lowered.rlike(_token_with(keyword, holders))
-    return F.coalesce(hit.cast("int"), F.lit(0))
+    return F.coalesce(hit, F.lit(False))
 
 
 def _token_with(keyword: str, holders: list[str]) -> str:

@@ -19,6 +19,10 @@ from reviewmart.scratch import stage
 
 POSITION = ("file_path", "block_start", "scan_order")
 
+# Up to this many file blocks their offsets are broadcast (some 100 bytes each);
+# beyond it both sides are shuffled by block.
+MAX_BROADCAST_BLOCKS = 1_000_000
+
 
 def with_file_position(scan: DataFrame) -> DataFrame:
     """Add the position columns to rows that come straight from a file scan.
@@ -59,15 +63,18 @@ def block_offsets(positioned: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(positioned: DataFrame, id_column: str) -> DataFrame:
+def number_rows(
+    positioned: DataFrame, id_column: str, max_broadcast: int = MAX_BROADCAST_BLOCKS
+) -> DataFrame:
     """Replace the position columns of a *written* table by an id 1..n.
 
     The table must be written because a second scan of the raw files may be
     split differently, for instance after executors were lost or added.  The
-    offsets are written too: their real size then decides whether Spark
-    broadcasts them or shuffles both sides.
+    offsets are written and counted: when they are few, no row moves.
     """
     offsets = stage(block_offsets(positioned), "block-offsets")
+    if offsets.count() <= max_broadcast:
+        offsets = F.broadcast(offsets)
     row_id = F.col("rows_before") + F.col("scan_order") - F.col("first_scan") + 1
     payload = [c for c in positioned.columns if c not in POSITION]
     return positioned.join(offsets, ["file_path", "block_start"]).select(

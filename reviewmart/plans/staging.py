@@ -23,6 +23,11 @@ def review_tokens(reviews: DataFrame, stop_words: Iterable[str] = ENGLISH) -> Da
     )
 
 
+def flags_as_int(df: DataFrame, *flags: str) -> DataFrame:
+    """Each boolean column as 0 or 1, in place."""
+    return df.withColumns({f: F.col(f).cast("int") for f in flags})
+
+
 def staged_reviews(
     reviews: DataFrame,
     keyword: str = DEFAULT_KEYWORD,
@@ -30,11 +35,12 @@ def staged_reviews(
 ) -> DataFrame:
     """One narrow row per raw review.  No shuffle."""
     flag = keyword_flag(F.col("review_str"), keyword, stop_words)
-    return reviews.select(
+    flagged = reviews.select(
         F.col("cid").alias("user_id"),
         flag.alias("positive_review"),
         F.col("id_review").alias("review_id"),
     )
+    return flags_as_int(flagged, "positive_review")
 
 
 def preview(df: DataFrame, key: str, rows: int = 10) -> DataFrame:

@@ -13,14 +13,26 @@ from reviewmart.sources.csv import DIALECT
 # Formats the catalog stores itself; any other name is a connector.
 CATALOG_FORMATS = frozenset({"parquet", "orc", "csv", "json"})
 
+# Spark would trim fields and cut timestamps to milliseconds.
+EXACT = {
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
+}
+
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Uncompressed, with a header line in every file."""
-    df.write.mode("overwrite").options(**DIALECT).csv(path, compression="none")
+    """Uncompressed, with a header line in every file.
+
+    Reading back gives the same rows, but for empty strings: they become NULL.
+    """
+    writer = df.write.mode("overwrite").options(**DIALECT, **EXACT)
+    writer.csv(path, compression="none")
 
 
 def write_table(

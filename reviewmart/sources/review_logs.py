@@ -41,18 +41,22 @@ def read_logs_csv(
 def read_logs_text(
     spark: SparkSession, path: str | list[str], row_tag: str = ROW_TAG
 ) -> DataFrame:
-    """Text files, any number of whole records per line, no ids.
+    """Files of records in any arrangement, on one line or over many, no ids.
 
+    The text is cut at the closing tag, so large files are read by many tasks.
     Rows carry their file position, for ``number_rows``.
     """
     paths = [path] if isinstance(path, str) else path
-    lines = spark.read.text(paths).select("value", "_metadata")
-    found = F.regexp_extract_all("value", F.lit(f"({_element(row_tag)})"), F.lit(1))
-    records = lines.select(F.explode(found).alias("xml"), "_metadata")
-    placed = with_file_position(records)
-    return placed.withColumn("r", parse_record(F.col("xml"))).select(
-        "r.*", *POSITION
+    closing = f"</{row_tag}>"
+    opening = rf"<{row_tag}(?:\s[^>]*)?>"
+    chunks = spark.read.option("lineSep", closing).text(paths)
+    # Text before the first record's opening tag or after the last one is no record.
+    body = F.regexp_extract("value", f"(?s){opening}.*", 0)
+    records = chunks.where(F.col("value").rlike(opening)).select(
+        F.concat(body, F.lit(closing)).alias("xml"), "_metadata"
     )
+    record = parse_record(F.col("xml")).alias("r")
+    return with_file_position(records).select(record, *POSITION).select("r.*", *POSITION)
 
 
 def read_logs_xml(
@@ -61,12 +65,14 @@ def read_logs_xml(
     row_tag: str = ROW_TAG,
     root_tag: str = ROOT_TAG,
 ) -> DataFrame:
-    """XML files whose records may run over several lines, no ids.
+    """XML files by Spark's XML source, no ids.
 
-    Rows carry their file position, for ``number_rows``.
+    For files ``read_logs_text`` cannot cut, such as closing tags with spaces.
+    Spark reads each file in one task, so deliver many files.  Rows carry their
+    file position, for ``number_rows``.
     """
     reader = spark.read.format("xml").schema(LOG_RECORD)
     reader = reader.option("rowTag", row_tag).option("rootTag", root_tag)
-    # The other reader does not split files and rejects text around records.
+    # The other parser rejects files without a single root element.
     rows = reader.option("useLegacyXMLParser", "true").load(path)
     return with_file_position(rows.select("*", "_metadata"))

@@ -33,6 +33,18 @@ def _plain(value):
     return repr(value)
 
 
+def _type(name: str) -> str:
+    """A DuckDB type as Spark names it."""
+    names = {
+        "BIGINT": "bigint",
+        "INTEGER": "int",
+        "VARCHAR": "string",
+        "DATE": "date",
+        "TIMESTAMP": "timestamp_ntz",
+    }
+    return names.get(name, name.lower())
+
+
 def _bag(names: list[str], rows: list[tuple]) -> list[tuple]:
     order = sorted(range(len(names)), key=lambda i: names[i])
     return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
@@ -44,9 +56,12 @@ def compare(spark, con, query, sql: str, sf_dir: str) -> str | None:
     ours = [tuple(r) for r in df.collect()]
     con.execute(sql)
     names = [d[0] for d in con.description]
+    kinds = {d[0]: _type(str(d[1])) for d in con.description}
     theirs = con.fetchall()
     if sorted(df.columns) != sorted(names):
         return f"columns {df.columns} against {names}"
+    if dict(df.dtypes) != kinds:
+        return f"types {dict(df.dtypes)} against {kinds}"
     if len(ours) != len(theirs):
         return f"{len(ours)} rows against {len(theirs)}"
     a, b = _bag(df.columns, ours), _bag(names, theirs)

@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from reviewmart.operators.joins import SHARES, hot_key_parts, left_join
+from conftest import plan_text
+
+LEFT = "k int, a int"
+RIGHT = "j int, b int"
+
+
+def brute_force(left, right):
+    out = []
+    for k, a in left:
+        hits = [(j, b) for j, b in right if k is not None and j == k]
+        out += [(k, a, j, b) for j, b in hits] or [(k, a, None, None)]
+    return sorted(out, key=repr)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def skewed(seed, n, hot, null_share=0.2):
+    """A third of the rows has key ``hot``; many rows are copies of each other."""
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        x = rnd.random()
+        key = hot if x < 1 / 3 else None if x < 1 / 3 + null_share else rnd.randrange(40)
+        out.append((key, rnd.randrange(3)))
+    return out
+
+
+CASES = {
+    "hot left": (skewed(1, 300, 5), skewed(2, 30, 50, 0)),
+    "hot right": (skewed(3, 60, 50), skewed(4, 300, 5)),
+    "hot both": (skewed(5, 90, 5), skewed(6, 90, 5)),
+    "different hot keys": (skewed(7, 120, 5), skewed(8, 120, 6)),
+    "right key unknown on the left": (skewed(9, 100, 5), skewed(10, 100, 77)),
+    "left key unknown on the right": (skewed(11, 100, 77), skewed(12, 50, 5)),
+    "only nulls": ([(None, i) for i in range(50)], [(None, 1), (2, 2)]),
+    "empty right": (skewed(13, 100, 5), []),
+    "empty left": ([], skewed(14, 100, 5)),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+@pytest.mark.parametrize("min_rows", [1, 7, 25, 1_000_000])
+def test_equals_brute_force(spark, conf, case, min_rows):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    left, right = CASES[case]
+    l = spark.createDataFrame(left, LEFT).repartition(3)
+    r = spark.createDataFrame(right, RIGHT).repartition(3)
+    parts_l = hot_key_parts(l, "k", min_rows=min_rows)["k"]
+    parts_r = hot_key_parts(r, "j", min_rows=min_rows)["j"]
+    got = left_join(l, r, "k", "j", parts_l, parts_r)
+    assert got.columns == ["k", "a", "j", "b"]
+    assert rows(got) == brute_force(left, right)
+
+
+def test_parts_of_hot_values(spark):
+    values = [7] * 500 + [None] * 300 + [9] * 150 + list(range(100, 150))
+    df = spark.createDataFrame([(v, str(v)) for v in values], "k int, s string")
+    parts = hot_key_parts(df, "k", "s", min_rows=100)
+    assert parts["k"] == {7: 5, None: 3, 9: 2}
+    assert parts["s"] == {"7": 5, "None": 3, "9": 2}
+    assert hot_key_parts(df, "k") == {"k": {}}
+    assert hot_key_parts(df.limit(0), "k", min_rows=1) == {"k": {}}
+
+
+def test_fewer_than_shares_values_are_hot(spark):
+    df = spark.range(50 * 2 * SHARES).select((F.col("id") % (2 * SHARES)).alias("k"))
+    assert hot_key_parts(df, "k", min_rows=1) == {"k": {}}
+
+
+def test_no_hot_key_leaves_a_plain_join(spark):
+    l = spark.createDataFrame([(1, 2)], LEFT)
+    r = spark.createDataFrame([(1, 2)], RIGHT)
+    plan = plan_text(left_join(l, r, "k", "j", {}, {}))
+    assert plan.count("Join LeftOuter") + plan.count("LeftOuter") >= 1
+    assert "Generate" not in plan and "xxhash64" not in plan
+
+
+def test_hot_key_rows_are_spread(spark, conf):
+    """No task of the join holds much more than its share of a hot key."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1",
+         spark__sql__adaptive__enabled="false")
+    df = spark.range(0, 30_000, 1, 10)
+    key = F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 3 == 1, F.col("id"))
+    l = df.select(key.cast("int").alias("k"), F.lit(1).alias("a"))
+    r = spark.range(40_000).select(F.col("id").cast("int").alias("j"), F.lit(1).alias("b"))
+    conf(spark__sql__shuffle__partitions="32")
+    # A third has key 5, a third has none.
+    plain = left_join(l, r, "k", "j")
+    cut = left_join(l, r, "k", "j", hot_key_parts(l, "k", min_rows=100)["k"])
+
+    def largest(joined):
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        return max(s["count"] for s in sizes)
+
+    assert plain.count() == cut.count() == 30_000
+    assert largest(plain) > 10_000
+    assert largest(cut) < 3_000
+
+
+def test_copies_of_one_row_are_spread_over_tasks(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1",
+         spark__sql__adaptive__enabled="false",
+         spark__sql__shuffle__partitions="32")
+    l = spark.createDataFrame([(5, 1), (6, 1)], LEFT)
+    r = spark.range(0, 20_000, 1, 40).select(F.lit(5).alias("j"), F.lit(1).alias("b"))
+    parts = hot_key_parts(r, "j", min_rows=500)["j"]
+    joined = left_join(l, r, "k", "j", {}, parts)
+    assert joined.count() == 20_001
+    sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert max(s["count"] for s in sizes) < 6_000
