@@ -42,6 +42,7 @@ def parser() -> argparse.ArgumentParser:
     cmd.add_argument("--output", required=True)
     cmd.add_argument("--layout", choices=("csv", "text", "xml"), default="csv")
     cmd.add_argument("--row-tag", default="log")
+    cmd.add_argument("--multi-line", action="store_true")
 
     for name, text in (
         ("build-dims", "five dimension tables"),
@@ -76,7 +77,9 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.input, args.output, args.keyword, args.multi_line
         )
     elif args.command == "stage-logs":
-        jobs.stage_logs(spark, args.input, args.output, args.layout, args.row_tag)
+        jobs.stage_logs(
+            spark, args.input, args.output, args.layout, args.row_tag, args.multi_line
+        )
     else:
         warehouse = jobs.Warehouse(
             args.database, args.format, args.location, dict(args.option)

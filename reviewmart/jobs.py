@@ -18,7 +18,8 @@ from reviewmart.plans.staging import (
     staged_reviews,
 )
 from reviewmart.schemas import PURCHASES, STAGED_LOGS
-from reviewmart.scratch import stage
+from reviewmart.scratch import scratch_folder, stage
+from reviewmart.session import shuffles_sized_for
 from reviewmart.sinks.writers import (
     create_table,
     full_refresh,
@@ -26,7 +27,7 @@ from reviewmart.sinks.writers import (
     write_parquet,
     write_table,
 )
-from reviewmart.sources.csv import read_purchases, read_reviews
+from reviewmart.sources.csv import read_csv, read_purchases, read_reviews
 from reviewmart.sources.review_logs import read_logs_csv, read_logs_text, read_logs_xml
 from reviewmart.sources.tables import read_staged_logs, read_staged_reviews, read_table
 
@@ -61,9 +62,13 @@ def load_purchases(
     location: str | None = None,
     multi_line: bool = False,
 ) -> None:
-    """Land purchases: afterwards the table holds exactly the rows of the files."""
+    """Land purchases: afterwards the table holds exactly the rows of the files.
+
+    Columns go by position, and a value that does not parse fails the load.
+    """
     create_table(spark, table, PURCHASES, location)
-    full_refresh(read_purchases(spark, csv_path, multi_line), table)
+    rows = read_csv(spark, csv_path, PURCHASES, multi_line, by_name=False, strict=True)
+    full_refresh(rows, table)
 
 
 def export_purchases(spark: SparkSession, table: str, csv_path: str) -> None:
@@ -87,21 +92,25 @@ def stage_logs(
     out_path: str,
     layout: str = "csv",
     row_tag: str = "log",
+    multi_line: bool = False,
 ) -> None:
     """Parse log records and give each an id.
 
-    ``csv``: id and XML text on one line, the record's own id is kept.
-    ``text``: whole records on lines, numbered in file order.
-    ``xml``: records of any shape, numbered in file order.
+    ``csv``: id and XML text in two columns, the record's own id is kept.
+    ``text``: records in any arrangement, numbered in file order.
+    ``xml``: the same by Spark's XML source, one task per file.
     """
     if layout == "csv":
-        logs = read_logs_csv(spark, path, row_tag)
-    elif layout in ("text", "xml"):
-        reader = read_logs_text if layout == "text" else read_logs_xml
-        logs = number_rows(stage(reader(spark, path, row_tag), "logs"), "id_review")
-    else:
+        logs = read_logs_csv(spark, path, row_tag, multi_line)
+        write_parquet(logs.select(*STAGED_LOGS.names), out_path)
+        return
+    readers = {"text": read_logs_text, "xml": read_logs_xml}
+    if layout not in readers:
         raise ValueError(f"unknown log layout {layout!r}")
-    write_parquet(logs.select(*STAGED_LOGS.names), out_path)
+    with scratch_folder(spark, "stage-logs") as folder:
+        parsed = stage(readers[layout](spark, path, row_tag), "parsed", folder)
+        logs = number_rows(parsed, "id_review", folder=folder)
+        write_parquet(logs.select(*STAGED_LOGS.names), out_path)
 
 
 def build_dims(spark: SparkSession, logs_path: str, warehouse: Warehouse) -> None:
@@ -125,11 +134,18 @@ def build_facts(
     that follows, so nothing is computed twice and both facts carry the same
     totals.
     """
-    parts = [read_staged_reviews(spark, p) for p in reviews_paths]
-    reviews = stage(reviews_union(*parts), "reviews")
-    purchases = read_purchases(spark, purchases_csv)
-    users = stage(fct_users(purchases, reviews, load_ts), "users")
-    warehouse.write(users, "fct_users")
-
-    logs = split_os_browser(read_staged_logs(spark, logs_path))
-    warehouse.write(fct_movie_analytics(reviews, logs, users), "fct_movie_analytics")
+    purchases_csv = [purchases_csv] if isinstance(purchases_csv, str) else purchases_csv
+    inputs = (*purchases_csv, *reviews_paths, logs_path)
+    with (
+        scratch_folder(spark, "build-facts") as folder,
+        shuffles_sized_for(spark, *inputs),
+    ):
+        parts = [read_staged_reviews(spark, p) for p in reviews_paths]
+        reviews = stage(reviews_union(*parts), "reviews", folder)
+        purchases = read_purchases(spark, purchases_csv)
+        users = stage(fct_users(purchases, reviews, load_ts), "users", folder)
+        warehouse.write(users, "fct_users")
+
+        logs = split_os_browser(read_staged_logs(spark, logs_path))
+        fact = fct_movie_analytics(reviews, logs, users)
+        warehouse.write(fact, "fct_movie_analytics")

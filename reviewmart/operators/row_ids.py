@@ -64,15 +64,19 @@ def block_offsets(positioned: DataFrame) -> DataFrame:
 
 
 def number_rows(
-    positioned: DataFrame, id_column: str, max_broadcast: int = MAX_BROADCAST_BLOCKS
+    positioned: DataFrame,
+    id_column: str,
+    max_broadcast: int = MAX_BROADCAST_BLOCKS,
+    folder: str | None = None,
 ) -> DataFrame:
     """Replace the position columns of a *written* table by an id 1..n.
 
     The table must be written because a second scan of the raw files may be
     split differently, for instance after executors were lost or added.  The
-    offsets are written and counted: when they are few, no row moves.
+    offsets are written, to ``folder`` if given, and counted: when they are few,
+    no row moves.
     """
-    offsets = stage(block_offsets(positioned), "block-offsets")
+    offsets = stage(block_offsets(positioned), "block-offsets", folder)
     if offsets.count() <= max_broadcast:
         offsets = F.broadcast(offsets)
     row_id = F.col("rows_before") + F.col("scan_order") - F.col("first_scan") + 1

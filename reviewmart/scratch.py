@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,13 +33,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/reviewmart/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A fresh folder that is gone when the block ends."""
+    folder = scratch_path(spark, label)
+    try:
+        yield folder
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(path, True)
+
+
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and return the written table.
 
     Later readers share one computation, get real size statistics for join
-    planning, and prune columns.
+    planning, and prune columns.  Without a ``folder`` the table stays, as a
+    checkpoint would.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = f"{folder}/{label}" if folder else scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

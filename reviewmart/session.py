@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -20,8 +24,7 @@ SETTINGS = {
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings above.
 
-    On a cluster pass ``spark.sql.shuffle.partitions`` as shuffled bytes over
-    the advisory size, and ``spark.checkpoint.dir`` as a shared folder.
+    On a cluster pass ``spark.checkpoint.dir`` as a folder all executors share.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -29,3 +32,38 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+# One shuffle partition for this much stored input; AQE merges those that turn
+# out small.  Rows are some three times larger in a shuffle than in Parquet.
+INPUT_PER_PARTITION = 48 << 20
+MAX_PARTITIONS = 32_768
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of all files under ``paths``; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    total = files.load(list(paths)).agg(F.sum("length")).first()[0]
+    return total or 0
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, *paths: str) -> Iterator[int]:
+    """Start shuffles with enough partitions for the given inputs.
+
+    Never fewer than the session asks for.  What is shuffled inside the block
+    must be written inside it.
+    """
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-stored_bytes(spark, *paths) // INPUT_PER_PARTITION)
+    partitions = max(asked, min(wanted, MAX_PARTITIONS))
+    before = spark.conf.get(INITIAL, None)
+    spark.conf.set(INITIAL, partitions)
+    try:
+        yield partitions
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL)
+        else:
+            spark.conf.set(INITIAL, before)

@@ -20,14 +20,38 @@ def read_csv(
     path: str | list[str],
     schema: T.StructType,
     multi_line: bool = False,
+    by_name: bool = True,
+    strict: bool = False,
 ) -> DataFrame:
-    """Files with a header line.
+    """Files with a header line, as the columns of ``schema``.
+
+    ``by_name`` finds the columns by the header, in any order and among others;
+    all files must agree.  Otherwise they go by position and the header is
+    skipped.  A value that does not parse is NULL, or an error when ``strict``.
 
     ``multi_line`` allows line breaks inside quoted fields; such files are read
     one task per file, so deliver them in many files.
     """
-    reader = spark.read.schema(schema).options(**DIALECT)
-    return reader.option("multiLine", multi_line).csv(path)
+    reader = spark.read.options(**DIALECT).option("multiLine", multi_line)
+    reader = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    if by_name:
+        # Only the first line of one file is read for this.
+        header = reader.csv(path).columns
+        reader = reader.schema(_in_header_order(schema, header))
+        reader = reader.option("enforceSchema", "false")
+    else:
+        reader = reader.schema(schema)
+    return reader.csv(path).select(*schema.names)
+
+
+def _in_header_order(schema: T.StructType, header: list[str]) -> T.StructType:
+    declared = {f.name.lower(): f for f in schema.fields}
+    missing = declared.keys() - {name.lower() for name in header}
+    if missing:
+        raise ValueError(f"no column {sorted(missing)} in header {header}")
+    return T.StructType(
+        [declared.get(n.lower(), T.StructField(n, T.StringType())) for n in header]
+    )
 
 
 def read_purchases(

@@ -7,10 +7,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from reviewmart import jobs
+from reviewmart import jobs, session
 from reviewmart.__main__ import main
 from reviewmart.schemas import PURCHASES, STAGED_REVIEWS
-from reviewmart.scratch import scratch_path, scratch_root, stage
+from reviewmart.scratch import scratch_folder, scratch_path, scratch_root, stage
 from reviewmart.sinks import writers
 from reviewmart.sources import csv, tables
 
@@ -55,6 +55,40 @@ def test_csv_empty_fields_are_null(spark, tmp_path):
     ]
 
 
+def test_csv_columns_go_by_header_name(spark, tmp_path):
+    (tmp_path / "r.csv").write_text(
+        'extra,id_review,CID,review_str\n"a,b",5,1,good\nx,y,z,\n'
+    )
+    rows = csv.read_reviews(spark, str(tmp_path / "r.csv"))
+    assert rows.columns == ["cid", "review_str", "id_review"]
+    assert bag(rows) == [(1, "good", 5), (None, None, None)]
+    assert rows.select("id_review").collect() == [(5,), (None,)]
+
+
+def test_csv_without_a_column_is_an_error(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("cid,review\n1,good\n")
+    with pytest.raises(ValueError, match="id_review"):
+        csv.read_reviews(spark, str(tmp_path / "r.csv"))
+
+
+def test_csv_files_with_other_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("cid,review_str,id_review\n1,good,2\n")
+    (tmp_path / "2.csv").write_text("id_review,review_str,cid\n1,good,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv.read_reviews(spark, str(tmp_path)).collect()
+
+
+def test_loading_goes_by_position_and_stops_at_bad_values(spark, tmp_path):
+    name = new_name()
+    good = "1,s,d,2,2021-01-02 03:04:05,2.500,1,UK\n"
+    (tmp_path / "p.csv").write_text("a,b,c,d,e,f,g,h\n" + good)
+    jobs.load_purchases(spark, str(tmp_path / "p.csv"), name)
+    assert bag(spark.table(name).select("invoice_number", "country")) == [("1", "UK")]
+    (tmp_path / "q.csv").write_text("a,b,c,d,e,f,g,h\n" + good.replace(",2,", ",two,"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        jobs.load_purchases(spark, str(tmp_path / "q.csv"), name)
+
+
 def test_loading_twice_is_loading_once(spark, tmp_path, bought):
     path, name = str(tmp_path / "csv"), new_name()
     writers.write_csv(bought, path)
@@ -135,6 +169,27 @@ def test_scratch_follows_the_cluster_setting(spark):
     assert stage(df, "x").dtypes == df.dtypes and stage(df, "x").count() == 5
 
 
+def test_scratch_folder_is_gone_afterwards(spark):
+    with scratch_folder(spark, "x") as folder:
+        assert stage(spark.range(5), "t", folder).count() == 5
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        spark.read.parquet(f"{folder}/t")
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.range(1000).write.parquet(path)
+    size = session.stored_bytes(spark, path)
+    assert size == sum(p.stat().st_size for p in (tmp_path / "t").glob("*.parquet"))
+    before = spark.conf.get(session.INITIAL, None)
+    with session.shuffles_sized_for(spark, path) as partitions:
+        assert partitions == 8 == int(spark.conf.get(session.INITIAL))
+    monkeypatch.setattr(session, "INPUT_PER_PARTITION", size // 20)
+    with session.shuffles_sized_for(spark, path) as partitions:
+        assert partitions in (20, 21)
+    assert spark.conf.get(session.INITIAL, None) == before
+
+
 def test_whole_mart_by_command_line(spark, tmp_path):
     """Raw files in, seven tables out, with overlapping review deliveries."""
     raw, work = tmp_path / "raw", tmp_path / "work"
