@@ -189,5 +189,6 @@ def oracle_sql() -> dict[str, str]:
                    logDate, device, location, os, browser
             FROM movies LEFT JOIN enriched ON review_id = id_review""",
         "fct_movie_analytics": _FACT,
+        "fct_movie_analytics_hot_keys": _FACT,
         "mart_from_files": _FACT,
     }
