@@ -118,16 +118,21 @@ FROM movies
 LEFT JOIN enriched ON review_id = id_review
 LEFT JOIN users ON user_id = customer_id"""
 
-_DIM_DATE = f"""WITH {_LOGS}
+# Month and season.
+_SEASONS = """
+seasons(m, season) AS (VALUES
+  (1, 'winter'), (2, 'winter'), (3, 'spring'), (4, 'spring'), (5, 'spring'),
+  (6, 'summer'), (7, 'summer'), (8, 'summer'), (9, 'autumn'), (10, 'autumn'),
+  (11, 'autumn'), (12, 'winter')
+)"""
+
+_DIM_DATE = f"""WITH {_LOGS}, {_SEASONS}
 SELECT id_review AS id_dim_date, log_date,
        CAST(day(log_date) AS VARCHAR) AS day,
        CAST(month(log_date) AS VARCHAR) AS month,
        CAST(year(log_date) AS VARCHAR) AS year,
-       CASE WHEN month(log_date) IN (12, 1, 2) THEN 'winter'
-            WHEN month(log_date) IN (3, 4, 5) THEN 'spring'
-            WHEN month(log_date) IN (6, 7, 8) THEN 'summer'
-            WHEN month(log_date) IN (9, 10, 11) THEN 'autumn' END AS season
-FROM dated"""
+       season
+FROM dated LEFT JOIN seasons ON m = month(log_date)"""
 
 
 def _dim(name: str, key: str) -> str:
@@ -177,7 +182,7 @@ def oracle_sql() -> dict[str, str]:
         "dim_os": _dim("os", "id_dim_os"),
         "dim_browser": _dim("browser", "id_dim_browser"),
         "dim_date_table": _DIM_DATE,
-        "season_counts_sql": f"""WITH {_LOGS}, dim_date AS ({_DIM_DATE})
+        "season_counts_sql": f"""WITH dim_date AS ({_DIM_DATE})
             SELECT season, count(*) AS n_logs FROM dim_date GROUP BY season""",
         # facts
         "spend_per_customer": f"WITH {_PURCHASES}, {_SPEND} SELECT * FROM spend",

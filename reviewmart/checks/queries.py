@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from reviewmart.sources import csv, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-LOAD_TS = datetime(2024, 1, 1)
+LOAD_TS = datetime(2024, 1, 1, tzinfo=timezone.utc)
 # Occurs in the given texts and in no stop word.
 PLAIN_KEYWORD = "tion"
 # Occurs in the given texts, is a stop word and part of others.
@@ -192,7 +192,9 @@ def fct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = facts.fct_users(
         inputs.purchases(spark, sf_dir), reviews_union(spark, sf_dir), LOAD_TS
     )
-    return users.withColumn("insert_date", F.col("insert_date").cast("timestamp_ntz"))
+    # As a zoneless UTC time, whatever the session's zone.
+    local = F.col("insert_date").cast("timestamp_ntz")
+    return users.withColumn("insert_date", F.convert_timezone(None, F.lit("UTC"), local))
 
 
 def reviews_with_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
