@@ -8,30 +8,31 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+# Adaptive execution merges small shuffle partitions to the advisory size.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
-    # Start wide and let AQE merge small partitions to the advisory size.
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.files.maxPartitionBytes": "128m",
-    "spark.ui.enabled": "false",
 }
 
 
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
-    """A session with the settings above.
+    """A session with the settings above, where neither cluster nor caller differ.
 
     On a cluster pass ``spark.checkpoint.dir`` as a folder all executors share.
     """
-    builder = SparkSession.builder.appName(app)
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in SETTINGS.items():
+        if not given.contains(key) and key not in settings:
+            spark.conf.set(key, value)
+    return spark
 
 
 # One shuffle partition for this much stored input; AQE merges those that turn
