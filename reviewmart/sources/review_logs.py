@@ -16,13 +16,16 @@ from reviewmart.sources.csv import read_csv
 ROW_TAG = "log"
 ROOT_TAG = "reviewlog"
 
+# Spaces around a value belong to it: they count when the agent is split.
+PARSING = {"ignoreSurroundingSpaces": "false"}
+
 
 def _element(row_tag: str) -> str:
     return rf"(?s)<{row_tag}(?:\s[^>]*)?>.*?</{row_tag}>"
 
 
 def parse_record(xml: Column) -> Column:
-    return F.from_xml(xml, ddl(LOG_RECORD))
+    return F.from_xml(xml, ddl(LOG_RECORD), PARSING)
 
 
 def read_logs_csv(
@@ -71,7 +74,7 @@ def read_logs_xml(
     Spark reads each file in one task, so deliver many files.  Rows carry their
     file position, for ``number_rows``.
     """
-    reader = spark.read.format("xml").schema(LOG_RECORD)
+    reader = spark.read.format("xml").schema(LOG_RECORD).options(**PARSING)
     reader = reader.option("rowTag", row_tag).option("rootTag", root_tag)
     # The other parser rejects files without a single root element.
     rows = reader.option("useLegacyXMLParser", "true").load(path)

@@ -178,6 +178,19 @@ def test_several_records_on_a_line_and_broken_ones(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("reader", [read_logs_text, read_logs_xml])
+def test_values_are_kept_as_written(spark, tmp_path, reader):
+    write(tmp_path / "in", "a.xml",
+          "<reviewlog><log><os> iOS</os><device>a<!-- no -->b</device></log>"
+          "<log x='1'><os k='v'>w</os><device></device></log>"
+          "<log><os><![CDATA[ x<y ]]></os><device>&#233;&quot;</device></log>"
+          "<log></log></reviewlog>")
+    got = reader(spark, str(tmp_path / "in")).orderBy("scan_order")
+    assert list(map(tuple, got.select("os", "device").collect())) == [
+        (" iOS", "ab"), ("w", ""), (" x<y ", 'é"'), (None, None),
+    ]
+
+
 @pytest.mark.parametrize("layout", ["text", "xml"])
 def test_stage_logs_job(spark, tmp_path, layout):
     n = write_files(tmp_path / "in", one_line=False)
