@@ -19,7 +19,7 @@ from reviewmart.scratch import stage
 
 POSITION = ("file_path", "block_start", "scan_order")
 
-# Up to this many file blocks their offsets are broadcast (some 100 bytes each);
+# Up to this many file blocks their offsets are broadcast (some 200 bytes each);
 # beyond it both sides are shuffled by block.
 MAX_BROADCAST_BLOCKS = 1_000_000
 
@@ -38,28 +38,33 @@ def with_file_position(scan: DataFrame) -> DataFrame:
     )
 
 
-def block_offsets(positioned: DataFrame) -> DataFrame:
-    """Per file block: its first scan number and the rows before it.
+def file_blocks(positioned: DataFrame) -> DataFrame:
+    """One row per file block: its row count and first scan number."""
+    return positioned.groupBy("file_path", "block_start").agg(
+        F.count(F.lit(1)).alias("n"), F.min("scan_order").alias("first_scan")
+    )
+
+
+def with_offsets(blocks: DataFrame) -> DataFrame:
+    """File blocks with the number of rows before each.
 
     The running sum inside a file is a window per file.  Only the one across
     files is a single task, over one row per file.
     """
-    blocks = positioned.groupBy("file_path", "block_start").agg(
-        F.count(F.lit(1)).alias("n"), F.min("scan_order").alias("first_scan")
-    )
     before = (Window.unboundedPreceding, -1)
     in_file = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(*before)
     across = Window.orderBy("file_path").rowsBetween(*before)
+
+    def running(window):
+        return F.coalesce(F.sum("n").over(window), F.lit(0))
+
     files = blocks.groupBy("file_path").agg(F.sum("n").alias("n"))
-    files = files.select(
-        "file_path", F.coalesce(F.sum("n").over(across), F.lit(0)).alias("file_offset")
-    )
-    blocks = blocks.withColumn("in_file", F.coalesce(F.sum("n").over(in_file), F.lit(0)))
-    return blocks.join(files, "file_path").select(
-        "file_path",
-        "block_start",
-        "first_scan",
-        (F.col("file_offset") + F.col("in_file")).alias("rows_before"),
+    files = files.select("file_path", running(across).alias("file_offset"))
+    rows_before = F.col("file_offset") + F.col("in_file")
+    return (
+        blocks.withColumn("in_file", running(in_file))
+        .join(files, "file_path")
+        .select("file_path", "block_start", "first_scan", rows_before.alias("rows_before"))
     )
 
 
@@ -73,11 +78,12 @@ def number_rows(
 
     The table must be written because a second scan of the raw files may be
     split differently, for instance after executors were lost or added.  The
-    offsets are written, to ``folder`` if given, and counted: when they are few,
+    blocks are written, to ``folder`` if given, and counted: when they are few,
     no row moves.
     """
-    offsets = stage(block_offsets(positioned), "block-offsets", folder)
-    if offsets.count() <= max_broadcast:
+    blocks = stage(file_blocks(positioned), "blocks", folder)
+    offsets = with_offsets(blocks)
+    if blocks.count() <= max_broadcast:
         offsets = F.broadcast(offsets)
     row_id = F.col("rows_before") + F.col("scan_order") - F.col("first_scan") + 1
     payload = [c for c in positioned.columns if c not in POSITION]

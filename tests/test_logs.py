@@ -210,9 +210,15 @@ def test_stage_logs_unknown_layout(spark, tmp_path):
 def test_numbering_moves_no_rows(spark, tmp_path):
     write_files(tmp_path / "in", one_line=True)
     written = stage(read_logs_text(spark, str(tmp_path / "in")), "test-logs")
-    plan = plan_text(number_rows(written, "id_review"))
-    assert "BroadcastHashJoin" in plan
-    assert "SinglePartition" not in plan and "hashpartitioning" not in plan
+    plan = number_rows(written, "id_review").select("id_review", "device")
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    # The join with the offsets comes first; all shuffles are on its other side.
+    lines = plan.splitlines()
+    join = next(i for i, l in enumerate(lines) if "BroadcastHashJoin" in l)
+    rows = next(i for i, l in enumerate(lines) if "device" in l and "FileScan" in l)
+    build = next(i for i, l in enumerate(lines) if "BroadcastExchange" in l)
+    assert join < rows < build
+    assert not any("Exchange" in l for l in lines[:build])
 
 
 def test_dimension_plans_are_narrow(spark, tmp_path):
