@@ -50,9 +50,8 @@ def _bag(names: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, query, sql: str, sf_dir: str) -> str | None:
+def compare(df, con, sql: str) -> str | None:
     """None when both give the same columns, types and rows, else a reason."""
-    df = query(spark, sf_dir)
     ours = [tuple(r) for r in df.collect()]
     con.execute(sql)
     names = [d[0] for d in con.description]
@@ -95,7 +94,7 @@ def main() -> int:
             continue
         start = time.perf_counter()
         try:
-            reason = compare(spark, con, query, sqls[name], sf_dir)
+            reason = compare(query(spark, sf_dir), con, sqls[name])
         except Exception as e:  # noqa: BLE001
             reason = f"{type(e).__name__}: {str(e)[:600]}"
         bad += reason is not None

@@ -4,6 +4,8 @@ import datetime as dt
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from reviewmart import jobs
 from reviewmart.operators.row_ids import number_rows
@@ -45,6 +47,19 @@ def test_split_truth_table(spark):
     assert got == dict(enumerate(want.values()))
 
 
+@settings(max_examples=5, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="ab \té", max_size=8), min_size=1, max_size=100))
+def test_split_random_agents(spark, agents):
+    def split(agent):
+        words = agent.split(" ")
+        return (words[0], words[1]) if len(words) == 2 else (None, words[0])
+
+    logs = staged(spark, [(i, a, "04-25-2021") for i, a in enumerate(agents)])
+    got = {r.id_review: (r.browser, r.os) for r in split_os_browser(logs).collect()}
+    assert got == {i: split(a) for i, a in enumerate(agents)}
+
+
 def test_contact_columns_only_on_request(spark):
     logs = staged(spark, [(1, "a b", "04-25-2021")])
     assert split_os_browser(logs).columns == [

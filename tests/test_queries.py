@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from conftest import plan_text
 from oracle_check import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -22,11 +23,22 @@ def test_each_query_has_its_sql():
     assert contract.queries().keys() == contract.oracle_sql().keys()
 
 
+# Row by row in Python, or every row against every other.
+SLOW = (
+    "EvalPython", "MapInPandas", "FlatMapGroups", "PythonUDF",
+    "CartesianProduct", "NestedLoopJoin",
+)
+# Only a count of everything has to end in one task.
+ONE_TASK = {"purchases_row_count"}
+
+
 @pytest.mark.parametrize("name", contract.queries())
 def test_query_equals_sql(spark, con, name):
-    reason = compare(
-        spark, con, contract.queries()[name], contract.oracle_sql()[name], SF_DIR
-    )
+    df = contract.queries()[name](spark, SF_DIR)
+    plan = plan_text(df)
+    assert not [word for word in SLOW if word in plan]
+    assert ("SinglePartition" in plan) == (name in ONE_TASK)
+    reason = compare(df, con, contract.oracle_sql()[name])
     assert reason is None, reason
 
 
