@@ -146,6 +146,10 @@ def _users(insert_date: bool) -> str:
 
 _LOG_COLUMNS = "device, ipAddress, location, logDate, os, phoneNumber"
 
+# The files hold the logs in id order.
+_NUMBERED = f"""WITH {_LOGS}
+SELECT {_LOG_COLUMNS}, row_number() OVER (ORDER BY id_review) AS id_review FROM logs"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -168,12 +172,9 @@ def oracle_sql() -> dict[str, str]:
         "reviews_union": f"WITH {_MOVIES} FROM movies",
         # logs
         "stage_logs_csv": f"WITH {_LOGS} SELECT {_LOG_COLUMNS}, id_review FROM logs",
-        "stage_logs_text": f"""WITH {_LOGS}
-            SELECT {_LOG_COLUMNS}, row_number() OVER (ORDER BY id_review) AS id_review
-            FROM logs""",
-        "stage_logs_xml": f"""WITH {_LOGS}
-            SELECT {_LOG_COLUMNS}, row_number() OVER (ORDER BY id_review) AS id_review
-            FROM logs""",
+        "stage_logs_text": _NUMBERED,
+        "stage_logs_text_spread": _NUMBERED,
+        "stage_logs_xml": _NUMBERED,
         "split_os_browser": f"WITH {_LOGS} SELECT * FROM enriched",
         # dimensions
         "dim_date": _DIM_DATE,

@@ -13,8 +13,7 @@ from reviewmart import jobs
 from reviewmart.checks import inputs
 from reviewmart.plans import dims, facts, staging
 from reviewmart.quality import row_count
-from reviewmart.schemas import STAGED_LOGS
-from reviewmart.scratch import scratch_path, stage
+from reviewmart.scratch import scratch_folder, scratch_path, stage
 from reviewmart.sinks import writers
 from reviewmart.sources import csv, tables
 
@@ -35,10 +34,10 @@ def _table_name(label: str) -> str:
 
 
 def load_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "purchases-csv")
-    writers.write_csv(inputs.purchases(spark, sf_dir), path)
     name = _table_name("purchases")
-    jobs.load_purchases(spark, path, name, scratch_path(spark, "purchases"))
+    with scratch_folder(spark, "purchases-csv") as path:
+        writers.write_csv(inputs.purchases(spark, sf_dir), path)
+        jobs.load_purchases(spark, path, name, scratch_path(spark, "purchases"))
     return tables.read_table(spark, name)
 
 
@@ -48,15 +47,17 @@ def purchases_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _table_name("export")
-    place = {"path": scratch_path(spark, "purchases")}
-    writers.write_table(inputs.purchases(spark, sf_dir), name, options=place)
     path = scratch_path(spark, "export-csv")
-    jobs.export_purchases(spark, name, path)
+    with scratch_folder(spark, "purchases") as place:
+        rows = inputs.purchases(spark, sf_dir)
+        writers.write_table(rows, name, options={"path": place})
+        jobs.export_purchases(spark, name, path)
+        spark.sql(f"DROP TABLE {name}")
     return csv.read_purchases(spark, path)
 
 
 def read_reviews_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "reviews-csv")
+    path = scratch_path(spark, "reviews-csv")  # The result reads it.
     writers.write_csv(inputs.reviews(spark, sf_dir), path)
     return csv.read_reviews(spark, path, multi_line=True)
 
@@ -110,35 +111,44 @@ def _staged_logs(spark: SparkSession, path: str, layout: str) -> DataFrame:
     return tables.read_staged_logs(spark, out)
 
 
-def _write_log_csv(spark: SparkSession, sf_dir: str) -> str:
+def _write_log_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
     """``id_review,<reviewlog><log>...</log></reviewlog>`` lines."""
-    path = scratch_path(spark, "logs-csv")
     wrapped = F.concat(F.lit("<reviewlog>"), "log", F.lit("</reviewlog>"))
     lines = inputs.log_xml(inputs.logs(spark, sf_dir)).withColumn("log", wrapped)
     writers.write_csv(lines, path)
-    return path
 
 
 def stage_logs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staged_logs(spark, _write_log_csv(spark, sf_dir), "csv")
+    with scratch_folder(spark, "logs-csv") as path:
+        _write_log_csv(spark, sf_dir, path)
+        return _staged_logs(spark, path, "csv")
 
 
-def _write_log_text(spark: SparkSession, sf_dir: str, pretty: bool) -> str:
+def _write_log_text(spark: SparkSession, sf_dir: str, path: str, pretty: bool) -> None:
     """Records without ids, in id order over all files."""
-    path = scratch_path(spark, "logs-text")
     ordered = inputs.logs(spark, sf_dir).orderBy("id_review")
     inputs.log_xml(ordered, pretty).select("log").write.text(path)
-    return path
 
 
 def stage_logs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per line, numbered in file order."""
-    return _staged_logs(spark, _write_log_text(spark, sf_dir, pretty=False), "text")
+    with scratch_folder(spark, "logs-text") as path:
+        _write_log_text(spark, sf_dir, path, pretty=False)
+        return _staged_logs(spark, path, "text")
+
+
+def stage_logs_text_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records over several lines, cut at the closing tag, numbered in file order."""
+    with scratch_folder(spark, "logs-text") as path:
+        _write_log_text(spark, sf_dir, path, pretty=True)
+        return _staged_logs(spark, path, "text")
 
 
 def stage_logs_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records over several lines, numbered in file order."""
-    return _staged_logs(spark, _write_log_text(spark, sf_dir, pretty=True), "xml")
+    """Records over several lines by Spark's XML source, numbered in file order."""
+    with scratch_folder(spark, "logs-xml") as path:
+        _write_log_text(spark, sf_dir, path, pretty=True)
+        return _staged_logs(spark, path, "xml")
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,28 +229,29 @@ def fct_movie_analytics_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mart_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All jobs in a row: raw files in, written mart tables out."""
-    root = scratch_path(spark, "mart")
-    writers.write_csv(inputs.purchases(spark, sf_dir), f"{root}/raw/purchases")
-    writers.write_csv(inputs.reviews(spark, sf_dir), f"{root}/raw/reviews")
-    writers.write_csv(inputs.more_reviews(spark, sf_dir), f"{root}/raw/more_reviews")
-    raw_logs = _write_log_csv(spark, sf_dir)
-
-    landed = _table_name("landed")
-    jobs.load_purchases(spark, f"{root}/raw/purchases", landed, f"{root}/landed")
-    jobs.export_purchases(spark, landed, f"{root}/export")
-    parts = []
-    for name in ("reviews", "more_reviews"):
-        raw, staged = f"{root}/raw/{name}", f"{root}/staged/{name}"
-        jobs.stage_reviews(spark, raw, staged, STOP_KEYWORD, multi_line=True)
-        parts.append(staged)
-    staged_logs = f"{root}/staged/logs"
-    jobs.stage_logs(spark, raw_logs, staged_logs, "csv")
-
-    warehouse = jobs.Warehouse(_table_name("mart"), location=f"{root}/mart")
-    spark.sql(f"CREATE DATABASE {warehouse.database} LOCATION '{root}/database'")
-    jobs.build_dims(spark, staged_logs, warehouse)
-    jobs.build_facts(spark, f"{root}/export", parts, staged_logs, warehouse, LOAD_TS)
-    return tables.read_table(spark, warehouse.table("fct_movie_analytics"))
+    place = scratch_path(spark, "mart")
+    mart = jobs.Warehouse(_table_name("mart"), location=f"{place}/tables")
+    spark.sql(f"CREATE DATABASE {mart.database} LOCATION '{place}/database'")
+    with scratch_folder(spark, "mart-files") as root:
+        raw, staged = f"{root}/raw", f"{root}/staged"
+        writers.write_csv(inputs.purchases(spark, sf_dir), f"{raw}/purchases")
+        writers.write_csv(inputs.reviews(spark, sf_dir), f"{raw}/reviews")
+        writers.write_csv(inputs.more_reviews(spark, sf_dir), f"{raw}/more_reviews")
+        _write_log_csv(spark, sf_dir, f"{raw}/logs")
+
+        landed = _table_name("landed")
+        jobs.load_purchases(spark, f"{raw}/purchases", landed, f"{root}/landed")
+        jobs.export_purchases(spark, landed, f"{root}/export")
+        spark.sql(f"DROP TABLE {landed}")
+        parts = [f"{staged}/reviews", f"{staged}/more_reviews"]
+        for part in parts:
+            source = part.replace(staged, raw)
+            jobs.stage_reviews(spark, source, part, STOP_KEYWORD, multi_line=True)
+        logs = f"{staged}/logs"
+        jobs.stage_logs(spark, f"{raw}/logs", logs, "csv")
+        jobs.build_dims(spark, logs, mart)
+        jobs.build_facts(spark, f"{root}/export", parts, logs, mart, LOAD_TS)
+    return tables.read_table(spark, mart.table("fct_movie_analytics"))
 
 
 def queries() -> dict[str, Query]:
@@ -257,6 +268,7 @@ def queries() -> dict[str, Query]:
         "reviews_union": reviews_union,
         "stage_logs_csv": stage_logs_csv,
         "stage_logs_text": stage_logs_text,
+        "stage_logs_text_spread": stage_logs_text_spread,
         "stage_logs_xml": stage_logs_xml,
         "split_os_browser": split_os_browser,
         **{name: _dim(plan) for name, plan in dims.DIMENSIONS.items()},
