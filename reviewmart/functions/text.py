@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,18 +25,27 @@ def tokens(text: Column) -> Column:
     Empty tokens at the end are dropped, those at the start and inside stay;
     the empty text has one empty token.  NULL gives NULL.
     """
-    body = F.rtrim(F.lower(text), F.lit(WHITESPACE))
-    only_spaces = (body == "") & (text != "")
-    return F.when(only_spaces, F.array().cast("array<string>")).otherwise(
-        F.split(body, r"\s")
+    # Trimming walks the whole text, so look at its end first.
+    open_end = reduce(or_, (F.endswith(text, F.lit(c)) for c in WHITESPACE))
+    trimmed = F.rtrim(text, F.lit(WHITESPACE))
+    body = F.when(open_end, trimmed).otherwise(text)
+    return F.when(open_end & (trimmed == ""), F.array().cast("array<string>")).otherwise(
+        F.split(F.lower(body), r"\s")
     )
 
 
-def remove_stop_words(words: Column, stop_words: Iterable[str] = ENGLISH) -> Column:
-    """Drop whole tokens found in ``stop_words``, ignoring case."""
+def remove_stop_words(
+    words: Column, stop_words: Iterable[str] = ENGLISH, lower_case: bool = False
+) -> Column:
+    """Drop whole tokens found in ``stop_words``, ignoring case.
+
+    ``lower_case`` says that the words are so already, as ``tokens`` are.
+    """
     banned = sorted({w.lower() for w in stop_words})
     if not banned:
         return words
+    if lower_case:
+        return F.filter(words, lambda t: ~t.isin(*banned))
     return F.filter(words, lambda t: ~F.lower(t).isin(*banned))
 
 
@@ -51,6 +62,9 @@ def keyword_flag(
 
     * no stop word contains it: removing stop words cannot remove it;
     * some do: one regex finds a token that holds it and is none of those.
+
+    Texts without the keyword, or without a piece of it between commas, are
+    told by a substring test and go no further.
     """
     banned = sorted({w.lower() for w in stop_words})
     lowered = F.lower(text)
@@ -59,13 +73,14 @@ def keyword_flag(
         hit = text.isNotNull()
     elif any(c in WHITESPACE for c in keyword):
         hit = F.lit(False)
-    elif "," in keyword:
-        left_over = F.concat_ws(",", remove_stop_words(tokens(text), banned))
-        hit = F.contains(left_over, F.lit(keyword))
-    elif not holders:
-        hit = F.contains(lowered, F.lit(keyword))
     else:
-        hit = lowered.rlike(_token_with(keyword, holders))
+        pieces = [piece for piece in keyword.split(",") if piece]
+        hit = reduce(and_, (F.contains(lowered, F.lit(p)) for p in pieces), F.lit(True))
+        if "," in keyword:
+            kept = remove_stop_words(tokens(text), banned, lower_case=True)
+            hit = F.when(hit, F.contains(F.concat_ws(",", kept), F.lit(keyword)))
+        elif holders:
+            hit = hit & lowered.rlike(_token_with(keyword, holders))
     return F.coalesce(hit, F.lit(False))
 
 

@@ -18,9 +18,8 @@ DEFAULT_KEYWORD = "good"
 def review_tokens(reviews: DataFrame, stop_words: Iterable[str] = ENGLISH) -> DataFrame:
     """Raw reviews with their tokens, before and after stop-word removal."""
     words = reviews.withColumn("review_token", tokens(F.col("review_str")))
-    return words.withColumn(
-        "review_token_sw", remove_stop_words(F.col("review_token"), stop_words)
-    )
+    kept = remove_stop_words(F.col("review_token"), stop_words, lower_case=True)
+    return words.withColumn("review_token_sw", kept)
 
 
 def flags_as_int(df: DataFrame, *flags: str) -> DataFrame:

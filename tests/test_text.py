@@ -60,6 +60,14 @@ def test_tokens_and_removal_equal_ml(spark):
     assert sorted(ours.collect()) == sorted(theirs.collect())
 
 
+def test_removal_ignores_case(spark):
+    df = spark.createDataFrame([(["The", "the", "Thes", "", "I"],)], "w array<string>")
+    assert df.select(remove_stop_words(F.col("w"))).first()[0] == ["Thes", ""]
+    assert df.select(remove_stop_words(F.col("w"), [])).first()[0] == [
+        "The", "the", "Thes", "", "I",
+    ]
+
+
 def ml_flags(df, keyword):
     joined = F.concat_ws(",", "tok_sw")
     rows = ml_tokens(df).select("id", F.contains(joined, F.lit(keyword)).alias("f"))
