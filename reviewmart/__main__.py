@@ -26,6 +26,7 @@ def parser() -> argparse.ArgumentParser:
     cmd.add_argument("--table", required=True)
     cmd.add_argument("--location")
     cmd.add_argument("--multi-line", action="store_true")
+    cmd.add_argument("--timestamp-format")
 
     cmd = commands.add_parser("export-purchases", help="table into CSV files")
     cmd.add_argument("--table", required=True)
@@ -68,7 +69,12 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"reviewmart {args.command}", args.master, **dict(args.conf))
     if args.command == "load-purchases":
         jobs.load_purchases(
-            spark, args.input, args.table, args.location, args.multi_line
+            spark,
+            args.input,
+            args.table,
+            args.location,
+            args.multi_line,
+            args.timestamp_format,
         )
     elif args.command == "export-purchases":
         jobs.export_purchases(spark, args.table, args.output)

@@ -61,13 +61,23 @@ def load_purchases(
     table: str,
     location: str | None = None,
     multi_line: bool = False,
+    timestamp_format: str | None = None,
 ) -> None:
     """Land purchases: afterwards the table holds exactly the rows of the files.
 
-    Columns go by position, and a value that does not parse fails the load.
+    Columns go by position.  A value that does not parse fails the load, and the
+    table stays as it was.
     """
     create_table(spark, table, PURCHASES, location)
-    rows = read_csv(spark, csv_path, PURCHASES, multi_line, by_name=False, strict=True)
+    rows = read_csv(
+        spark,
+        csv_path,
+        PURCHASES,
+        multi_line,
+        by_name=False,
+        strict=True,
+        timestamp_format=timestamp_format,
+    )
     full_refresh(rows, table)
 
 

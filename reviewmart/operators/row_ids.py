@@ -39,9 +39,11 @@ def with_file_position(scan: DataFrame) -> DataFrame:
 
 
 def file_blocks(positioned: DataFrame) -> DataFrame:
-    """One row per file block: its row count and first scan number."""
+    """One row per file block: its row count, first and last scan number."""
     return positioned.groupBy("file_path", "block_start").agg(
-        F.count(F.lit(1)).alias("n"), F.min("scan_order").alias("first_scan")
+        F.count(F.lit(1)).alias("n"),
+        F.min("scan_order").alias("first_scan"),
+        F.max("scan_order").alias("last_scan"),
     )
 
 
@@ -82,8 +84,13 @@ def number_rows(
     no row moves.
     """
     blocks = stage(file_blocks(positioned), "blocks", folder)
+    torn = F.col("last_scan") - F.col("first_scan") + 1 != F.col("n")
+    found = blocks.agg(F.count(F.lit(1)).alias("n"), F.count_if(torn).alias("torn"))
+    found = found.first()
+    if found["torn"]:
+        raise ValueError("rows of a file block are not consecutive; is a file read twice?")
     offsets = with_offsets(blocks)
-    if blocks.count() <= max_broadcast:
+    if found["n"] <= max_broadcast:
         offsets = F.broadcast(offsets)
     row_id = F.col("rows_before") + F.col("scan_order") - F.col("first_scan") + 1
     payload = [c for c in positioned.columns if c not in POSITION]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reviewmart.schemas import ddl
+from reviewmart.scratch import scratch_folder, stage
 from reviewmart.sources.csv import DIALECT
 
 # Formats the catalog stores itself; any other name is a connector.
@@ -70,10 +71,14 @@ def create_table(
 def full_refresh(df: DataFrame, name: str) -> None:
     """Leave exactly the rows of ``df`` in an existing table.
 
-    Columns go by name.  ``df`` must not read the table itself.
+    Columns go by name.  All rows are made and written elsewhere first: if that
+    fails the table stays as it was, and ``df`` may read the table itself.
     """
-    columns = df.sparkSession.table(name).columns
-    df.select(*columns).write.insertInto(name, overwrite=True)
+    spark = df.sparkSession
+    columns = spark.table(name).columns
+    with scratch_folder(spark, "refresh") as folder:
+        rows = stage(df.select(*columns), "rows", folder)
+        rows.write.insertInto(name, overwrite=True)
 
 
 def register_views(views: Mapping[str, DataFrame]) -> None:

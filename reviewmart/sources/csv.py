@@ -22,6 +22,7 @@ def read_csv(
     multi_line: bool = False,
     by_name: bool = True,
     strict: bool = False,
+    timestamp_format: str | None = None,
 ) -> DataFrame:
     """Files with a header line, as the columns of ``schema``.
 
@@ -30,10 +31,13 @@ def read_csv(
     skipped.  A value that does not parse is NULL, or an error when ``strict``.
 
     ``multi_line`` allows line breaks inside quoted fields; such files are read
-    one task per file, so deliver them in many files.
+    one task per file, so deliver them in many files.  ``timestamp_format`` is
+    for times not written year first.
     """
     reader = spark.read.options(**DIALECT).option("multiLine", multi_line)
     reader = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    if timestamp_format:
+        reader = reader.option("timestampNTZFormat", timestamp_format)
     if by_name:
         # Only the first line of one file is read for this.
         header = reader.csv(path).columns

@@ -182,6 +182,21 @@ def test_row_ids_in_file_order(spark, tmp_path, conf, reader, one_line, split):
         ]
 
 
+def test_a_file_read_twice_is_an_error(spark, tmp_path):
+    write_files(tmp_path / "in", one_line=True)
+    twice = [str(tmp_path / "in"), str(tmp_path / "in" / "d.xml")]
+    written = stage(read_logs_text(spark, twice), "test-logs")
+    with pytest.raises(ValueError, match="twice"):
+        number_rows(written, "id_review")
+
+
+def test_no_records_at_all(spark, tmp_path):
+    write(tmp_path / "in", "a.xml", "<reviewlog></reviewlog>")
+    out = str(tmp_path / "out")
+    jobs.stage_logs(spark, str(tmp_path / "in"), out, "text")
+    assert read_staged_logs(spark, out).count() == 0
+
+
 def test_several_records_on_a_line_and_broken_ones(spark, tmp_path):
     write(tmp_path / "in", "a.txt",
           f"junk {record(1)}{record(2)} <logDate>no</logDate>\n<log><os>x</log>\n"
