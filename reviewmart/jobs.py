@@ -19,7 +19,7 @@ from reviewmart.plans.staging import (
 )
 from reviewmart.schemas import PURCHASES, STAGED_LOGS
 from reviewmart.scratch import scratch_folder, stage
-from reviewmart.session import shuffles_sized_for
+from reviewmart.session import sized_for
 from reviewmart.sinks.writers import (
     create_table,
     full_refresh,
@@ -55,6 +55,10 @@ class Warehouse:
         write_table(df, self.table(name), self.fmt, options)
 
 
+def _paths(path: str | list[str]) -> list[str]:
+    return [path] if isinstance(path, str) else path
+
+
 def load_purchases(
     spark: SparkSession,
     csv_path: str | list[str],
@@ -78,7 +82,8 @@ def load_purchases(
         strict=True,
         timestamp_format=timestamp_format,
     )
-    full_refresh(rows, table)
+    with sized_for(spark, scanned=_paths(csv_path)):
+        full_refresh(rows, table)
 
 
 def export_purchases(spark: SparkSession, table: str, csv_path: str) -> None:
@@ -92,8 +97,10 @@ def stage_reviews(
     keyword: str = DEFAULT_KEYWORD,
     multi_line: bool = False,
 ) -> None:
+    """Flag reviews; only the narrow staged rows are shuffled, to merge files."""
     raw = read_reviews(spark, csv_path, multi_line)
-    write_parquet(staged_reviews(raw, keyword), out_path)
+    with sized_for(spark, scanned=_paths(csv_path)):
+        write_parquet(staged_reviews(raw, keyword), out_path, merge=True)
 
 
 def stage_logs(
@@ -110,16 +117,18 @@ def stage_logs(
     ``text``: records in any arrangement, numbered in file order.
     ``xml``: the same by Spark's XML source, one task per file.
     """
-    if layout == "csv":
-        logs = read_logs_csv(spark, path, row_tag, multi_line)
-        write_parquet(logs.select(*STAGED_LOGS.names), out_path)
-        return
-    readers = {"text": read_logs_text, "xml": read_logs_xml}
+    readers = {"csv": read_logs_csv, "text": read_logs_text, "xml": read_logs_xml}
     if layout not in readers:
         raise ValueError(f"unknown log layout {layout!r}")
-    with scratch_folder(spark, "stage-logs") as folder:
-        parsed = stage(readers[layout](spark, path, row_tag), "parsed", folder)
-        logs = number_rows(parsed, "id_review", folder=folder)
+    options = {"multi_line": multi_line} if layout == "csv" else {}
+    with (
+        scratch_folder(spark, "stage-logs") as folder,
+        sized_for(spark, scanned=_paths(path)),
+    ):
+        logs = readers[layout](spark, path, row_tag, **options)
+        if layout != "csv":
+            parsed = stage(logs, "parsed", folder)
+            logs = number_rows(parsed, "id_review", folder=folder)
         write_parquet(logs.select(*STAGED_LOGS.names), out_path)
 
 
@@ -144,11 +153,10 @@ def build_facts(
     that follows, so nothing is computed twice and both facts carry the same
     totals.
     """
-    purchases_csv = [purchases_csv] if isinstance(purchases_csv, str) else purchases_csv
-    inputs = (*purchases_csv, *reviews_paths, logs_path)
+    shuffled = [*reviews_paths, logs_path]
     with (
         scratch_folder(spark, "build-facts") as folder,
-        shuffles_sized_for(spark, *inputs),
+        sized_for(spark, shuffled, scanned=_paths(purchases_csv)),
     ):
         parts = [read_staged_reviews(spark, p) for p in reviews_paths]
         reviews = stage(reviews_union(*parts), "reviews", folder)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -38,33 +39,57 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 # One shuffle partition for this much stored input; AQE merges those that turn
 # out small.  Rows are some three times larger in a shuffle than in Parquet.
 INPUT_PER_PARTITION = 48 << 20
+# Scan tasks times shuffle partitions is the number of blocks a shuffle moves, so
+# neither may grow without end: beyond these the pieces get larger instead.
 MAX_PARTITIONS = 32_768
+MAX_SCAN_TASKS = 32_768
+MAX_SPLIT = 1 << 30
+
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SPLIT = "spark.sql.files.maxPartitionBytes"
 
 
-def stored_bytes(spark: SparkSession, *paths: str) -> int:
+def stored_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
     """Size of all files under ``paths``; no file is opened."""
+    if not paths:
+        return 0
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     total = files.load(list(paths)).agg(F.sum("length")).first()[0]
     return total or 0
 
 
+def _bytes(size: str) -> int:
+    """A size setting such as ``134217728b`` or ``128m`` in bytes."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 @contextmanager
-def shuffles_sized_for(spark: SparkSession, *paths: str) -> Iterator[int]:
-    """Start shuffles with enough partitions for the given inputs.
+def sized_for(
+    spark: SparkSession, shuffled: Sequence[str] = (), scanned: Sequence[str] = ()
+) -> Iterator[None]:
+    """Size shuffles and scans for inputs, inside the block.
 
-    Never fewer than the session asks for.  What is shuffled inside the block
-    must be written inside it.
+    All rows of the ``shuffled`` inputs are shuffled; the ``scanned`` ones are
+    not, or only what is left of them after aggregation.  Partitions and splits
+    are never fewer or smaller than the session asks for.
     """
-    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = -(-stored_bytes(spark, *paths) // INPUT_PER_PARTITION)
-    partitions = max(asked, min(wanted, MAX_PARTITIONS))
-    before = spark.conf.get(INITIAL, None)
-    spark.conf.set(INITIAL, partitions)
+    moved = stored_bytes(spark, shuffled)
+    read = moved + stored_bytes(spark, scanned)
+    partitions = min(-(-moved // INPUT_PER_PARTITION), MAX_PARTITIONS)
+    split = min(-(-read // MAX_SCAN_TASKS), MAX_SPLIT)
+    settings = {
+        INITIAL: max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions"))),
+        SPLIT: max(split, _bytes(spark.conf.get(SPLIT))),
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        yield partitions
+        yield
     finally:
-        if before is None:
-            spark.conf.unset(INITIAL)
-        else:
-            spark.conf.set(INITIAL, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -23,7 +23,14 @@ EXACT = {
 }
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
+def write_parquet(df: DataFrame, path: str, merge: bool = False) -> None:
+    """``merge`` shuffles the rows into few files of the advisory size.
+
+    For rows much smaller than the input they come from, where one file per
+    task would be tiny.
+    """
+    if merge:
+        df = df.hint("rebalance")
     df.write.mode("overwrite").parquet(path)
 
 

@@ -166,6 +166,20 @@ def test_stage_reviews_job(spark, tmp_path):
     assert bag(staged) == [(1, 1, 5), (2, 0, 7), (None, 0, 6)]
 
 
+def test_staged_reviews_are_merged_into_few_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(40):
+        (tmp_path / "in" / f"{i}.csv").write_text(
+            f"cid,review_str,id_review\n1,good,{i}\n"
+        )
+    raw = csv.read_reviews(spark, str(tmp_path / "in"))
+    assert raw.rdd.getNumPartitions() > 1
+    jobs.stage_reviews(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("*.parquet"))) == 1
+    staged = tables.read_staged_reviews(spark, str(tmp_path / "out"))
+    assert bag(staged) == sorted(((1, 1, i) for i in range(40)), key=repr)
+
+
 def test_scratch_follows_the_cluster_setting(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -183,18 +197,38 @@ def test_scratch_folder_is_gone_afterwards(spark):
         spark.read.parquet(f"{folder}/t")
 
 
-def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+def test_shuffles_and_splits_grow_with_the_input(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     spark.range(1000).write.parquet(path)
-    size = session.stored_bytes(spark, path)
+    size = session.stored_bytes(spark, [path])
     assert size == sum(p.stat().st_size for p in (tmp_path / "t").glob("*.parquet"))
-    before = spark.conf.get(session.INITIAL, None)
-    with session.shuffles_sized_for(spark, path) as partitions:
-        assert partitions == 8 == int(spark.conf.get(session.INITIAL))
+
+    def now():
+        return [spark.conf.get(k, None) for k in (session.INITIAL, session.SPLIT)]
+
+    before = now()
+    with session.sized_for(spark, [path], [path]):
+        assert now() == ["8", str(128 << 20)]
     monkeypatch.setattr(session, "INPUT_PER_PARTITION", size // 20)
-    with session.shuffles_sized_for(spark, path) as partitions:
-        assert partitions in (20, 21)
-    assert spark.conf.get(session.INITIAL, None) == before
+    monkeypatch.setattr(session, "MAX_SCAN_TASKS", 1)
+    monkeypatch.setattr(session, "_bytes", lambda text: 10)
+    with session.sized_for(spark, [path], [path]):
+        assert now()[0] in ("20", "21") and now()[1] == str(2 * size)
+        monkeypatch.setattr(session, "MAX_PARTITIONS", 12)
+        monkeypatch.setattr(session, "MAX_SPLIT", 100)
+        with session.sized_for(spark, [path]):
+            assert now() == ["12", "100"]
+        assert now()[1] == str(2 * size)
+    assert now() == before
+
+
+@pytest.mark.parametrize(
+    "text, size",
+    [("7", 7), ("134217728b", 128 << 20), ("128m", 128 << 20), ("128MB", 128 << 20),
+     ("2g", 2 << 30), ("1k", 1024)],
+)
+def test_size_settings(text, size):
+    assert session._bytes(text) == size
 
 
 def test_whole_mart_by_command_line(spark, tmp_path):
