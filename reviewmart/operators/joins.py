@@ -119,7 +119,7 @@ def _grid(left: DataFrame, key: str, left_parts: Parts, right_parts: Parts) -> D
     )
     values = [*left_parts, *(v for v in right_parts if v not in left_parts)]
     rows = [(v, left_parts.get(v, 1), right_parts.get(v, 1)) for v in values]
-    return left.sparkSession.createDataFrame(rows, schema)
+    return left.sparkSession.createDataFrame(rows, schema).coalesce(1)
 
 
 def _with_grid(df: DataFrame, key: str, grid: DataFrame) -> DataFrame:
