@@ -162,14 +162,15 @@ def oracle_sql() -> dict[str, str]:
         # reviews
         "review_tokens": f"""WITH {_REVIEWS}, {_words("reviews")}
             SELECT id_review, len(tok) AS n_tokens, len(tok_sw) AS n_kept FROM kept""",
-        "stage_reviews": f"WITH {_REVIEWS}, {_staged('reviews', 'tion')} FROM staged",
+        "stage_reviews": f"""WITH {_REVIEWS}, {_staged("reviews", "tion")}
+            SELECT * FROM staged""",
         "stage_reviews_stopword": f"""WITH {_REVIEWS}, {_staged("reviews", "the")}
-            FROM staged""",
+            SELECT * FROM staged""",
         "stage_reviews_span": f"""WITH {_REVIEWS}, {_staged("reviews", "tion,the")}
-            FROM staged""",
+            SELECT * FROM staged""",
         "reviews_preview": f"""WITH {_REVIEWS}, {_staged("reviews", "tion")}
-            FROM staged ORDER BY review_id, user_id, positive_review LIMIT 10""",
-        "reviews_union": f"WITH {_MOVIES} FROM movies",
+            SELECT * FROM staged ORDER BY review_id, user_id, positive_review LIMIT 10""",
+        "reviews_union": f"WITH {_MOVIES} SELECT * FROM movies",
         # logs
         "stage_logs_csv": f"WITH {_LOGS} SELECT {_LOG_COLUMNS}, id_review FROM logs",
         "stage_logs_text": _NUMBERED,
