@@ -60,8 +60,8 @@ def more_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged logs."""
+def logs(spark: SparkSession, sf_dir: str, row_id: str = "o_orderkey") -> DataFrame:
+    """Staged logs; ``row_id`` is the SQL of their id."""
     return table(spark, sf_dir, "orders").selectExpr(
         "o_orderpriority AS device",
         "concat('10.0.0.', o_custkey) AS ipAddress",
@@ -71,7 +71,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         " ELSE o_orderpriority END AS os",
         "CASE WHEN o_orderstatus <> 'F' THEN CAST(o_custkey AS STRING) END"
         " AS phoneNumber",
-        "o_orderkey AS id_review",
+        f"{row_id} AS id_review",
     )
 
 

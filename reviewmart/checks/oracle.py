@@ -195,6 +195,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT review_id, user_id, positive_review,
                    logDate, device, location, os, browser
             FROM movies LEFT JOIN enriched ON review_id = id_review""",
+        "reviews_with_repeated_logs": f"""WITH {_MOVIES}, {_LOGS}, repeated AS (
+              SELECT o_custkey * 20 AS log_id, enriched.*
+              FROM enriched JOIN orders ON o_orderkey = id_review
+            )
+            SELECT review_id, user_id, positive_review,
+                   logDate, device, location, os, browser
+            FROM movies LEFT JOIN repeated ON review_id = log_id""",
         "fct_movie_analytics": _FACT,
         "fct_movie_analytics_hot_keys": _FACT,
         "mart_from_files": _FACT,

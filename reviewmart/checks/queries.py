@@ -213,6 +213,14 @@ def reviews_with_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reviews_with_repeated_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many logs per id, ids of more than five logs or reviews cut as hot keys."""
+    logs = inputs.logs(spark, sf_dir, row_id="o_custkey * 20")
+    return facts.reviews_with_logs(
+        _written_union(spark, sf_dir), staging.split_os_browser(logs), min_hot_rows=5
+    )
+
+
 def fct_movie_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviews = _written_union(spark, sf_dir)
     users = facts.user_behavior(inputs.purchases(spark, sf_dir), reviews)
@@ -279,6 +287,7 @@ def queries() -> dict[str, Query]:
         "user_behavior": user_behavior,
         "fct_users": fct_users,
         "reviews_with_logs": reviews_with_logs,
+        "reviews_with_repeated_logs": reviews_with_repeated_logs,
         "fct_movie_analytics": fct_movie_analytics,
         "fct_movie_analytics_hot_keys": fct_movie_analytics_hot_keys,
         "mart_from_files": mart_from_files,
