@@ -1,14 +1,20 @@
 from __future__ import annotations
 
+import os
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
+from reviewmart.checks import inputs
 from reviewmart.functions.stopwords import ENGLISH
 from reviewmart.functions.text import keyword_flag, remove_stop_words, tokens
 from reviewmart.plans.staging import review_tokens, staged_reviews
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 TEXTS = [
     "The GOOD  movie",
     "goodish",
@@ -105,6 +111,19 @@ def test_flag_equals_ml_on_random_texts(spark, texts, keyword):
     assert our_flags(df, keyword) == ml_flags(df, keyword)
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+def test_flags_and_tokens_equal_ml_on_the_given_texts(spark):
+    raw = inputs.reviews(spark, SF_DIR).union(inputs.more_reviews(spark, SF_DIR))
+    text, joined = F.col("review_str"), F.concat_ws(",", "tok_sw")
+    differs = {"tokens": tokens(text) != F.col("tok")}
+    differs["kept"] = remove_stop_words(F.col("tok")) != F.col("tok_sw")
+    for keyword in ("the", "he", "s", "tion", "on,the", "n,t", "re,", "é", "not"):
+        found = F.contains(joined, F.lit(keyword))
+        differs[keyword] = found != keyword_flag(text, keyword)
+    counts = [F.count_if(d).alias(name) for name, d in differs.items()]
+    assert ml_tokens(raw).agg(*counts).first().asDict() == dict.fromkeys(differs, 0)
+
+
 def test_own_stop_words_ignore_case(spark):
     df = frame(spark, ["Bad movie", "badly", "bad"])
     flag = keyword_flag(F.col("review_str"), "bad", ["BAD", "bad movie"])
