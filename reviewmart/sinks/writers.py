@@ -49,7 +49,7 @@ def write_table(
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Replace a table.
+    """Replace a table, making its database if it is missing.
 
     Catalog formats take ``path`` in ``options`` for a table outside the
     warehouse folder.  A connector takes whatever it needs there, for instance
@@ -57,6 +57,7 @@ def write_table(
     """
     writer = df.write.format(fmt).mode("overwrite").options(**(options or {}))
     if fmt in CATALOG_FORMATS:
+        _create_database(df.sparkSession, name)
         writer.saveAsTable(name)
     elif fmt == "jdbc":
         writer.option("dbtable", name).save()
@@ -64,13 +65,17 @@ def write_table(
         writer.option("table", name).save()
 
 
+def _create_database(spark: SparkSession, table: str) -> None:
+    database = table.rpartition(".")[0]
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+
 def create_table(
     spark: SparkSession, name: str, schema: T.StructType, location: str | None = None
 ) -> None:
     """Create the table, and its database, unless they exist."""
-    database = name.rpartition(".")[0]
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    _create_database(spark, name)
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet{place}")
 

@@ -251,7 +251,6 @@ def test_whole_mart_by_command_line(spark, tmp_path):
         )
     )
     table, db = new_name(), "mart_" + uuid.uuid4().hex
-    spark.sql(f"CREATE DATABASE {db}")
     main(["load-purchases", "--input", f"{raw}/p.csv", "--table", table])
     main(["export-purchases", "--table", table, "--output", f"{work}/p"])
     for r in ("r1", "r2"):
