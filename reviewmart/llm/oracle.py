@@ -24,6 +24,37 @@ WHERE rank <= 10
 """
 
 
+# Words are lower-cased (A-Z only) and lie between the six ASCII blanks.
+_WORDS = r"""
+SELECT {id}, list_filter(string_split(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13),
+    'abcdefghijklmnopqrstuvwxyz     '), ' '), lambda x: x <> '') w
+FROM {table}
+"""
+_SHINGLES = """
+SELECT DISTINCT {id}, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' '))
+    WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END) s
+FROM {words}
+"""
+
+
+def _shingles(table: str, id_column: str) -> str:
+    words = f"({_WORDS.format(id=id_column, table=table)})"
+    return _SHINGLES.format(id=id_column, words=words)
+
+
+OP9 = f"""
+WITH i AS ({_shingles("benchmark", "item_id")}),
+d AS ({_shingles("documents", "doc_id")}),
+n AS (SELECT item_id, count(*) n_shingles FROM i GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) n_common
+FROM i JOIN d USING (s) JOIN n USING (item_id)
+GROUP BY doc_id, item_id, n_shingles
+HAVING 100 * count(*) >= 75 * n_shingles
+"""
+
+
 def _fits(rule) -> str:
     return (
         f"((host = '{rule.host}' OR ends_with(host, '.{rule.host}'))"
@@ -50,4 +81,4 @@ FROM (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3, "op7_url_filter": _op7()}
+    return {"op3_topk": OP3, "op7_url_filter": _op7(), "op9_decontaminate": OP9}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmart.llm import packing, token_store, topk, url_filter
+from reviewmart.llm import decontaminate, packing, token_store, topk, url_filter
 from reviewmart.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,10 +55,15 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), RULES, name)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = _table(spark, sf_dir, "benchmark")
+    return decontaminate.contained(_table(spark, sf_dir, "documents"), benchmark)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, last_id=0, limit=2048)
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_topk, op4_token_store, op7_url_filter, op10_packing]
+    found = [op3_topk, op4_token_store, op7_url_filter, op9_decontaminate, op10_packing]
     return {query.__name__: query for query in found}
