@@ -48,9 +48,11 @@ BLOCKS = (
 
 def train_dictionary(docs: DataFrame, tokenizer: str, last_id: int, width: int) -> bytes:
     """A dictionary of serialized id arrays; empty if there is too little to learn from."""
-    picked = docs.where("length(text) > 0").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    rows = picked.limit(SAMPLE_DOCS).select(F.substring("text", 1, SAMPLE_CHARS)).collect()
-    raw = [r[0].encode() for r in rows]
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    picked = docs.select("doc_id").orderBy(*order).limit(SAMPLE_DOCS).collect()
+    rows = docs.where(F.col("doc_id").isin([r[0] for r in picked])).orderBy(*order, "text")
+    rows = rows.limit(SAMPLE_DOCS).select(F.substring("text", 1, SAMPLE_CHARS)).collect()
+    raw = [r[0].encode() for r in rows if r[0]]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw], dtype=np.int64)])
     data = np.frombuffer(b"".join(raw), np.uint8)
     ids, at = encoder(tokenizer).encode(data, offsets.astype(np.int64), last_id)
