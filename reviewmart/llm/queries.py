@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmart.llm import decontaminate, packing, token_store, topk, url_filter
+from reviewmart.llm import decontaminate, packing, quality, token_store, topk, url_filter
 from reviewmart.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.classify(docs, trusted_ids(spark, sf_dir), ["doc_id", "lang"])
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors that are null, or hold null or non-finite components, take no part."""
     rows = _table(spark, sf_dir, "embeddings").selectExpr(
@@ -65,5 +74,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_topk, op4_token_store, op7_url_filter, op9_decontaminate, op10_packing]
+    found = [
+        op2_quality,
+        op3_topk,
+        op4_token_store,
+        op7_url_filter,
+        op9_decontaminate,
+        op10_packing,
+    ]
     return {query.__name__: query for query in found}
