@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmart.llm import decontaminate, packing, quality, token_store, topk, url_filter
+from reviewmart.llm import decontaminate, packing, pii, quality, token_store, topk, url_filter
 from reviewmart.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(pii.rule_labelled(docs)))
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
 
@@ -75,6 +80,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [
+        op1_pii,
         op2_quality,
         op3_topk,
         op4_token_store,
