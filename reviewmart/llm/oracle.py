@@ -44,6 +44,22 @@ def _shingles(table: str, id_column: str) -> str:
     return _SHINGLES.format(id=id_column, words=words)
 
 
+OP8 = f"""
+WITH RECURSIVE d AS MATERIALIZED ({_shingles("documents", "doc_id")}),
+n AS MATERIALIZED (SELECT doc_id, count(*) n FROM d GROUP BY doc_id),
+links AS MATERIALIZED (
+    SELECT a.doc_id a, b.doc_id b FROM d a JOIN d b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n
+    HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+),
+reach(a, b) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(b) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
+"""
+
 OP9 = f"""
 WITH i AS ({_shingles("benchmark", "item_id")}),
 d AS ({_shingles("documents", "doc_id")}),
@@ -81,4 +97,4 @@ FROM (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3, "op7_url_filter": _op7(), "op9_decontaminate": OP9}
+    return {"op3_topk": OP3, "op7_url_filter": _op7(), "op8_jaccard_join": OP8, "op9_decontaminate": OP9}

@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmart.llm import decontaminate, packing, pii, quality, token_store, topk, url_filter
+from reviewmart.llm import (
+    decontaminate,
+    jaccard_join,
+    packing,
+    pii,
+    quality,
+    token_store,
+    topk,
+    url_filter,
+)
 from reviewmart.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +78,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), RULES, name)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = _table(spark, sf_dir, "benchmark")
     return decontaminate.contained(_table(spark, sf_dir, "documents"), benchmark)
@@ -85,6 +98,7 @@ def queries() -> dict[str, Query]:
         op3_topk,
         op4_token_store,
         op7_url_filter,
+        op8_jaccard_join,
         op9_decontaminate,
         op10_packing,
     ]
