@@ -44,6 +44,28 @@ def _shingles(table: str, id_column: str) -> str:
     return _SHINGLES.format(id=id_column, words=words)
 
 
+OP5 = r"""
+WITH w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') w FROM documents
+),
+v AS (
+    SELECT doc_id, i, md5(list_aggregate(w[i:i + 34], 'string_agg', ' ')) h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) i FROM w)
+),
+r AS (SELECT h FROM v GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM v JOIN r USING (h), range(0, 35) t(j)),
+k AS (
+    SELECT x.doc_id, count(*) n, count(gone.i) g,
+        string_agg(x.s, ' ' ORDER BY x.i) FILTER (gone.i IS NULL) kept
+    FROM (SELECT doc_id, unnest(w) s, unnest(range(1, len(w) + 1)) i FROM w) x
+    LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.i = x.i GROUP BY x.doc_id
+)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(g, 0)::BIGINT AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
 OP8 = f"""
 WITH RECURSIVE d AS MATERIALIZED ({_shingles("documents", "doc_id")}),
 n AS MATERIALIZED (SELECT doc_id, count(*) n FROM d GROUP BY doc_id),
@@ -97,4 +119,4 @@ FROM (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3, "op7_url_filter": _op7(), "op8_jaccard_join": OP8, "op9_decontaminate": OP9}
+    return {"op3_topk": OP3, "op5_substring_dedup": OP5, "op7_url_filter": _op7(), "op8_jaccard_join": OP8, "op9_decontaminate": OP9}

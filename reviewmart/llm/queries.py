@@ -14,6 +14,7 @@ from reviewmart.llm import (
     packing,
     pii,
     quality,
+    substring_dedup,
     token_store,
     topk,
     url_filter,
@@ -72,6 +73,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.describe_tokens(spark, path)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.strip_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocked = spark.createDataFrame([(x,) for x in BLOCKED_HOSTS], "entry string")
     name = url_filter.ship_list(spark, blocked)
@@ -97,6 +102,7 @@ def queries() -> dict[str, Query]:
         op2_quality,
         op3_topk,
         op4_token_store,
+        op5_substring_dedup,
         op7_url_filter,
         op8_jaccard_join,
         op9_decontaminate,
