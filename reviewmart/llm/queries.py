@@ -15,6 +15,7 @@ from reviewmart.llm import (
     pii,
     quality,
     substring_dedup,
+    suffix_dedup,
     token_store,
     topk,
     url_filter,
@@ -77,6 +78,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.strip_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.strip_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocked = spark.createDataFrame([(x,) for x in BLOCKED_HOSTS], "entry string")
     name = url_filter.ship_list(spark, blocked)
@@ -103,6 +108,7 @@ def queries() -> dict[str, Query]:
         op3_topk,
         op4_token_store,
         op5_substring_dedup,
+        op6_suffix_dedup,
         op7_url_filter,
         op8_jaccard_join,
         op9_decontaminate,
