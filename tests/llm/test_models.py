@@ -1,0 +1,203 @@
+"""The trained operators: exact parts against plain code, the rest on held-out rows."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+from cases import documents, frame
+
+from reviewmart.llm import pii, quality
+
+PLAIN = (
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+)
+
+
+def plain_spans(text):
+    out = []
+    for kind, pattern in enumerate(PLAIN):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            good = (
+                True,
+                kind == 1 and all(int(x) <= 255 for x in m.group().split(".")),
+                13 <= len(digits) <= 19 and pii.luhn(digits),
+                9 <= len(digits) <= 15,
+            )[kind]
+            if good:
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_rules_find_what_the_plain_patterns_find():
+    rng = random.Random(1)
+    for i in range(20_000):
+        signs = "a_.@-+1 2().%0é" if i % 2 else "0123456789 -."
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 45)))
+        assert pii.base_spans(text) == plain_spans(text)
+
+
+def test_rules_are_linear_in_the_text():
+    for sign in "a1.-+( ":
+        pii.base_spans(sign * 300_000)
+    pii.base_spans("a@" * 100_000)
+    pii.base_spans("+1(" * 100_000)
+
+
+def lines(seed, n):
+    rng = random.Random(seed)
+    made = []
+    for _ in range(n):
+        w = [rng.choice(["and", "The", "tion", "of", "call", "4736"]) for _ in range(8)]
+        kind = rng.randrange(5)
+        value = (
+            f"{rng.choice('abc')}x.{rng.randint(1, 99)}@mail{rng.randint(1, 9)}.example.com",
+            ".".join(str(rng.randint(1, 255)) for _ in range(4)),
+            "4539578763621486",
+            f"+1 ({rng.randint(100, 999)}) 555-{rng.randint(1000, 9999)}",
+            "1234567890123456",
+        )[kind]
+        at = rng.randint(0, 8)
+        text = " ".join([*w[:at], value, *w[at:]])
+        begin = len(" ".join(w[:at])) + (at > 0)
+        spans = [] if kind == 4 else [(kind, begin, begin + len(value))]
+        made.append((text, spans))
+    return made
+
+
+def test_crf_finds_held_out_values_and_forms_the_rules_miss(spark):
+    train = spark.createDataFrame([(t, pii._join(s)) for t, s in lines(1, 150)], "line string, spans string")
+    crf = pii.train(train)
+    held = lines(2, 80)
+    found = pii.added_spans(crf, [t for t, _ in held], [[] for _ in held])
+    # A card number has the shape of any number as long; its check digit is the rules' part.
+    card = pii.KINDS.index("card")
+    found = [[s for s in x if s[0] != card] for x in found]
+    due = [[s for s in x if s[0] != card] for _, x in held]
+    hits = sum(len(set(a) & set(b)) for a, b in zip(found, due, strict=True))
+    assert hits >= 0.9 * sum(map(len, due))
+    assert sum(map(len, found)) <= 1.05 * sum(map(len, due))
+    text = "call 1 (984) 555-5227 of The"
+    assert pii.added_spans(crf, [text], [[]]) == [[(3, 5, 21)]]
+    assert pii.added_spans(crf, ["no 12 value 7 here", ""], [[], []]) == [[], []]
+
+
+def test_decoding_is_the_best_path():
+    rng = random.Random(3)
+    crf = pii.fit(lines(4, 30), rounds=10)
+    texts = [t for t, _ in lines(5, 6)] + ["", "a1"]
+    features = [pii.tokens(t)[2] for t in texts]
+    for x, path in zip(features, crf.decode(features), strict=True):
+        emitted = crf.emissions(x)
+
+        def score(labels, emitted=emitted):
+            steps = sum(crf.steps[a, b] for a, b in zip(labels, labels[1:], strict=False))
+            return steps + sum(emitted[t, y] for t, y in enumerate(labels))
+
+        for _ in range(200):
+            other = list(path)
+            for _ in range(rng.randint(1, 3)):
+                if other:
+                    other[rng.randrange(len(other))] = rng.randrange(pii.LABELS)
+            assert score(list(path)) >= score(other) - 1e-9
+
+
+def test_find_and_mask_handle_odd_rows(spark):
+    texts = ["mail a.b@c-d.com, 10.0.0.256 10.0.0.25", "é +1 (017) 555-7713é", "4539 5787 6362 1486"]
+    rows = documents() + [(200 + i, t) for i, t in enumerate(texts)] + [(200, texts[0]), (None, texts[1])]
+    docs = frame(spark, rows)
+    crf = pii.train(pii.rule_labelled(docs))
+    found = pii.find(docs, crf).collect()
+    due = []
+    for doc, text in rows:
+        spans = plain_spans(text or "")
+        joined = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans)
+        n = Counter(k for k, _, _ in spans)
+        due.append((doc, *(n[k] for k in range(4)), hashlib.sha256(joined.encode()).hexdigest()))
+    assert sorted((tuple(r)[:6] for r in found), key=str) == sorted(due, key=str)
+    for r in found:
+        for part in r["spans"].split(",") if r["spans"] else ():
+            assert part.split(":")[0] in pii.KINDS
+    masked = {r["doc_id"]: r["text"] for r in pii.mask(docs, crf).collect()}
+    assert masked[200] == "mail <EMAIL>, 10.0.0.256 <IP>"
+    assert masked[202] == "<CARD>"
+    assert masked[10] == rows[0][1] and masked[50] == dict(rows)[50]
+    assert pii.find(docs.where("false"), crf).collect() == []
+    assert pii.find(docs, pii.fit([])).count() == len(rows)
+
+
+def kneser_ney(texts, order):
+    """Interpolated modified Kneser-Ney over bytes, written out with dictionaries."""
+    level = Counter()
+    for t in texts:
+        b = bytes(order - 1) + t.encode() + b"\0"
+        level.update(b[i : i + order] for i in range(len(b) - order + 1))
+    levels = []
+    for k in range(order, 0, -1):
+        levels.append((dict(level), quality.discounts(Counter(level.values()))))
+        level = Counter(g[1:] for g in levels[-1][0])
+    levels.reverse()
+    sums = []
+    for counts, d in levels:
+        total, back = Counter(), defaultdict(float)
+        for g, c in counts.items():
+            total[g[:-1]] += c
+            back[g[:-1]] += d[min(c, 3) - 1]
+        sums.append((total, back))
+
+    def p(gram):
+        value = 1 / 256
+        for (counts, d), (total, back) in zip(levels, sums, strict=True):
+            own = gram[order - len(next(iter(counts))) :]
+            context = own[:-1]
+            if total[context]:
+                c = counts.get(own, 0)
+                seen = max(c - d[min(c, 3) - 1], 0) if c else 0
+                value = (seen + back[context] * value) / total[context]
+        return value
+
+    def log_perplexity(text):
+        b = bytes(order - 1) + text.encode() + b"\0"
+        grams = [b[i : i + order] for i in range(len(b) - order + 1)]
+        return -sum(math.log(max(p(g), 1e-12)) for g in grams) / len(grams)
+
+    return log_perplexity
+
+
+def test_perplexity_against_plain_kneser_ney(spark, tmp_path):
+    rng = random.Random(5)
+    trusted = ["".join(rng.choice("abcd é") for _ in range(rng.randint(0, 80))) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate([*trusted, "zzz", "", None, "abc" * 500])]
+    frame(spark, rows).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    model = quality.train(spark.createDataFrame([(t,) for t in trusted], "text string"))
+    due = kneser_ney(trusted, quality.ORDER)
+    for r in quality.score(docs, model, ["doc_id", "text"]).collect():
+        assert math.isclose(r["kn_log_perplexity"], due(r["text"] or ""), rel_tol=1e-9), r
+
+
+def test_classify_rejects_junk_and_keeps_all_columns(spark, tmp_path):
+    rng = random.Random(6)
+    word = ["lorem", "ipsum", "dolor", "sit", "amet", "sed", "do"]
+    clean = [" ".join(rng.choice(word) for _ in range(rng.randint(5, 60))) for _ in range(300)]
+    junk = ["".join(rng.choice("#$%&QXZ") for _ in range(100)) for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate([*clean, *junk, "", None])] + [(0, clean[0])]
+    docs = frame(spark, rows).selectExpr("*", "IF(doc_id % 7 = 0, NULL, 'xx') AS lang", "1 AS excess")
+    docs.write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    trusted = spark.createDataFrame([(i,) for i in [*range(200), None, 10_000]], "doc_id long")
+    kept = quality.accepted(docs, trusted)
+    assert kept.columns == docs.columns
+    ids = Counter(r["doc_id"] for r in kept.collect())
+    assert sum(ids[i] > 0 for i in range(300)) >= 297 and ids[0] == 2
+    assert not any(ids[i] for i in range(300, 320))
+    nothing = quality.accepted(docs, trusted.where("false"))
+    assert nothing.count() == len(rows)
+    assert quality.accepted(docs.where("false"), trusted).collect() == []
