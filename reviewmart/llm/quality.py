@@ -238,7 +238,11 @@ def _score(
 
 
 def score(
-    docs: DataFrame, model: Model, keep: Sequence[str], folder: str | None = None
+    docs: DataFrame,
+    model: Model,
+    keep: Sequence[str],
+    text: str = "text",
+    folder: str | None = None,
 ) -> DataFrame:
     """``keep`` columns of every row, ``kn_symbols`` and ``kn_log_perplexity``.
 
@@ -246,19 +250,18 @@ def score(
     tasks alike.  The log perplexity is per byte, the end of the text counted as one.
     """
     order = len(model.counts)
-    docs = docs.withColumn("text", F.col("text").cast("string"))
-    grams = docs.select("text").mapInArrow(
+    docs = docs.withColumn(text, F.col(text).cast("string"))
+    grams = docs.select(text).mapInArrow(
         partial(_block_grams, order=order), "block long, gram long"
     )
     wanted = stage(grams, "block-grams", folder)
     logp = log_probabilities(wanted.select("gram").distinct(), model)
     found = wanted.join(logp, "gram")
-    columns = list(dict.fromkeys([*keep, "text"]))
+    columns = list(dict.fromkeys([*keep, text]))
     rows = docs.select(*columns)
-    texts = rows.mapInArrow(
-        partial(_block_texts, text=columns.index("text")), "block long, rows binary"
-    )
-    judge = partial(_score, order=order, text=columns.index("text"), columns=list(keep))
+    at = columns.index(text)
+    texts = rows.mapInArrow(partial(_block_texts, text=at), "block long, rows binary")
+    judge = partial(_score, order=order, text=at, columns=list(keep))
 
     def scored(texts: pa.Table, grams: pa.Table) -> pa.Table:
         return judge(texts, grams)
@@ -272,6 +275,8 @@ def classify(
 ) -> DataFrame:
     """``keep`` columns of every row, ``perplexity``, ``excess``, ``threshold``, ``accepted``.
 
+    Kept columns with one of those names are left out.
+
     ``docs`` needs (doc_id, text, lang); ``trusted`` names good texts by ``doc_id``.  The
     model counts all trusted texts but one in five, which are held out.  A row's excess
     is how far its log perplexity lies above the median of its language's held-out
@@ -290,8 +295,13 @@ def classify(
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
     texts = docs.select("doc_id", "text").where(~held_out).join(some, "doc_id", "semi")
     model = train(texts.select("text"), folder)
-    columns = list(dict.fromkeys([*keep, "doc_id", "lang"]))
-    rows = stage(score(docs, model, columns, folder), "scored", folder)
+    # The documents' columns go by number, so that none clashes with another here.
+    names = {c: f"c{i}" for i, c in enumerate(dict.fromkeys([*keep, "doc_id", "lang", "text"]))}
+    renamed = docs.select(*(F.col(f"`{c}`").alias(name) for c, name in names.items()))
+    columns = [name for c, name in names.items() if c != "text" or "text" in keep]
+    rows = score(renamed, model, columns, names["text"], folder)
+    rows = stage(rows, "scored", folder)
+    rows = rows.withColumns({"doc_id": F.col(names["doc_id"]), "lang": F.col(names["lang"])})
     # On a grid, the exact quantiles' state is bounded.
     held = rows.where(held_out).join(some, "doc_id", "semi")
     held = held.select("lang", "kn_symbols", F.round("kn_log_perplexity", 4).alias("v"))
@@ -322,10 +332,19 @@ def classify(
             limit = F.when(F.col("key") == k, float(fences[k])).otherwise(limit)
         judged = excess(rows.withColumn("key", key), "kn_log_perplexity")
         judged = judged.withColumn("threshold", limit)
-    return judged.select(
-        *keep,
-        F.exp("kn_log_perplexity").alias("perplexity"),
-        "excess",
-        "threshold",
-        (F.col("excess") <= F.col("threshold")).alias("accepted"),
-    )
+    verdict = {
+        "perplexity": F.exp("kn_log_perplexity"),
+        "excess": F.col("excess"),
+        "threshold": F.col("threshold"),
+        "accepted": F.col("excess") <= F.col("threshold"),
+    }
+    kept = [F.col(names[c]).alias(c) for c in keep if c not in verdict]
+    return judged.select(*kept, *(v.alias(k) for k, v in verdict.items()))
+
+
+def accepted(docs: DataFrame, trusted: DataFrame, folder: str | None = None) -> DataFrame:
+    """The accepted documents, all columns."""
+    needed = ("doc_id", "lang", "text")
+    names = [c if c in needed else f"d{i}" for i, c in enumerate(docs.columns)]
+    judged = classify(docs.toDF(*names), trusted, names, folder)
+    return judged.where("accepted").select(*names).toDF(*docs.columns)
