@@ -19,8 +19,7 @@ from reviewmart.scratch import scratch_path
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of usual perplexity for their language; others go."""
-    judged = quality.classify(docs, trusted_ids(spark, sf_dir), docs.columns)
-    return judged.where("accepted").select(*docs.columns)
+    return quality.accepted(docs, trusted_ids(spark, sf_dir))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
