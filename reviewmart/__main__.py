@@ -31,6 +31,8 @@ def parser() -> argparse.ArgumentParser:
     cmd = commands.add_parser("export-purchases", help="table into CSV files")
     cmd.add_argument("--table", required=True)
     cmd.add_argument("--output", required=True)
+    cmd.add_argument("--format", help="connector that has the table")
+    cmd.add_argument("--option", action="append", type=_pair, default=[], metavar="K=V")
 
     cmd = commands.add_parser("stage-reviews", help="flag reviews by a keyword")
     cmd.add_argument("--input", nargs="+", required=True)
@@ -41,7 +43,7 @@ def parser() -> argparse.ArgumentParser:
     cmd = commands.add_parser("stage-logs", help="parse XML log records")
     cmd.add_argument("--input", nargs="+", required=True)
     cmd.add_argument("--output", required=True)
-    cmd.add_argument("--layout", choices=("csv", "text", "xml"), default="csv")
+    cmd.add_argument("--layout", choices=("csv", "text", "xml", "xml-document"), default="csv")
     cmd.add_argument("--row-tag", default="log")
     cmd.add_argument("--multi-line", action="store_true")
 
@@ -61,6 +63,10 @@ def parser() -> argparse.ArgumentParser:
             cmd.add_argument("--purchases", nargs="+", required=True)
             cmd.add_argument("--reviews", nargs="+", required=True)
             cmd.add_argument("--load-ts", type=datetime.fromisoformat)
+            cmd.add_argument(
+                "--purchases-format", choices=("csv", "parquet", "table"), default="csv"
+            )
+            cmd.add_argument("--multi-line", action="store_true")
     return top
 
 
@@ -77,7 +83,9 @@ def main(argv: list[str] | None = None) -> None:
             args.timestamp_format,
         )
     elif args.command == "export-purchases":
-        jobs.export_purchases(spark, args.table, args.output)
+        jobs.export_purchases(
+            spark, args.table, args.output, args.format, dict(args.option)
+        )
     elif args.command == "stage-reviews":
         jobs.stage_reviews(
             spark, args.input, args.output, args.keyword, args.multi_line
@@ -93,8 +101,16 @@ def main(argv: list[str] | None = None) -> None:
         if args.command == "build-dims":
             jobs.build_dims(spark, args.logs, warehouse)
         else:
+            table = args.purchases_format == "table"
             jobs.build_facts(
-                spark, args.purchases, args.reviews, args.logs, warehouse, args.load_ts
+                spark,
+                args.purchases[0] if table else args.purchases,
+                args.reviews,
+                args.logs,
+                warehouse,
+                args.load_ts,
+                args.purchases_format,
+                args.multi_line,
             )
 
 

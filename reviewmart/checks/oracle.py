@@ -150,6 +150,20 @@ _LOG_COLUMNS = "device, ipAddress, location, logDate, os, phoneNumber"
 _NUMBERED = f"""WITH {_LOGS}
 SELECT {_LOG_COLUMNS}, row_number() OVER (ORDER BY id_review) AS id_review FROM logs"""
 
+# One id in five has an empty record between two of its own, one has one before its own.
+_ODD = f"""WITH {_LOGS}, odd AS (
+  SELECT o.* EXCLUDE (id_review), id_review AS id, place,
+         (id_review % 5 = 2 AND place = 1) OR (id_review % 5 = 3 AND place = 0) AS empty
+  FROM logs o, range(0, 3) t(place)
+  WHERE place < CASE id_review % 5 WHEN 2 THEN 3 WHEN 3 THEN 2 ELSE 1 END
+)
+SELECT {", ".join(f"CASE WHEN NOT empty THEN {c} END AS {c}" for c in _LOG_COLUMNS.split(", "))},
+       row_number() OVER (ORDER BY id, place) AS id_review FROM odd"""
+
+_FACT_NUMBERED = _FACT.replace(
+    "o_orderkey AS id_review", "row_number() OVER (ORDER BY o_orderkey) AS id_review"
+)
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -175,6 +189,7 @@ def oracle_sql() -> dict[str, str]:
         "stage_logs_csv": f"WITH {_LOGS} SELECT {_LOG_COLUMNS}, id_review FROM logs",
         "stage_logs_text": _NUMBERED,
         "stage_logs_text_spread": _NUMBERED,
+        "stage_logs_text_odd": _ODD,
         "stage_logs_xml": _NUMBERED,
         "split_os_browser": f"WITH {_LOGS} SELECT * FROM enriched",
         # dimensions
@@ -205,4 +220,6 @@ def oracle_sql() -> dict[str, str]:
         "fct_movie_analytics": _FACT,
         "fct_movie_analytics_hot_keys": _FACT,
         "mart_from_files": _FACT,
+        "mart_from_text_logs": _FACT_NUMBERED,
+        "mart_line_breaks": _users(insert_date=False),
     }

@@ -42,7 +42,8 @@ def load_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def purchases_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_count(inputs.purchases(spark, sf_dir))
+    """Of the landed table."""
+    return row_count(load_purchases(spark, sf_dir))
 
 
 def export_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,6 +145,20 @@ def stage_logs_text_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _staged_logs(spark, path, "text")
 
 
+def stage_logs_text_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments with tags in them, empty elements, several records without a line end."""
+    odd = F.expr(
+        "CASE id_review % 5 WHEN 0 THEN concat('<!-- no <log> -->', log)"
+        " WHEN 1 THEN replace(log, '</log>', '</log >')"
+        " WHEN 2 THEN concat(log, '<log/>', log) WHEN 3 THEN concat('<log />', log)"
+        " ELSE replace(log, '<device>', '<!-- <os>no</os> <log> --><device>') END"
+    )
+    with scratch_folder(spark, "logs-text") as path:
+        ordered = inputs.logs(spark, sf_dir).orderBy("id_review")
+        inputs.log_xml(ordered).select(odd.alias("log")).write.text(path)
+        return _staged_logs(spark, path, "text")
+
+
 def stage_logs_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records over several lines by Spark's XML source, numbered in file order."""
     with scratch_folder(spark, "logs-xml") as path:
@@ -262,6 +277,45 @@ def mart_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, mart.table("fct_movie_analytics"))
 
 
+def mart_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases with line breaks in a field, landed, exported and read for the facts."""
+    place = scratch_path(spark, "mart")
+    mart = jobs.Warehouse(_table_name("mart"), location=f"{place}/tables")
+    spark.sql(f"CREATE DATABASE {mart.database} LOCATION '{place}/database'")
+    broken = F.expr("concat(detail, '\n', '\"', stock_code, '\r\n,')").alias("detail")
+    with scratch_folder(spark, "mart-files") as root:
+        rows = inputs.purchases(spark, sf_dir).withColumn("detail", broken)
+        writers.write_csv(rows, f"{root}/raw")
+        landed = _table_name("landed")
+        jobs.load_purchases(spark, f"{root}/raw", landed, f"{root}/landed", multi_line=True)
+        jobs.export_purchases(spark, landed, f"{root}/export")
+        writers.write_parquet(reviews_union(spark, sf_dir), f"{root}/reviews")
+        writers.write_parquet(inputs.logs(spark, sf_dir), f"{root}/logs")
+        given = ([f"{root}/reviews"], f"{root}/logs", mart, LOAD_TS)
+        jobs.build_facts(spark, landed, *given, purchases_format="table")
+        jobs.build_facts(spark, f"{root}/export", *given, multi_line=True)
+        spark.sql(f"DROP TABLE {landed}")
+    return tables.read_table(spark, mart.table("fct_users")).drop("insert_date")
+
+
+def mart_from_text_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts over logs that got their ids from their place in the files."""
+    place = scratch_path(spark, "mart")
+    mart = jobs.Warehouse(_table_name("mart"), location=f"{place}/tables")
+    spark.sql(f"CREATE DATABASE {mart.database} LOCATION '{place}/database'")
+    with scratch_folder(spark, "mart-files") as root:
+        _write_log_text(spark, sf_dir, f"{root}/raw-logs", pretty=True)
+        jobs.stage_logs(spark, f"{root}/raw-logs", f"{root}/logs", "text")
+        jobs.build_dims(spark, f"{root}/logs", mart)
+        writers.write_parquet(inputs.purchases(spark, sf_dir), f"{root}/purchases")
+        writers.write_parquet(reviews_union(spark, sf_dir), f"{root}/reviews")
+        jobs.build_facts(
+            spark, f"{root}/purchases", [f"{root}/reviews"], f"{root}/logs", mart, LOAD_TS,
+            purchases_format="parquet",
+        )
+    return tables.read_table(spark, mart.table("fct_movie_analytics"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "load_purchases": load_purchases,
@@ -277,6 +331,7 @@ def queries() -> dict[str, Query]:
         "stage_logs_csv": stage_logs_csv,
         "stage_logs_text": stage_logs_text,
         "stage_logs_text_spread": stage_logs_text_spread,
+        "stage_logs_text_odd": stage_logs_text_odd,
         "stage_logs_xml": stage_logs_xml,
         "split_os_browser": split_os_browser,
         **{name: _dim(plan) for name, plan in dims.DIMENSIONS.items()},
@@ -291,4 +346,6 @@ def queries() -> dict[str, Query]:
         "fct_movie_analytics": fct_movie_analytics,
         "fct_movie_analytics_hot_keys": fct_movie_analytics_hot_keys,
         "mart_from_files": mart_from_files,
+        "mart_from_text_logs": mart_from_text_logs,
+        "mart_line_breaks": mart_line_breaks,
     }

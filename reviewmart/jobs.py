@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +30,12 @@ from reviewmart.sinks.writers import (
 )
 from reviewmart.sources.csv import read_csv, read_purchases, read_reviews
 from reviewmart.sources.review_logs import read_logs_csv, read_logs_text, read_logs_xml
-from reviewmart.sources.tables import read_staged_logs, read_staged_reviews, read_table
+from reviewmart.sources.tables import (
+    read_staged,
+    read_staged_logs,
+    read_staged_reviews,
+    read_table,
+)
 
 
 @dataclass(frozen=True)
@@ -86,8 +92,15 @@ def load_purchases(
         full_refresh(rows, table)
 
 
-def export_purchases(spark: SparkSession, table: str, csv_path: str) -> None:
-    write_csv(read_table(spark, table), csv_path)
+def export_purchases(
+    spark: SparkSession,
+    table: str,
+    csv_path: str,
+    fmt: str | None = None,
+    options: Mapping[str, str] | None = None,
+) -> None:
+    """From the catalog, or with ``fmt`` from behind that connector."""
+    write_csv(read_table(spark, table, fmt, options), csv_path)
 
 
 def stage_reviews(
@@ -97,7 +110,10 @@ def stage_reviews(
     keyword: str = DEFAULT_KEYWORD,
     multi_line: bool = False,
 ) -> None:
-    """Flag reviews; only the narrow staged rows are shuffled, to merge files."""
+    """Flag reviews; only the narrow staged rows are shuffled, to merge files.
+
+    Without ``multi_line`` a review with a line break is an error.
+    """
     raw = read_reviews(spark, csv_path, multi_line)
     with sized_for(spark, scanned=_paths(csv_path)):
         write_parquet(staged_reviews(raw, keyword), out_path, merge=True)
@@ -116,8 +132,14 @@ def stage_logs(
     ``csv``: id and XML text in two columns, the record's own id is kept.
     ``text``: records in any arrangement, numbered in file order.
     ``xml``: the same by Spark's XML source, one task per file.
+    ``xml-document``: the same for files that are whole documents.
     """
-    readers = {"csv": read_logs_csv, "text": read_logs_text, "xml": read_logs_xml}
+    readers = {
+        "csv": read_logs_csv,
+        "text": read_logs_text,
+        "xml": read_logs_xml,
+        "xml-document": partial(read_logs_xml, single_root=True),
+    }
     if layout not in readers:
         raise ValueError(f"unknown log layout {layout!r}")
     options = {"multi_line": multi_line} if layout == "csv" else {}
@@ -139,29 +161,46 @@ def build_dims(spark: SparkSession, logs_path: str, warehouse: Warehouse) -> Non
         warehouse.write(dim(logs), name)
 
 
+def _purchases(
+    spark: SparkSession, source: str | list[str], fmt: str, multi_line: bool
+) -> tuple[DataFrame, list[str]]:
+    """Purchases and the paths they are stored under."""
+    if fmt == "table":
+        rows = read_table(spark, source)
+        return rows, rows.inputFiles()
+    if fmt == "parquet":
+        return read_staged(spark, source, PURCHASES), _paths(source)
+    if fmt != "csv":
+        raise ValueError(f"unknown format of purchases {fmt!r}")
+    return read_purchases(spark, source, multi_line), _paths(source)
+
+
 def build_facts(
     spark: SparkSession,
-    purchases_csv: str | list[str],
+    purchases: str | list[str],
     reviews_paths: list[str],
     logs_path: str,
     warehouse: Warehouse,
     load_ts: datetime | None = None,
+    purchases_format: str = "csv",
+    multi_line: bool = False,
 ) -> None:
     """Both fact tables.
 
+    ``purchases`` are CSV files, Parquet folders, or the name of the landed table,
+    as ``purchases_format`` says (``csv``, ``parquet``, ``table``).  CSV files whose
+    fields hold line breaks need ``multi_line``; without it they are an error.
+
     The distinct reviews and the user totals are written once and read by all
     that follows, so nothing is computed twice and both facts carry the same
     totals.
     """
-    shuffled = [*reviews_paths, logs_path]
-    with (
-        scratch_folder(spark, "build-facts") as folder,
-        sized_for(spark, shuffled, scanned=_paths(purchases_csv)),
-    ):
+    bought, stored = _purchases(spark, purchases, purchases_format, multi_line)
+    shuffled = [*reviews_paths, logs_path, *stored]
+    with scratch_folder(spark, "build-facts") as folder, sized_for(spark, shuffled):
         parts = [read_staged_reviews(spark, p) for p in reviews_paths]
         reviews = stage(reviews_union(*parts), "reviews", folder)
-        purchases = read_purchases(spark, purchases_csv)
-        users = stage(fct_users(purchases, reviews, load_ts), "users", folder)
+        users = stage(fct_users(bought, reviews, load_ts), "users", folder)
         warehouse.write(users, "fct_users")
 
         logs = split_os_browser(read_staged_logs(spark, logs_path))

@@ -7,6 +7,7 @@ session without that setting gets a folder of its own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,7 +22,8 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        # In local-cluster mode executors are processes of their own.
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="reviewmart-"))
     return context.getCheckpointDir().rstrip("/")
@@ -40,9 +42,13 @@ def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
     try:
         yield folder
     finally:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files.delete(path, True)
+        delete_folder(spark, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path, True)
 
 
 def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:

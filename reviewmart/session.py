@@ -40,8 +40,10 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 # out small.  Rows are some three times larger in a shuffle than in Parquet.
 INPUT_PER_PARTITION = 48 << 20
 # Scan tasks times shuffle partitions is the number of blocks a shuffle moves, so
-# neither may grow without end: beyond these the pieces get larger instead.
-MAX_PARTITIONS = 32_768
+# beyond these numbers the pieces get larger first.  A shuffle partition has its
+# limit, which a task can still sort; from there on their number grows again.
+MANY_PARTITIONS = 32_768
+MOST_PER_PARTITION = 512 << 20
 MAX_SCAN_TASKS = 32_768
 MAX_SPLIT = 1 << 30
 
@@ -64,22 +66,27 @@ def _bytes(size: str) -> int:
     return int(number) << 10 * " kmgtp".index(unit or " ")
 
 
+def shuffle_partitions(moved: int) -> int:
+    """For so many stored bytes that are shuffled."""
+    each = min(max(INPUT_PER_PARTITION, -(-moved // MANY_PARTITIONS)), MOST_PER_PARTITION)
+    return -(-moved // each)
+
+
 @contextmanager
 def sized_for(
     spark: SparkSession, shuffled: Sequence[str] = (), scanned: Sequence[str] = ()
 ) -> Iterator[None]:
     """Size shuffles and scans for inputs, inside the block.
 
-    All rows of the ``shuffled`` inputs are shuffled; the ``scanned`` ones are
-    not, or only what is left of them after aggregation.  Partitions and splits
+    Rows of the ``shuffled`` inputs are shuffled, if only after an aggregation that
+    may not shrink them; the ``scanned`` ones are not.  Partitions and splits
     are never fewer or smaller than the session asks for.
     """
     moved = stored_bytes(spark, shuffled)
     read = moved + stored_bytes(spark, scanned)
-    partitions = min(-(-moved // INPUT_PER_PARTITION), MAX_PARTITIONS)
     split = min(-(-read // MAX_SCAN_TASKS), MAX_SPLIT)
     settings = {
-        INITIAL: max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions"))),
+        INITIAL: max(shuffle_partitions(moved), int(spark.conf.get("spark.sql.shuffle.partitions"))),
         SPLIT: max(split, _bytes(spark.conf.get(SPLIT))),
     }
     before = {key: spark.conf.get(key, None) for key in settings}

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmart.schemas import ddl
-from reviewmart.scratch import scratch_folder, stage
+from reviewmart.scratch import delete_folder
 from reviewmart.sources.csv import DIALECT
 
 # Formats the catalog stores itself; any other name is a connector.
@@ -52,17 +54,54 @@ def write_table(
     """Replace a table, making its database if it is missing.
 
     Catalog formats take ``path`` in ``options`` for a table outside the
-    warehouse folder.  A connector takes whatever it needs there, for instance
+    warehouse folder; versions after the first are in folders beside it.  A connector takes whatever it needs there, for instance
     the bucket it stages files in.
     """
-    writer = df.write.format(fmt).mode("overwrite").options(**(options or {}))
+    options = dict(options or {})
     if fmt in CATALOG_FORMATS:
         _create_database(df.sparkSession, name)
-        writer.saveAsTable(name)
-    elif fmt == "jdbc":
-        writer.option("dbtable", name).save()
+        _replace(df, name, fmt, options)
+        return
+    writer = df.write.format(fmt).mode("overwrite").options(**options)
+    writer.option("dbtable" if fmt == "jdbc" else "table", name).save()
+
+
+def _replace(df: DataFrame, name: str, fmt: str, options: dict[str, str]) -> None:
+    """Write the rows to a fresh folder, then point the table there.
+
+    Until all rows are written, and if that fails, the table is as it was; its old
+    folder goes last.  ``df`` may read the table.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        df.write.format(fmt).options(**options).saveAsTable(name)
+        return
+    details = _details(spark, name)
+    old = details["Location"]
+    place = options.pop("path", old.rsplit(FRESH, 1)[0])
+    fresh = f"{place.rstrip('/')}{FRESH}{uuid.uuid4().hex}"
+    try:
+        df.write.format(fmt).options(**options).save(fresh)
+    except BaseException:
+        delete_folder(spark, fresh)
+        raise
+    same = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
+    if details["Provider"] == fmt and same == [(f.name, f.dataType) for f in df.schema.fields]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
     else:
-        writer.option("table", name).save()
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{fresh}'")
+    spark.catalog.refreshTable(name)
+    delete_folder(spark, old)
+
+
+# Between a table's own folder and what tells its versions apart.
+FRESH = "-version-"
+
+
+def _details(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows}
 
 
 def _create_database(spark: SparkSession, table: str) -> None:
@@ -83,14 +122,11 @@ def create_table(
 def full_refresh(df: DataFrame, name: str) -> None:
     """Leave exactly the rows of ``df`` in an existing table.
 
-    Columns go by name.  All rows are made and written elsewhere first: if that
-    fails the table stays as it was, and ``df`` may read the table itself.
+    Columns go by name.  All rows are written elsewhere first, once: if that fails
+    the table stays as it was, and ``df`` may read the table itself.
     """
-    spark = df.sparkSession
-    columns = spark.table(name).columns
-    with scratch_folder(spark, "refresh") as folder:
-        rows = stage(df.select(*columns), "rows", folder)
-        rows.write.insertInto(name, overwrite=True)
+    table = df.sparkSession.table(name).schema
+    _replace(df.select(*(F.col(f.name).cast(f.dataType) for f in table)), name, "parquet", {})
 
 
 def register_views(views: Mapping[str, DataFrame]) -> None:

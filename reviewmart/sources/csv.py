@@ -6,10 +6,11 @@ backslash is an ordinary character.  An empty field, quoted or not, is NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewmart.schemas import PURCHASES, RAW_REVIEWS
+from reviewmart.schemas import PURCHASES, RAW_REVIEWS, ddl
 
 # Shared by readers and writers, so that a round trip changes nothing.
 DIALECT = {"header": "true", "quote": '"', "escape": '"'}
@@ -29,6 +30,8 @@ def read_csv(
     ``by_name`` finds the columns by the header, in any order and among others;
     all files must agree.  Otherwise they go by position and the header is
     skipped.  A value that does not parse is NULL, or an error when ``strict``.
+    A row with too few or too many fields is always an error: most likely a
+    quoted field holds a line break, and the row is half of one.
 
     ``multi_line`` allows line breaks inside quoted fields; such files are read
     one task per file, so deliver them in many files.  ``timestamp_format`` is
@@ -41,11 +44,38 @@ def read_csv(
     if by_name:
         # Only the first line of one file is read for this.
         header = reader.csv(path).columns
-        reader = reader.schema(_in_header_order(schema, header))
+        read_as = _in_header_order(schema, header)
         reader = reader.option("enforceSchema", "false")
     else:
-        reader = reader.schema(schema)
-    return reader.csv(path).select(*schema.names)
+        read_as = schema
+    if strict:
+        return reader.schema(read_as).csv(path).select(*schema.names)
+    read_as = T.StructType([*read_as.fields, T.StructField(ODD_ROW, T.StringType())])
+    rows = reader.schema(read_as).option("columnNameOfCorruptRecord", ODD_ROW).csv(path)
+    # In every column: a filter on one of them, pushed into the reader, would else drop
+    # broken rows before they are looked at.
+    whole = _whole(read_as)
+    return rows.select(*(F.when(whole, F.col(c)).alias(c) for c in schema.names))
+
+
+# Holds the text of a row in which something did not parse.
+ODD_ROW = "_odd_row"
+
+
+def _whole(read_as: T.StructType) -> Column:
+    """True, or an error for a row that does not parse even as plain strings."""
+    strings = T.StructType([T.StructField(f.name, T.StringType()) for f in read_as.fields])
+    options = {"quote": DIALECT["quote"], "escape": DIALECT["escape"]}
+    options["columnNameOfCorruptRecord"] = ODD_ROW
+    broken = F.from_csv(F.col(ODD_ROW), ddl(strings), options)[ODD_ROW].isNotNull()
+    message = F.concat(
+        F.lit("a CSV row has another number of fields than the header; if fields hold"),
+        F.lit(" line breaks, read with multi_line: "),
+        F.substring(ODD_ROW, 1, 200),
+    )
+    return F.when(F.col(ODD_ROW).isNull() | ~broken, True).otherwise(
+        F.raise_error(message).cast("boolean")
+    )
 
 
 def _in_header_order(schema: T.StructType, header: list[str]) -> T.StructType:

@@ -41,25 +41,66 @@ def read_logs_csv(
     return raw.select("id_review", record.alias("r")).select("r.*", "id_review")
 
 
+def _plain_cdata(text: Column) -> Column:
+    """CDATA sections as escaped text, so that what looks like a tag in them is none."""
+
+    def plain(part: Column, i: Column) -> Column:
+        inside = F.substring_index(part, "]]>", 1)
+        rest = F.substr(part, F.length(inside) + 4)
+        escaped = F.replace(inside, F.lit("&"), F.lit("&amp;"))
+        escaped = F.replace(escaped, F.lit("<"), F.lit("&lt;"))
+        return F.when(i == 0, part).otherwise(F.concat(escaped, rest))
+
+    parts = F.transform(F.split(text, r"<!\[CDATA\["), plain)
+    return F.when(F.contains(text, F.lit("<![CDATA[")), F.array_join(parts, "")).otherwise(text)
+
+
+def _whole_sections(text: Column) -> Column:
+    """True, or an error where a comment or CDATA section does not end in the text."""
+    left = F.regexp_replace(text, r"(?s)<!\[CDATA\[.*?\]\]>", "")
+    torn = F.contains(left, F.lit("<!--")) | F.contains(left, F.lit("<![CDATA["))
+    message = F.concat(
+        F.lit("a closing tag lies inside a comment or CDATA section; read with another"),
+        F.lit(" layout than text: "),
+        F.substring(text, 1, 200),
+    )
+    return F.when(~torn, True).otherwise(F.raise_error(message).cast("boolean"))
+
+
 def read_logs_text(
     spark: SparkSession, path: str | list[str], row_tag: str = ROW_TAG
 ) -> DataFrame:
     """Files of records in any arrangement, on one line or over many, no ids.
 
-    The text is cut at the closing tag, so large files are read by many tasks.
-    Rows carry their file position, for ``number_rows``.
+    The text is cut at the closing tag, so large files are read by many tasks, and each
+    part at its opening tags: every opening tag outside comments and CDATA sections is a
+    record, an empty element (``<log/>``) too.  A closing tag *inside* a comment or CDATA
+    section cuts that in two, which is an error.  Rows carry their file position, for
+    ``number_rows``.
     """
     paths = [path] if isinstance(path, str) else path
     closing = f"</{row_tag}>"
-    opening = rf"<{row_tag}(?:\s[^>]*)?>"
+    opening = rf"<{row_tag}(?:\s[^>]*)?/?>"
+    value = F.regexp_replace("value", r"(?s)<!--.*?-->", "")
     chunks = spark.read.option("lineSep", closing).text(paths)
-    # Text before the first record's opening tag or after the last one is no record.
-    body = F.regexp_extract("value", f"(?s){opening}.*", 0)
-    records = chunks.where(F.col("value").rlike(opening)).select(
-        F.concat(body, F.lit(closing)).alias("xml"), "_metadata"
+    chunks = chunks.where(F.col("value").rlike(opening)).select(
+        value.alias("value"), "_metadata"
+    )
+    chunks = chunks.where(_whole_sections(F.col("value")))
+    # A part but the last is followed by an opening tag, not by the closing one.
+    parts = F.split(_plain_cdata(F.col("value")), rf"(?={opening})")
+    parts = chunks.select(F.size(parts).alias("n"), F.posexplode(parts), "_metadata")
+    text = F.col("col")
+    spaced = rf"(?s)^(.*?</{row_tag})\s+>"
+    record = (
+        F.when(text.rlike(rf"^<{row_tag}(?:\s[^>]*)?/>"), F.regexp_extract(text, f"^{opening}", 0))
+        .when(text.rlike(spaced), F.concat(F.regexp_extract(text, spaced, 1), F.lit(">")))
+        .when(F.col("pos") == F.col("n") - 1, F.concat(text, F.lit(closing)))
+        .otherwise(text)
     )
-    record = parse_record(F.col("xml")).alias("r")
-    return with_file_position(records).select(record, *POSITION).select("r.*", *POSITION)
+    records = parts.where(text.rlike(f"^{opening}")).select(record.alias("xml"), "_metadata")
+    parsed = parse_record(F.col("xml")).alias("r")
+    return with_file_position(records).select(parsed, *POSITION).select("r.*", *POSITION)
 
 
 def read_logs_xml(
@@ -67,15 +108,18 @@ def read_logs_xml(
     path: str | list[str],
     row_tag: str = ROW_TAG,
     root_tag: str = ROOT_TAG,
+    single_root: bool = False,
 ) -> DataFrame:
     """XML files by Spark's XML source, no ids.
 
-    For files ``read_logs_text`` cannot cut, such as closing tags with spaces.
-    Spark reads each file in one task, so deliver many files.  Rows carry their
-    file position, for ``number_rows``.
+    For files ``read_logs_text`` cannot: closing tags inside comments or CDATA.  With
+    ``single_root`` a parser reads them that knows all of XML, but wants whole documents
+    of one root element; the other one takes any row of records, but misreads closing
+    tags with spaces, comments that hold tags, and empty elements.  Spark reads each file
+    in one task, so deliver many files.  Rows carry their file position, for
+    ``number_rows``.
     """
     reader = spark.read.format("xml").schema(LOG_RECORD).options(**PARSING)
     reader = reader.option("rowTag", row_tag).option("rootTag", root_tag)
-    # The other parser rejects files without a single root element.
-    rows = reader.option("useLegacyXMLParser", "true").load(path)
+    rows = reader.option("useLegacyXMLParser", not single_root).load(path)
     return with_file_position(rows.select("*", "_metadata"))

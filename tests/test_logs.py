@@ -174,7 +174,7 @@ def test_row_ids_in_file_order(spark, tmp_path, conf, reader, one_line, split):
     if reader is read_logs_text and split == "300":
         assert placed.rdd.getNumPartitions() > 50
     written = stage(placed, "test-logs")
-    for max_broadcast in (1_000_000, 0):
+    for max_broadcast in (1 << 20, 0):
         got = number_rows(written, "id_review", max_broadcast)
         rows = got.select("id_review", "device", "phoneNumber").collect()
         assert sorted(map(tuple, rows)) == [
@@ -266,3 +266,55 @@ def test_dimensions_read_only_their_columns(spark, tmp_path):
     logs = split_os_browser(read_staged_logs(spark, path))
     plan = plan_text(dims.dim_os(logs))
     assert "ReadSchema: struct<os:string,id_review:bigint>" in plan
+
+
+ODD = {
+    "a comment with a tag before": ("<log><os>a</os></log><!-- <log> --><log><os>b</os></log>", "ab"),
+    "a comment with a tag inside": ("<log><!-- <log> --><os>a</os></log><log><os>b</os></log>", "ab"),
+    "an empty element": ("<log><os>a</os></log><log /><log><os>b</os></log>", "a-b"),
+    "no space in it": ("<log><os>a</os></log><log/><log><os>b</os></log>", "a-b"),
+    "a closing tag with a space": ("<log><os>a</os></log ><log><os>b</os></log\n><log><os>c</os></log>", "abc"),
+    "tags in CDATA": ("<log><os><![CDATA[<log>]]></os></log><log><os>b</os></log>", ["<log>", "b"]),
+    "CDATA with an ampersand": ("<log><os><![CDATA[&lt;]]></os></log>", ["&lt;"]),
+}
+
+
+@pytest.mark.parametrize("name", ODD)
+def test_odd_records_keep_their_place(spark, tmp_path, name):
+    text, due = ODD[name]
+    due = [None if x == "-" else x for x in due]
+    write(tmp_path / "in", "a.xml", f"<reviewlog>{text}</reviewlog>")
+    for layout in ("text", "xml-document"):
+        jobs.stage_logs(spark, str(tmp_path / "in"), str(tmp_path / layout), layout)
+        got = read_staged_logs(spark, str(tmp_path / layout)).orderBy("id_review")
+        assert [(r.id_review, r.os) for r in got.collect()] == list(enumerate(due, 1)), layout
+
+
+def test_a_record_without_closing_tag_keeps_its_place(spark, tmp_path):
+    write(tmp_path / "in", "a.xml", "<log><os>a</os></log><log><os>x</os><log><os>c</os></log>")
+    got = read_logs_text(spark, str(tmp_path / "in")).orderBy("scan_order")
+    assert [r.os for r in got.collect()] == ["a", None, "c"]
+
+
+@pytest.mark.parametrize("text", ["<!-- </log> -->", "<os><![CDATA[</log>]]></os>"])
+def test_a_section_cut_in_two_is_an_error(spark, tmp_path, text):
+    write(tmp_path / "in", "a.xml", f"<reviewlog><log>{text}<os>a</os></log></reviewlog>")
+    with pytest.raises(Exception, match="layout"):
+        read_logs_text(spark, str(tmp_path / "in")).collect()
+
+
+def test_numbering_ends_in_no_single_task(spark, tmp_path, monkeypatch):
+    from reviewmart.operators import row_ids
+
+    seen = []
+    real = row_ids.stage
+
+    def watched(df, *rest):
+        seen.append(plan_text(df))
+        return real(df, *rest)
+
+    monkeypatch.setattr(row_ids, "stage", watched)
+    write_files(tmp_path / "in", one_line=True)
+    written = stage(read_logs_text(spark, str(tmp_path / "in")), "test-logs")
+    seen.append(plan_text(number_rows(written, "id_review")))
+    assert len(seen) == 3 and not any("SinglePartition" in plan for plan in seen)
