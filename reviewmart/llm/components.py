@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmart.scratch import stage
+from reviewmart.llm.tasks import stage
+
 
 
 def components(links: DataFrame, folder: str | None = None) -> DataFrame:

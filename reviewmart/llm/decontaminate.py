@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reviewmart.scratch import stage
+from reviewmart.llm.tasks import stage
+
 
 # Sketched shingles that go to the tasks as a constant, 8 bytes each; with more, the
 # documents' shingles are joined to them.

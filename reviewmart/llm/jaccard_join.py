@@ -25,14 +25,23 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmart.llm.components import components
 from reviewmart.llm.routing import flags, repeated
-from reviewmart.llm.tasks import LOWER, chunks, mixed, rolled, ship, span_hashes, utf8, word_bounds
+from reviewmart.llm.tasks import (
+    LOWER,
+    chunks,
+    mixed,
+    rolled,
+    ship,
+    span_hashes,
+    stage,
+    utf8,
+    word_bounds,
+)
 from reviewmart.llm.texts import unzipped, zipped
-from reviewmart.scratch import stage
 
 SIZE = 5
 PERCENT = 75
@@ -41,6 +50,7 @@ PERCENT = 75
 # task are not summed, and of the frequent ones the first MAX_FREQUENT count as such.
 FREQUENT, LOCAL, COUNTED, MAX_FREQUENT = 1000, 16, 1 << 22, 1 << 16
 MINHASHES = 4
+ONE = np.uint64(1)
 
 SETS = "kind byte, id long, n long, s1 long, s2 long, " + ", ".join(
     f"m{j} long" for j in range(MINHASHES)
@@ -125,7 +135,9 @@ def least_overlap(n: np.ndarray) -> np.ndarray:
 
 
 def index_keys(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray):
-    """Keys to index sets under, and each key's set."""
+    """Keys to index sets under, and each key's set; each set's number of single keys
+    and the last one.  The lowest bit of a key tells a combination from a single one.
+    """
     n = np.diff(bounds)
     doc = np.repeat(np.arange(len(n)), n)
     if len(frequent):
@@ -138,7 +150,13 @@ def index_keys(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray):
     rank = np.arange(len(hashes)) - bounds[doc]
     prefix = (n - least_overlap(n) + 1)[doc]
     single = (rank < prefix) & ~often
-    keys, docs = [hashes[single]], [doc[single]]
+    keys, docs = [hashes[single] & ~ONE], [doc[single]]
+    singles = np.bincount(doc[single], minlength=len(n))
+    rare = np.bincount(doc[~often], minlength=len(n))
+    # With all rare ones in the prefix, its range has no end.
+    last = np.full(len(n), ~np.uint64(0))
+    inner = np.flatnonzero((singles > 0) & (singles < rare))
+    last[inner] = hashes[bounds[inner] + singles[inner] - 1]
     left = np.flatnonzero((rank < prefix) & often)
     for i in np.unique(doc[left]):
         own = left[np.searchsorted(doc[left], i) : np.searchsorted(doc[left], i, "right")]
@@ -147,9 +165,9 @@ def index_keys(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray):
             # A set of one shingle: only an equal one is similar, and that is its class.
             continue
         a, b = np.triu_indices(len(extended), 1)
-        keys.append(mixed(mixed(extended[a]) ^ extended[b]))
+        keys.append(mixed(mixed(extended[a]) ^ extended[b]) | ONE)
         docs.append(np.full(len(a), i))
-    return np.concatenate(keys), np.concatenate(docs)
+    return np.concatenate(keys), np.concatenate(docs), singles, last
 
 
 def _index(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -163,7 +181,7 @@ def _index(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[
                 if (name := name.tobytes()) not in met and bounds[i + 1] > bounds[i]:
                     met.add(name)
                     new[i] = True
-            keys, docs = index_keys(hashes, bounds, frequent)
+            keys, docs, _, _ = index_keys(hashes, bounds, frequent)
             keys, docs = keys[new[docs]], docs[new[docs]]
             ids = part.column(0).take(pa.array(docs))
             for low in range(0, len(keys), 1 << 16):
@@ -180,6 +198,17 @@ def _index(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[
                 )
 
 
+def _prefixes(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, data, offsets in chunks(batch):
+            hashes, bounds = shingle_sets(data, offsets)
+            _, _, singles, last = index_keys(hashes, bounds, frequent)
+            # Halved, so that it is the same order as signed numbers.
+            last = (last >> ONE).astype(np.int64)
+            columns = [part.column(0), pa.array(singles), pa.array(last)]
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", "singles", "last"])
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sides = []
@@ -268,8 +297,35 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     near_size = F.expr(
         f"a.n_high * 100 >= b.n_low * {PERCENT} AND b.n_high * 100 >= a.n_low * {PERCENT}"
     )
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & F.expr("a.c < b.c") & near_size)
-    pairs = pairs.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & F.expr("a.c < b.c") & near_size)
+    met = met.groupBy(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).agg(
+        F.count_if(F.expr("a.key & 1 = 0")).alias("shared")
+    )
+    # Of two sets, all single keys of the one whose prefix ends first lie within the
+    # prefix of the other: those not shared are missing there, and few may be.
+    prefixes = docs.mapInArrow(
+        partial(_prefixes, frequent=frequent), "rep long, singles long, last long"
+    )
+    prefixes = prefixes.join(open_.select("rep").distinct(), "rep").groupBy("rep").agg(
+        # Several texts of one document are not told apart here.
+        F.when(F.count("*") == 1, F.max("singles")).otherwise(0).alias("singles"),
+        F.min("last").alias("last"),
+    )
+    prefixes = prefixes.join(sized, "rep").withColumn("n", F.col("n_low"))
+    prefixes = stage(prefixes.select("rep", "singles", "last", "n"), "prefixes", folder)
+
+    def side(name: str) -> DataFrame:
+        return prefixes.select(*(F.col(c).alias(f"{name}_{c}") for c in prefixes.columns))
+
+    x, y = side("x"), side("y")
+    met = met.join(x, F.col("a") == F.col("x_rep")).join(y, F.col("b") == F.col("y_rep"))
+    overlap = F.ceil((F.col("x_n") + F.col("y_n")) * PERCENT / (100 + PERCENT))
+
+    def missing(name: str) -> Column:
+        return F.col(f"{name}_singles") - F.col("shared") - (F.col(f"{name}_n") - overlap)
+
+    first = F.when(F.col("x_last") <= F.col("y_last"), missing("x")).otherwise(missing("y"))
+    pairs = met.where(first <= 0).select("a", "b")
     more = stage(_verified(pairs, texts), "links-rest", folder)
     final = components(ties.union(more), folder)
     joined = sets.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")

@@ -23,13 +23,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmart.llm.tasks import chunks, ship, utf8
-from reviewmart.scratch import stage
+from reviewmart.llm.tasks import chunks, ship, stage, utf8
 
 ORDER = 5
 SEPARATOR = 0
 SYMBOLS = 256
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 # One in FOLDS trusted texts is kept from training; thresholds rest on these.
 FOLDS = 5
 # A text is rejected if it lies so many interquartile ranges above the upper quartile.
@@ -157,7 +156,7 @@ def log_probabilities(grams: DataFrame, model: Model) -> DataFrame:
         back = F.col("n1") * d[0] + F.col("n2") * d[1] + F.col("n3") * d[2]
         mixed = (seen + back * F.col("p")) / F.col("total")
         p = p.select("gram", F.when(F.col("total").isNull(), F.col("p")).otherwise(mixed).alias("p"))
-    return p.select("gram", F.log(F.greatest("p", F.lit(1e-12))).alias("logp"))
+    return p.select("gram", F.log(F.greatest("p", F.lit(1e-12))).cast("float").alias("logp"))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple]:
@@ -205,7 +204,7 @@ def _block_grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.R
 
 def _block_texts(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
     """Each block's rows as one compressed Arrow stream."""
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
     for block, rows in _by_block(_blocks(batches, text)):
         out = pa.BufferOutputStream()
         with pa.ipc.new_stream(out, rows[0].schema, options=options) as writer:
@@ -220,7 +219,7 @@ def _score(
 ) -> pa.Table:
     gram = grams.column("gram").to_numpy()
     by = np.argsort(gram)
-    gram, logp = gram[by], grams.column("logp").to_numpy()[by]
+    gram, logp = gram[by], grams.column("logp").to_numpy()[by].astype(np.float64)
     out = []
     for stream in texts.column("rows"):
         for batch in pa.ipc.open_stream(stream.as_buffer()):
@@ -256,7 +255,8 @@ def score(
     )
     wanted = stage(grams, "block-grams", folder)
     logp = log_probabilities(wanted.select("gram").distinct(), model)
-    found = wanted.join(logp, "gram")
+    logp = stage(logp, "log-probabilities", folder)
+    found = wanted.join(logp, "gram").select("block", "gram", "logp")
     columns = list(dict.fromkeys([*keep, text]))
     rows = docs.select(*columns)
     at = columns.index(text)

@@ -37,11 +37,11 @@ from reviewmart.llm.tasks import (
     ship,
     sliding_min,
     span_hashes,
+    stage,
     utf8,
     word_bounds,
 )
 from reviewmart.llm.texts import unzipped, zipped
-from reviewmart.scratch import stage
 
 PIECES = "key long, flag byte, h long, doc_id long, start int, m int"
 

@@ -11,9 +11,10 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 import reviewmart
+from reviewmart import scratch
 
 # Work arrays are some tens of bytes for each byte of text.
 CHUNK_BYTES = 1 << 20
@@ -39,6 +40,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Write the rows once and read them; then give back the disk their making took.
+
+    Shuffle files go when the driver's garbage collector finds that nothing refers to
+    them any more.  On its own it may not run for a long time, as the driver makes little
+    garbage, while the executors' disks fill.
+    """
+    table = scratch.stage(df, label, folder)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return table
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all strings, and where each begins and ends; null is empty."""
     column = pc.fill_null(column, "" if pa.types.is_string(column.type) else b"")

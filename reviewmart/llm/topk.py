@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reviewmart.llm.tasks import ship
-from reviewmart.scratch import stage
+from reviewmart.llm.tasks import ship, stage
 
 CANDIDATES = 1 << 12
 QUERIES = 1 << 8

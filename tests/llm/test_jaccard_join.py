@@ -66,9 +66,16 @@ def test_combinations_of_frequent_shingles_find_all_pairs():
         y = np.sort(np.unique(np.append(x[change // 2 :], rng.integers(1000, 2000, change - change // 2).astype(np.uint64))))
         both = len(np.intersect1d(x, y))
         frequent = np.sort(rng.choice(2000, trial * 7 % 2000, replace=False)).astype(np.uint64)
-        keys, docs = jaccard_join.index_keys(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), frequent)
+        bounds = np.array([0, len(x), len(x) + len(y)])
+        keys, docs, singles, last = jaccard_join.index_keys(np.concatenate([x, y]), bounds, frequent)
         if 100 * both >= 75 * (len(x) + len(y) - both) and len(x) > 1:
-            assert set(keys[docs == 0].tolist()) & set(keys[docs == 1].tolist())
+            shared = set(keys[docs == 0].tolist()) & set(keys[docs == 1].tolist())
+            assert shared
+            # What the set whose prefix ends first has alone is not more than may be.
+            i = 0 if last[0] <= last[1] else 1
+            overlap = -(-75 * (len(x) + len(y)) // 175)
+            alone = singles[i] - sum(k % 2 == 0 for k in shared)
+            assert alone <= (len(x), len(y))[i] - overlap
 
 
 def test_one_of_each_keeps_all_columns(spark):

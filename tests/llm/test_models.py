@@ -180,7 +180,7 @@ def test_perplexity_against_plain_kneser_ney(spark, tmp_path):
     model = quality.train(spark.createDataFrame([(t,) for t in trusted], "text string"))
     due = kneser_ney(trusted, quality.ORDER)
     for r in quality.score(docs, model, ["doc_id", "text"]).collect():
-        assert math.isclose(r["kn_log_perplexity"], due(r["text"] or ""), rel_tol=1e-9), r
+        assert math.isclose(r["kn_log_perplexity"], due(r["text"] or ""), rel_tol=1e-6), r
 
 
 def test_classify_rejects_junk_and_keeps_all_columns(spark, tmp_path):
