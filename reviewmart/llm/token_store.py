@@ -90,7 +90,8 @@ def _pack(
     ends, offsets, frames, n_ids = [], [], [], 0
 
     def done() -> pa.RecordBatch:
-        row = [part, block, start, n_ids, docs[0], docs[-1], docs, ends, offsets, digest]
+        known = [x for x in docs if x is not None] or [None]  # nulls come first
+        row = [part, block, start, n_ids, known[0], known[-1], docs, ends, offsets, digest]
         row.append(b"".join(frames))
         return pa.RecordBatch.from_arrays(
             [pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema
