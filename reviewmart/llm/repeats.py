@@ -127,18 +127,12 @@ def _pieces(batches: Iterator[pa.RecordBatch], w: Windows) -> Iterator[pa.Record
                 yield out.slice(low, 1 << 16)
 
 
-def _texts(batch: pa.RecordBatch, z: int) -> Iterator[tuple]:
-    texts, packed = unzipped(batch.column(z))
-    data, offsets = utf8(packed)
-    return texts, data, offsets
-
-
 def _single(batches: Iterator[pa.RecordBatch], w: Windows) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, z, places) with places [(start, m)]: each window, keyed by content."""
     for whole in batches:
         for low in range(0, whole.num_rows, 64):
             batch = whole.slice(low, 64)
-            _, data, offsets = _texts(batch, 1)
+            data, offsets = utf8(unzipped(batch.column(1))[1])
             h, _, _, at = w.symbols(data, offsets)
             keys = rolled(h, w.length)
             text, start = [], []
@@ -158,12 +152,12 @@ def _contents(batches: Iterator[pa.RecordBatch], w: Windows) -> Iterator[pa.Reco
     for whole in batches:
         for low in range(0, whole.num_rows, 64):
             batch = whole.slice(low, 64)
-            texts, data, offsets = _texts(batch, 1)
+            data, offsets = utf8(unzipped(batch.column(1))[1])
             _, begins, ends, at = w.symbols(data, offsets)
+            raw = data.tobytes()
             out: list[tuple] = []
             for i, pieces in enumerate(batch.column(2).to_pylist()):
                 doc = batch.column(0)[i].as_py()
-                raw = data.tobytes() if i == 0 else raw
                 for p in pieces:
                     a = at[i] + p["start"]
                     b = a + p["m"] + w.length - 1

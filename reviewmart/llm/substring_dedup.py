@@ -57,11 +57,9 @@ class WaveletMatrix:
             self.counts.append(np.concatenate([[0], ones[:-1]]))
             self.zeros.append(int(len(bit) - bit.sum()))
             order = np.concatenate([order[~bit], order[bit]])
-        self.begins = np.searchsorted(order, np.arange(symbols)) if _sorted(order) else None
-        if self.begins is None:
-            first = np.full(symbols, len(order))
-            np.minimum.at(first, order, np.arange(len(order)))
-            self.begins = first
+        # Where each symbol's run begins at the end: the first place is written last.
+        self.begins = np.zeros(symbols, np.int64)
+        self.begins[order[::-1]] = np.arange(len(order))[::-1]
 
     def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         for i, level in enumerate(range(self.levels - 1, -1, -1)):
@@ -73,10 +71,6 @@ class WaveletMatrix:
         return place - self.begins[symbol]
 
 
-def _sorted(x: np.ndarray) -> bool:
-    return bool((x[1:] >= x[:-1]).all())
-
-
 class FmIndex:
     """Of a text of symbols, each suffix with a weight."""
 

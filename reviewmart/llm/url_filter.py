@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from reviewmart.llm.tasks import ship
 
-# Each executor holds one copy of the file on its disk; larger lists are refused.
-MAX_LIST_BYTES = 4 << 30
+# The driver sorts the entries and each executor has one copy of the file on its disk;
+# larger lists are refused.
+MAX_LIST_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
