@@ -7,6 +7,7 @@ session without that setting gets a folder of its own.
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -29,10 +30,25 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+# Applications' folders that go when the driver's program ends.
+_passing: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path; nothing else writes there."""
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/reviewmart/{app}/{label}-{uuid.uuid4().hex}"
+    """A fresh path; nothing else writes there.  It lasts as long as the program."""
+    home = f"{scratch_root(spark)}/reviewmart/{spark.sparkContext.applicationId}"
+    if home not in _passing:
+        _passing.add(home)
+        atexit.register(_sweep, spark.sparkContext._jvm, home)
+    return f"{home}/{label}-{uuid.uuid4().hex}"
+
+
+def _sweep(jvm, folder: str) -> None:
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # noqa: BLE001  the JVM may have gone before
+        pass
 
 
 @contextmanager
