@@ -31,7 +31,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         later = np.full(n, 0, np.int64)
         later[: n - width] = rank[width:] + 1
         key = rank * (n + 1) + later
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys get one rank, whatever their order
         own = key[order]
         new = np.append(0, np.cumsum(own[1:] != own[:-1]))
         rank[order] = new
