@@ -262,10 +262,11 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     of_doc = some.join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).select("doc_id", "rep", "n")
     of_doc = stage(of_doc, "doc-classes", folder)
 
-    keyed = docs.mapInArrow(
+    # Rows without an id go first: they must not stand in for equal sets of others.
+    keyed = docs.where("doc_id IS NOT NULL").mapInArrow(
         partial(_index, frequent=frequent), "key long, flag byte, doc_id long"
     )
-    found = repeated(keyed.where("doc_id IS NOT NULL"))
+    found = repeated(keyed)
     found = found.join(of_doc.select("doc_id", "rep").distinct(), "doc_id")
     index = stage(found.select("key", "rep").distinct(), "index", folder)
 

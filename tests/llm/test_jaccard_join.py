@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from cases import documents, frame, split
 
-from reviewmart.llm import jaccard_join
+from reviewmart.llm import jaccard_join, tasks
 
 
 def shingles(text):
@@ -57,6 +57,22 @@ def test_against_all_pairs(spark, monkeypatch, frequent, extra):
     assert sorted(map(tuple, found), key=str) == due(rows)
 
 
+@pytest.mark.parametrize("rows_at_once", ["1000", "2"])
+def test_rows_without_an_id_take_no_links_away(spark, monkeypatch, rows_at_once):
+    # All in one task; a null id comes before an equal text, or shares its batch with a near copy.
+    monkeypatch.setattr(tasks, "BATCH_ROWS", rows_at_once)
+    rows = []
+    for i in range(8):
+        word = [f"w{i}x{j}" for j in range(100)]
+        other = [*word[:50], "new", *word[51:]]
+        far = [*word[:90], "end", *word[91:]]
+        rows += [(None, " ".join(word)), (10 * i, " ".join(word if i % 2 else far)), (10 * i + 1, " ".join(other))]
+        rows.append((10 * i + 2, f"alone{i}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = jaccard_join.near_duplicates(docs).collect()
+    assert sorted(map(tuple, found), key=str) == due(rows)
+
+
 def test_combinations_of_frequent_shingles_find_all_pairs():
     rng = np.random.default_rng(0)
     for trial in range(300):
