@@ -89,24 +89,19 @@ def item_sketches(items: DataFrame, threshold: float, size: int) -> DataFrame:
     )
 
 
-def contained(
+def _held(
     docs: DataFrame,
     items: DataFrame,
     threshold: float = 0.75,
     size: int = 5,
     folder: str | None = None,
+    fixed: bool = False,
 ) -> DataFrame:
-    """``doc_id, item_id, n_shingles, n_common``: items held by documents.
+    """``row, doc_id, item_id, n_shingles, n_common`` for (row, doc_id, text), row by row.
 
-    Both tables have a ``text``; other columns are ignored.  Words are lower-cased; an
-    item's ``n_shingles`` distinct shingles of ``size`` words occur in the document to a
-    share of ``threshold`` at least.  A text of fewer words is one shingle, and so found
-    only in an equal short text.  Null and empty texts hold nothing and are in nothing.
-    Rows that share a ``doc_id`` are judged one by one, and the best is told; so are
-    rows that share an ``item_id``, whose shingles count together.
+    ``row`` is a number of the row's own; ``fixed`` if it is the same on each reading.
     """
     items = items.select("item_id", F.col("text").cast("string"))
-    docs = docs.select("doc_id", F.col("text").cast("string"))
     # One text per item: repeated items have the shingles of all their rows.
     item_shingles = (
         items.select("item_id", F.explode(shingles("text", size, _text)).alias("shingle"))
@@ -117,34 +112,61 @@ def contained(
     keys = sketches.select("hash").distinct()
     n_keys = keys.count()
 
-    hashed = docs.withColumn("h", shingles("text", size, _hash))
     if n_keys <= MAX_CONSTANT:
         # Folded to one constant of the plan.
         listed = F.lit(",".join(str(r[0]) for r in keys.collect()))
         constant = F.array_compact(F.split(listed, ",").try_cast("array<long>"))
+        hashed = docs.withColumn("h", shingles("text", size, _hash))
         candidates = hashed.where(F.arrays_overlap("h", constant))
     else:
-        found = hashed.select("doc_id", F.explode("h").alias("hash")).join(keys, "hash", "semi")
-        candidates = docs.join(found.select("doc_id").distinct(), "doc_id", "semi")
-    candidates = candidates.select("doc_id", "text")
+        docs = docs if fixed else stage(docs, "numbered", folder)
+        found = docs.select("row", F.explode(shingles("text", size, _hash)).alias("hash"))
+        found = found.join(keys, "hash", "semi").select("row").distinct()
+        candidates = docs.join(found, "row", "semi")
+    candidates = candidates.select("row", "doc_id", "text")
     candidates = stage(candidates, "candidates", folder)
 
     few = item_shingles.count() <= MAX_BROADCAST
     table = F.broadcast(item_shingles) if few else item_shingles
-    sizes = item_shingles.groupBy("item_id").agg(F.count("*").alias("n_shingles"))
+    sizes = item_shingles.groupBy(F.col("item_id").alias("sized_id")).agg(
+        F.count("*").alias("n_shingles")
+    )
     common = (
-        candidates.withColumn("row", F.monotonically_increasing_id())
-        .withColumn("s", F.array_distinct(shingles("text", size, _text)))
-        .select("doc_id", "row", F.explode("s").alias("shingle"))
+        candidates.withColumn("s", F.array_distinct(shingles("text", size, _text)))
+        .select("row", "doc_id", F.explode("s").alias("shingle"))
         .join(table, "shingle")
-        .groupBy("doc_id", "row", "item_id")
+        .groupBy("row", "doc_id", "item_id")
         .agg(F.count("*").alias("n_common"))
-        .groupBy("doc_id", "item_id")
-        .agg(F.max("n_common").alias("n_common"))
     )
     enough = F.col("n_common") >= F.ceil(F.col("n_shingles") * threshold)
-    held = common.join(sizes, "item_id").where(enough)
-    return held.select("doc_id", "item_id", "n_shingles", "n_common")
+    same = F.col("item_id").eqNullSafe(F.col("sized_id"))
+    return common.join(sizes, same).where(enough).drop("sized_id")
+
+
+def contained(
+    docs: DataFrame,
+    items: DataFrame,
+    threshold: float = 0.75,
+    size: int = 5,
+    folder: str | None = None,
+) -> DataFrame:
+    """``doc_id, item_id, n_shingles, n_common``: items held by documents.
+
+    Both tables have a ``text``; other columns are ignored.  Words are lower-cased; an
+    item's ``n_shingles`` distinct shingles of ``size`` words occur in the document to a
+    share of ``threshold`` at least.  A text of fewer words is one shingle, and so found
+    only in an equal short text.  Null and empty texts hold nothing and are in nothing.
+    Rows that share a ``doc_id`` are judged one by one, and the best is told; so are
+    rows that share an ``item_id``, whose shingles count together.  Null is an id like
+    any other on both sides: such documents are told under a null ``doc_id``, and such
+    items, together, under a null ``item_id``.
+    """
+    docs = docs.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string")
+    )
+    held = _held(docs, items, threshold, size, folder)
+    best = held.groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_common").alias("n_common"))
+    return best.select("doc_id", "item_id", "n_shingles", "n_common")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

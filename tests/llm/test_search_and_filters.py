@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 import xxhash
 from cases import documents, frame, split
 
@@ -117,3 +118,15 @@ def test_decontamination_against_all_pairs(spark, monkeypatch):
     )
     assert decontaminate.contained(docs, table.where("false")).collect() == []
     assert decontaminate.contained(docs.where("false"), table).collect() == []
+
+
+@pytest.mark.parametrize("constant", [decontaminate.MAX_CONSTANT, 0])
+def test_ids_of_null_hold_and_are_held(spark, monkeypatch, constant):
+    monkeypatch.setattr(decontaminate, "MAX_CONSTANT", constant)
+    a, b, c = (" ".join(f"{x}{i}" for i in range(12)) for x in "abc")
+    items = spark.createDataFrame([(1, a), (None, b), (None, c)], "item_id long, text string")
+    rows = [(1, f"x {a} y"), (None, f"{a} z"), (None, "clean"), (2, f"{b} {c}"), (3, b), (4, "clean"), (None, f"{c} {b}")]
+    docs = frame(spark, rows)
+    found = decontaminate.contained(docs, items).collect()
+    due = [(1, 1, 8, 8), (None, 1, 8, 8), (2, None, 16, 16), (None, None, 16, 16)]
+    assert sorted(map(tuple, found), key=str) == sorted(due, key=str)
