@@ -23,8 +23,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of smallest id, of each group of near-duplicates."""
-    return jaccard_join.one_of_each(docs)
+    """One row, of smallest id, of each group of near-duplicates; null ids come last."""
+    return jaccard_join.one_of_each_row(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

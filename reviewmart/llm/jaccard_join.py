@@ -20,6 +20,7 @@ left to verify.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -350,3 +351,26 @@ def one_of_each(docs: DataFrame, folder: str | None = None) -> DataFrame:
         return kept
     named = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     return named.union(kept.where("doc_id IS NULL"))
+
+
+def one_of_each_row(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """The rows, all columns, without those linked to a row before in order of ``doc_id``.
+
+    Each row is a document of its own, whether its ``doc_id`` is null, repeated or not:
+    only texts that are near copies go.  Rows without an id come last, so that of equal
+    texts one with an id stays.
+    """
+    id_ = F.col("doc_id").cast("long")
+    again = docs.groupBy(id_.alias("doc_id")).count().where("count > 1 OR doc_id IS NULL")
+    if again.isEmpty():
+        return one_of_each(docs, folder)
+    # Rows of one id go by their texts' hash, so that many of them are many tasks' work.
+    order = [id_.asc_nulls_last(), F.xxhash64("text")]
+    ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order, "text")
+    number = f"row_{uuid.uuid4().hex[:8]}"
+    ordered = ordered.withColumn(number, F.monotonically_increasing_id())
+    numbered = stage(ordered, "numbered", folder)
+    found = near_duplicates(numbered.select(F.col(number).alias("doc_id"), "text"), folder)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(number))
+    gone = stage(gone, "near-duplicates", folder)
+    return numbered.join(gone, number, "anti").select(*docs.columns)

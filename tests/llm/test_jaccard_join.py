@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from cases import documents, frame, split
@@ -105,5 +106,18 @@ def test_one_of_each_keeps_all_columns(spark):
     assert ids == sorted([*expected, None, None], key=str)
 
 
+def test_pipeline_drops_rows_not_ids(spark):
+    word = [f"w{i}" for i in range(60)]
+    a, near = " ".join(word), " ".join([*word[:30], "new", *word[31:]])
+    b, c = ("one text of " + x * 9 for x in ("b ", "c "))
+    rows = [(1, a), (2, near), (2, b), (2, b.upper()), (2, c), (None, a), (None, "alone"), (None, None), (3, "")]
+    docs = frame(spark, rows)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], (r["text"] or "").strip().lower()) for r in kept.collect()]
+    due = [(1, a), (2, b.strip()), (2, c.strip()), (None, "alone"), (None, ""), (3, "")]
+    assert sorted(found, key=str) == sorted(due, key=str)
+
+
 def test_empty_table(spark):
     assert jaccard_join.near_duplicates(frame(spark, [])).collect() == []
