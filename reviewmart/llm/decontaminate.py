@@ -11,6 +11,7 @@ are candidates; their whole shingle sets are then compared as texts.
 
 from __future__ import annotations
 
+import uuid
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -169,7 +170,18 @@ def contained(
     return best.select("doc_id", "item_id", "n_shingles", "n_common")
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that hold no item, all columns; a null ``doc_id`` is kept."""
-    held = contained(docs, items, **options).select("doc_id").distinct()
-    return docs.join(stage(held, "contaminated"), "doc_id", "anti").select(*docs.columns)
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, folder: str | None = None, **options
+) -> DataFrame:
+    """The rows that hold no item, all columns, each judged by itself, whatever its id."""
+    again = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    number = f"row_{uuid.uuid4().hex[:8]}"
+    if again.isEmpty():
+        numbered = docs.withColumn(number, F.col("doc_id"))
+    else:
+        numbered = docs.withColumn(number, F.monotonically_increasing_id())
+        numbered = stage(numbered, "numbered-rows", folder)
+    texts = numbered.select(F.col(number).alias("row"), "doc_id", F.col("text").cast("string"))
+    held = _held(texts, items, folder=folder, fixed=True, **options)
+    gone = stage(held.select(F.col("row").alias(number)).distinct(), "contaminated", folder)
+    return numbered.join(gone, number, "anti").select(*docs.columns)

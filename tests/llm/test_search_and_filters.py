@@ -130,3 +130,16 @@ def test_ids_of_null_hold_and_are_held(spark, monkeypatch, constant):
     found = decontaminate.contained(docs, items).collect()
     due = [(1, 1, 8, 8), (None, 1, 8, 8), (2, None, 16, 16), (None, None, 16, 16)]
     assert sorted(map(tuple, found), key=str) == sorted(due, key=str)
+    clean = decontaminate.without_contaminated(docs.union(docs.where("doc_id = 4")), items)
+    assert clean.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in clean.collect()]
+    # Neither of the null item's texts is the whole item, so b alone stays.
+    assert sorted(kept, key=str) == sorted([(None, "clean"), (3, b), (4, "clean"), (4, "clean")], key=str)
+
+
+def test_a_repeated_id_goes_only_where_it_holds_an_item(spark):
+    a = " ".join(f"a{i}" for i in range(12))
+    items = spark.createDataFrame([(1, a)], "item_id long, text string")
+    docs = frame(spark, [(1, "clean"), (1, f"{a} z"), (2, a), (3, "also clean")])
+    kept = decontaminate.without_contaminated(docs, items).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, "clean"), (3, "also clean")]
