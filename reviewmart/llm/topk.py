@@ -23,7 +23,7 @@ from reviewmart.llm.tasks import ship, stage
 
 CANDIDATES = 1 << 12
 QUERIES = 1 << 8
-HITS = "query_id long, vec_id long, score long"
+HITS = "query_id long, asked_in long, place int, vec_id long, score long"
 
 
 def _sparse(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
@@ -84,7 +84,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     last, lists = None, {}
     for batch in batches:
-        for queries, candidates in zip(*(batch.column(i) for i in (0, 1)), strict=True):
+        for queries, asked_in, candidates in zip(*batch.columns, strict=True):
             candidates = candidates.as_py()
             if candidates != last:
                 last = candidates
@@ -112,9 +112,15 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
                         scores[at] += weights * q_weight[i]
                 others = np.flatnonzero(ids != query)
                 best = others[_best(scores[others], ids[others], k)]
-                out.append((np.full(len(best), query), ids[best], scores[best]))
-            columns = [pa.array(np.concatenate(x), pa.int64()) for x in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
+                same = [np.full(len(best), x) for x in (query, asked_in.as_py(), q)]
+                out.append((*same, ids[best], scores[best]))
+            names = [x.split()[0] for x in HITS.split(", ")]
+            kinds = [pa.int32() if x == "place" else pa.int64() for x in names]
+            columns = [
+                pa.array(np.concatenate(x), k)
+                for x, k in zip(zip(*out, strict=True), kinds, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def top_k(
@@ -126,8 +132,9 @@ def top_k(
     weights of one vector alike in number.  A candidate with the query's own id is left
     out; ties go to the smaller id; a query with fewer candidates gets them all, also
     those that share no term with it (score 0).  Rows with a null id, or a null among
-    their terms or weights, take no part.  Repeated rows are as many candidates.
-    Empty tables give an empty result.  Sums must fit 64 bits.
+    their terms or weights, take no part.  Repeated rows are as many candidates, and
+    as many queries: each has its own k ranks, under the same ``query_id``.  Empty
+    tables give an empty result.  Sums must fit 64 bits.
 
     Exact search compares every query with every candidate: each block of 256 queries
     meets each block of 4096 candidates once.  Blocks are paired, never rows.
@@ -143,11 +150,14 @@ def top_k(
             "CAST(weights AS ARRAY<LONG>) weights",
         ).where(" AND ".join(["vec_id IS NOT NULL", *whole]))
         blocks = side.mapInArrow(partial(_blocks, size=size, by_term=by_term), "block binary")
+        blocks = blocks.withColumn("asked_in", F.monotonically_increasing_id())
         # Written once: a block must hold the same rows whoever reads it again.
         sides.append(stage(blocks, f"topk-{'candidates' if by_term else 'queries'}", folder))
     asked, held = sides
-    pairs = asked.withColumnRenamed("block", "asked").crossJoin(held)
-    hits = pairs.select("asked", "block").mapInArrow(partial(_search, k=k), HITS)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    pairs = asked.withColumnRenamed("block", "asked").crossJoin(held.select("block"))
+    hits = pairs.select("asked", "asked_in", "block").mapInArrow(partial(_search, k=k), HITS)
+    # One query row is known by its block and its place there, not by its id.
+    query = Window.partitionBy("query_id", "asked_in", "place")
+    order = query.orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -43,6 +43,17 @@ def test_topk_against_all_pairs(spark, monkeypatch):
     assert [(r["query_id"], r["vec_id"]) for r in few] == [(0, 1)]
 
 
+def test_repeated_query_rows_have_ranks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    table = spark.createDataFrame([(i, [1, 2], [i, 10 - i]) for i in range(1, 8)], VECTORS)
+    asked = [(100, [1], [1]), (100, [1], [1]), (100, [2], [1]), (200, [1], [1])]
+    queries = spark.createDataFrame(asked, VECTORS).coalesce(1)
+    found = topk.top_k(queries, table, 3).collect()
+    up, down = ([(r, v, w) for r, v, w in zip((1, 2, 3), x, y)] for x, y in (((7, 6, 5), (7, 6, 5)), ((1, 2, 3), (9, 8, 7))))
+    due = [(100, *x) for x in [*up, *up, *down]] + [(200, *x) for x in up]
+    assert sorted(map(tuple, found)) == sorted(due)
+
+
 def test_urls(spark):
     cases = {
         "http://A.Example.ORG/es/1?x": ("a.example.org", "/es/1", "example.org/es/", "block"),
