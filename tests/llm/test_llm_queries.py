@@ -35,3 +35,10 @@ def test_pipeline(spark):
     assert sum(d in ids for d in good) >= 0.97 * len(good)
     packed = corpus_pipeline.run(spark, SF)
     assert {r["doc_id"] for r in packed.collect()} <= ids
+
+
+def test_quality_rejects_labelled_documents(spark):
+    sf = SF.replace("0.001", "0.1")
+    judged = queries.queries()["op2_quality"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    bad = [r["accepted"] for r in judged.where("quality = 0").select("accepted").collect()]
+    assert sum(not x for x in bad) >= 0.95 * len(bad) > 500
