@@ -23,6 +23,31 @@ FROM (
 WHERE rank <= 10
 """
 
+OP11 = """
+WITH v AS MATERIALIZED (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))::BIGINT) e
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS MATERIALIZED (
+    SELECT a.vec_id anchor_id, c.vec_id, a.label = c.label same,
+        list_sum(list_transform(range(1, len(c.e) + 1), lambda i: a.e[i] * c.e[i]))::BIGINT score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS (
+    SELECT anchor_id, vec_id positive_id, score positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
 
 # Words are lower-cased (A-Z only) and lie between the six ASCII blanks.
 _WORDS = r"""
@@ -119,4 +144,11 @@ FROM (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3, "op5_substring_dedup": OP5, "op7_url_filter": _op7(), "op8_jaccard_join": OP8, "op9_decontaminate": OP9}
+    return {
+        "op3_topk": OP3,
+        "op5_substring_dedup": OP5,
+        "op7_url_filter": _op7(),
+        "op8_jaccard_join": OP8,
+        "op9_decontaminate": OP9,
+        "op11_hard_negatives": OP11,
+    }

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmart.llm import (
+    align_tokens,
+    byte_bpe,
     decontaminate,
+    hard_negatives,
     jaccard_join,
     packing,
     pii,
@@ -25,6 +28,9 @@ from reviewmart.scratch import scratch_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 RULES = (
     url_filter.Rule("allow", "org"),
@@ -101,6 +107,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, last_id=0, limit=2048)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors that are null, or hold null or non-finite components, take no part."""
+    finite = "embedding IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf'))"
+    rows = _table(spark, sf_dir, "embeddings").where(f"label IS NOT NULL AND {finite}").selectExpr(
+        "vec_id",
+        "IF(vec_id % 7 = 0, (label + 1) % 10, label) label",
+        "transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) vector",
+    )
+    return hard_negatives.mine(rows.where("vec_id % 100 = 0"), rows, 5, 10, 30, 90)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return byte_bpe.describe(docs, BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op13_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens.describe(_table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES)
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_pii,
@@ -113,5 +139,8 @@ def queries() -> dict[str, Query]:
         op8_jaccard_join,
         op9_decontaminate,
         op10_packing,
+        op11_hard_negatives,
+        op12_byte_bpe,
+        op13_align_tokens,
     ]
     return {query.__name__: query for query in found}

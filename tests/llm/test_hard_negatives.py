@@ -1,0 +1,99 @@
+"""Hard negatives against a plain reckoning, and the bounds they are filtered by."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from reviewmart.llm import hard_negatives
+
+
+def plain(anchors, rows, n_positives, n_negatives, low, high):
+    out = []
+
+    def dot(x, y):
+        return sum(a * b for a, b in zip(x, y, strict=False))
+
+    def usable(r):
+        return None not in r and None not in r[2]
+
+    for a in filter(usable, anchors):
+        others = sorted((-dot(a[2], r[2]), r[0], r[1]) for r in rows if usable(r) and r[0] != a[0])
+        for score, positive, _ in [x for x in others if x[2] == a[1]][:n_positives]:
+            inside = [x for x in others if x[2] != a[1] and low * -score <= 100 * -x[0] <= high * -score]
+            for rank, (s, negative, _) in enumerate(inside[:n_negatives], 1):
+                out.append((a[0], positive, rank, negative, -score, -s))
+    return sorted(out)
+
+
+def mined(spark, anchors, rows, *options):
+    schema = "vec_id long, label int, vector array<long>, list int, score int, number int, chunk int"
+    made = [spark.createDataFrame([(*r, 1, 2, 3, 4) for r in x], schema).repartition(3) for x in (anchors, rows)]
+    return sorted(map(tuple, hard_negatives.mine(*made, *options).collect()))
+
+
+def vectors(rng, n, width, labels, largest=300):
+    kinds = rng.integers(0, labels, n)
+    centers = rng.integers(-largest, largest, (labels, width))
+    values = centers[kinds] // 2 + rng.integers(-largest, largest, (n, width))
+    return [(i, int(k), v.tolist()) for i, (k, v) in enumerate(zip(kinds, values, strict=True))]
+
+
+@pytest.mark.parametrize(("width", "labels", "largest"), [(64, 4, 300), (7, 2, 3), (16, 3, 2**28)])
+def test_against_a_plain_reckoning(spark, monkeypatch, width, labels, largest):
+    monkeypatch.setattr(hard_negatives, "CHUNK", 30)
+    rows = vectors(np.random.default_rng(width), 300, width, labels, largest)
+    rows += [(1000 + i, r[1], r[2]) for i, r in enumerate(rows[:40])]  # ties
+    rows += rows[50:60]  # repeated rows
+    rows += [(None, 1, [1] * width), (2000, None, [1] * width), (2001, 1, None), (2002, 1, [None, 2])]
+    rows += [(2003, 1, []), (2004, 0, [5] * (width + 9)), (2005, 2, [7])]
+    anchors = [r for r in rows if r[0] is None or r[0] % 10 == 0 or r[0] > 2000]
+    options = (5, 10, 30, 90)
+    assert mined(spark, anchors, rows, *options) == plain(anchors, rows, *options)
+
+
+def test_empty_tables(spark):
+    rows = [(1, 0, [1, 2]), (2, 0, [2, 3]), (3, 1, [1, 1])]
+    assert mined(spark, [], [], 5, 10, 30, 90) == []
+    assert mined(spark, [], rows, 5, 10, 30, 90) == []
+    assert mined(spark, rows, [], 5, 10, 30, 90) == []
+    assert mined(spark, rows, rows, 5, 10, 0, 100) == plain(rows, rows, 5, 10, 0, 100) != []
+
+
+def test_blocks_of_many_rows_and_one_hot_label(monkeypatch):
+    monkeypatch.setattr(hard_negatives, "ROWS", 64)
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 3)
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    rows = [(i, int(i % 3 == 0), v) for i, _, v in vectors(rng, 500, 12, 2)]
+    columns = [pa.array(x) for x in zip(*rows, strict=True)]
+    columns[2] = pa.array([r[2] for r in rows], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays(columns, names=["vec_id", "label", "vector"])
+    chunk = hard_negatives.Chunk(*hard_negatives._block([batch.slice(0, 20)]))
+    found = pa.Table.from_batches(list(hard_negatives._positives(iter([batch]), chunk, 4))).to_pylist()
+    due = []
+    for place, a in enumerate(rows[:20]):
+        near = sorted((-np.dot(a[2], r[2]), r[0]) for r in rows if r[1] == a[1] and r[0] != a[0])
+        due += [(place, i, -s) for s, i in near[:4]]
+    assert sorted(tuple(x.values()) for x in found) == sorted(due)
+
+
+def test_bounds_hold_and_tighten():
+    rng = np.random.default_rng(1)
+    a, b = (hard_negatives.Summaries(rng.integers(-200, 200, (30, 64))) for _ in range(2))
+    exact = a.vectors @ b.vectors.T
+    assert len(a.levels) == 3
+    width = np.inf
+    for x, y in zip(a.levels, b.levels, strict=True):
+        low, high = hard_negatives.bounds(x, y)
+        assert (low <= exact).all() and (exact <= high).all()
+        assert (high - low).mean() < width
+        width = (high - low).mean()
+
+
+@pytest.mark.parametrize("p", [-7, 0, 1, 10, 99, 12345])
+def test_score_range(p):
+    low, high = hard_negatives.score_range(np.array([p]), 30, 90)
+    due = [s for s in range(-20000, 20000) if 30 * p <= 100 * s <= 90 * p]
+    assert due == list(range(int(low[0]), int(high[0]) + 1))
