@@ -45,21 +45,27 @@ class Vocabulary:
         self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.rank.items()}
         self.longest = max(map(len, self.rank))
+        self.never = max(self.tokens) + 1  # the rank of what is no token
+        # What is known of the tokens to the left of each token, by rank: whether both stay.
+        self.known: dict[int, dict[int, bool]] = {rank: {} for rank in self.tokens}
+        self.pairs = 0
         self.ending = ahocorasick.Automaton()
         for token, rank in self.rank.items():
-            self.ending.add_word(token.decode("latin-1"), (rank, len(token)))
+            self.ending.add_word(token.decode("latin-1"), (self.known[rank], rank, len(token)))
         self.ending.make_automaton()
-        self.known: dict[tuple[int, int], bool] = {}
 
     def merged(self, raw: bytes) -> list[int]:
         """Plain merging, lowest rank and leftmost first; for short texts."""
         parts = [raw[i : i + 1] for i in range(len(raw))]
-        while len(parts) > 1:
-            pairs = map(bytes.__add__, parts, parts[1:])
-            least, at = min((self.rank.get(x, np.inf), i) for i, x in enumerate(pairs))
-            if least == np.inf:
-                break
+        rank, never = self.rank.get, self.never
+        ranks = [rank(x + y, never) for x, y in zip(parts, parts[1:], strict=False)]
+        while ranks and (least := min(ranks)) != never:
+            at = ranks.index(least)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            for i in (at - 1, at):
+                if 0 <= i < len(ranks):
+                    ranks[i] = rank(parts[i] + parts[i + 1], never)
         return [self.rank[x] for x in parts]
 
     def fits(self, left: int, right: int) -> bool:
@@ -67,14 +73,15 @@ class Vocabulary:
 
         With NOTHING to the left: whether the token's own bytes are.
         """
-        pair = (left, right)
-        known = self.known.get(pair)
+        known = self.known[right].get(left)
         if known is None:
-            if len(self.known) >= KEPT_PAIRS:
-                self.known.clear()
-            tokens = [x for x in pair if x != NOTHING]
-            known = self.merged(self.decode(tokens)) == tokens
-            self.known[pair] = known
+            if self.pairs >= KEPT_PAIRS:
+                self.pairs = 0
+                for lefts in self.known.values():
+                    lefts.clear()
+            tokens = [x for x in (left, right) if x != NOTHING]
+            known = self.known[right][left] = self.merged(self.decode(tokens)) == tokens
+            self.pairs += 1
         return known
 
     def ids(self, piece: bytes) -> Sequence[int]:
@@ -100,16 +107,16 @@ class Prefixes:
         words, last = self.vocabulary, self.last
         self.raw += more
         low = max(len(last) - words.longest + 1, 0)
-        due, known = len(last), words.known
-        for end, (token, size) in words.ending.iter(self.raw[low:].decode("latin-1")):
+        due, fits, push = len(last), words.fits, last.append
+        for end, found in words.ending.iter(self.raw[low:].decode("latin-1")):
             # Tokens come by their end, the longest first; one of them is valid.
-            end += low
-            if end != due:
+            if end + low != due:
                 continue
-            left = last[end - size] if end >= size else NOTHING
-            fit = known.get((left, token))
-            if fit or (fit is None and words.fits(left, token)):
-                last.append(token)
+            known, token, size = found
+            left = last[due - size] if due >= size else NOTHING
+            fit = known.get(left)
+            if fit or (fit is None and fits(left, token)):
+                push(token)
                 due += 1
         if due != len(self.raw):
             raise ValueError("the vocabulary lacks tokens of one byte")
@@ -120,11 +127,13 @@ class Prefixes:
         del self.last[size:]
 
     def ids(self) -> list[int]:
-        out, at = [], len(self.raw)
-        while at:
-            out.append(self.last[at - 1])
-            at -= len(self.vocabulary.tokens[out[-1]])
-        return out[::-1]
+        out, at, tokens, last = [], len(self.raw) - 1, self.vocabulary.tokens, self.last
+        while at >= 0:
+            token = last[at]
+            out.append(token)
+            at -= len(tokens[token])
+        out.reverse()
+        return out
 
 
 class EncodedText:
