@@ -20,7 +20,7 @@ from reviewmart.plans.staging import (
 )
 from reviewmart.schemas import PURCHASES, STAGED_LOGS
 from reviewmart.scratch import scratch_folder, stage
-from reviewmart.session import sized_for
+from reviewmart.session import planned_bytes, sized_for
 from reviewmart.sinks.writers import (
     create_table,
     full_refresh,
@@ -65,6 +65,12 @@ def _paths(path: str | list[str]) -> list[str]:
     return [path] if isinstance(path, str) else path
 
 
+def _sized_for_csv(spark: SparkSession, path: str | list[str], multi_line: bool):
+    """Lines are shuffled only where records may run over several."""
+    paths = _paths(path)
+    return sized_for(spark, paths) if multi_line else sized_for(spark, scanned=paths)
+
+
 def load_purchases(
     spark: SparkSession,
     csv_path: str | list[str],
@@ -79,16 +85,20 @@ def load_purchases(
     table stays as it was.
     """
     create_table(spark, table, PURCHASES, location)
-    rows = read_csv(
-        spark,
-        csv_path,
-        PURCHASES,
-        multi_line,
-        by_name=False,
-        strict=True,
-        timestamp_format=timestamp_format,
-    )
-    with sized_for(spark, scanned=_paths(csv_path)):
+    with (
+        scratch_folder(spark, "load-purchases") as folder,
+        _sized_for_csv(spark, csv_path, multi_line),
+    ):
+        rows = read_csv(
+            spark,
+            csv_path,
+            PURCHASES,
+            multi_line,
+            by_name=False,
+            strict=True,
+            timestamp_format=timestamp_format,
+            folder=folder,
+        )
         full_refresh(rows, table)
 
 
@@ -114,8 +124,11 @@ def stage_reviews(
 
     Without ``multi_line`` a review with a line break is an error.
     """
-    raw = read_reviews(spark, csv_path, multi_line)
-    with sized_for(spark, scanned=_paths(csv_path)):
+    with (
+        scratch_folder(spark, "stage-reviews") as folder,
+        _sized_for_csv(spark, csv_path, multi_line),
+    ):
+        raw = read_reviews(spark, csv_path, multi_line, folder)
         write_parquet(staged_reviews(raw, keyword), out_path, merge=True)
 
 
@@ -142,11 +155,11 @@ def stage_logs(
     }
     if layout not in readers:
         raise ValueError(f"unknown log layout {layout!r}")
-    options = {"multi_line": multi_line} if layout == "csv" else {}
     with (
         scratch_folder(spark, "stage-logs") as folder,
-        sized_for(spark, scanned=_paths(path)),
+        _sized_for_csv(spark, path, multi_line and layout == "csv"),
     ):
+        options = {"multi_line": multi_line, "folder": folder} if layout == "csv" else {}
         logs = readers[layout](spark, path, row_tag, **options)
         if layout != "csv":
             parsed = stage(logs, "parsed", folder)
@@ -162,17 +175,19 @@ def build_dims(spark: SparkSession, logs_path: str, warehouse: Warehouse) -> Non
 
 
 def _purchases(
-    spark: SparkSession, source: str | list[str], fmt: str, multi_line: bool
-) -> tuple[DataFrame, list[str]]:
-    """Purchases and the paths they are stored under."""
+    spark: SparkSession,
+    source: str | list[str],
+    fmt: str,
+    multi_line: bool,
+    folder: str,
+) -> DataFrame:
     if fmt == "table":
-        rows = read_table(spark, source)
-        return rows, rows.inputFiles()
+        return read_table(spark, source)
     if fmt == "parquet":
-        return read_staged(spark, source, PURCHASES), _paths(source)
+        return read_staged(spark, source, PURCHASES)
     if fmt != "csv":
         raise ValueError(f"unknown format of purchases {fmt!r}")
-    return read_purchases(spark, source, multi_line), _paths(source)
+    return read_purchases(spark, source, multi_line, folder)
 
 
 def build_facts(
@@ -195,9 +210,13 @@ def build_facts(
     that follows, so nothing is computed twice and both facts carry the same
     totals.
     """
-    bought, stored = _purchases(spark, purchases, purchases_format, multi_line)
-    shuffled = [*reviews_paths, logs_path, *stored]
-    with scratch_folder(spark, "build-facts") as folder, sized_for(spark, shuffled):
+    given = [*reviews_paths, logs_path]
+    if purchases_format == "table":
+        landed = planned_bytes(read_table(spark, purchases))
+    else:
+        given, landed = [*given, *_paths(purchases)], 0
+    with scratch_folder(spark, "build-facts") as folder, sized_for(spark, given, moved=landed):
+        bought = _purchases(spark, purchases, purchases_format, multi_line, folder)
         parts = [read_staged_reviews(spark, p) for p in reviews_paths]
         reviews = stage(reviews_union(*parts), "reviews", folder)
         users = stage(fct_users(bought, reviews, load_ts), "users", folder)

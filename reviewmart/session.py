@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Adaptive execution merges small shuffle partitions to the advisory size.
@@ -60,6 +60,14 @@ def stored_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
     return total or 0
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """What the optimizer takes the rows' size to be; for a table its stored size.
+
+    Nothing is read, and no file name reaches the program.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _bytes(size: str) -> int:
     """A size setting such as ``134217728b`` or ``128m`` in bytes."""
     number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", size.strip().lower()).groups()
@@ -74,15 +82,18 @@ def shuffle_partitions(moved: int) -> int:
 
 @contextmanager
 def sized_for(
-    spark: SparkSession, shuffled: Sequence[str] = (), scanned: Sequence[str] = ()
+    spark: SparkSession,
+    shuffled: Sequence[str] = (),
+    scanned: Sequence[str] = (),
+    moved: int = 0,
 ) -> Iterator[None]:
     """Size shuffles and scans for inputs, inside the block.
 
     Rows of the ``shuffled`` inputs are shuffled, if only after an aggregation that
-    may not shrink them; the ``scanned`` ones are not.  Partitions and splits
-    are never fewer or smaller than the session asks for.
+    may not shrink them, as are ``moved`` bytes of inputs without a path; the ``scanned`` ones
+    are not.  Partitions and splits are never fewer or smaller than the session asks for.
     """
-    moved = stored_bytes(spark, shuffled)
+    moved += stored_bytes(spark, shuffled)
     read = moved + stored_bytes(spark, scanned)
     split = min(-(-read // MAX_SCAN_TASKS), MAX_SPLIT)
     settings = {

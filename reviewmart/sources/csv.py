@@ -6,11 +6,15 @@ backslash is an ordinary character.  An empty field, quoted or not, is NULL.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmart.schemas import PURCHASES, RAW_REVIEWS, ddl
+from reviewmart.sources.csv_records import csv_records
 
 # Shared by readers and writers, so that a round trip changes nothing.
 DIALECT = {"header": "true", "quote": '"', "escape": '"'}
@@ -24,6 +28,7 @@ def read_csv(
     by_name: bool = True,
     strict: bool = False,
     timestamp_format: str | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Files with a header line, as the columns of ``schema``.
 
@@ -33,31 +38,62 @@ def read_csv(
     A row with too few or too many fields is always an error: most likely a
     quoted field holds a line break, and the row is half of one.
 
-    ``multi_line`` allows line breaks inside quoted fields; such files are read
-    one task per file, so deliver them in many files.  ``timestamp_format`` is
-    for times not written year first.
+    ``multi_line`` allows line breaks inside quoted fields.  The files are then read at
+    once, by as many tasks as without, and their lines written to ``folder`` or the scratch
+    folder; see :mod:`reviewmart.sources.csv_records`.  ``timestamp_format`` is for times
+    not written year first.
+
+    Errors come up when a column is read: counting rows reads none.
     """
-    reader = spark.read.options(**DIALECT).option("multiLine", multi_line)
-    reader = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    options = {**DIALECT, "mode": "FAILFAST" if strict else "PERMISSIVE"}
     if timestamp_format:
-        reader = reader.option("timestampNTZFormat", timestamp_format)
+        options["timestampNTZFormat"] = timestamp_format
+    reader = spark.read.options(**options).option("multiLine", multi_line)
     if by_name:
         # Only the first line of one file is read for this.
-        header = reader.csv(path).columns
-        read_as = _in_header_order(schema, header)
+        read_as = _in_header_order(schema, reader.csv(path).columns)
         reader = reader.option("enforceSchema", "false")
     else:
         read_as = schema
+    marked = T.StructType([*read_as.fields, T.StructField(ODD_ROW, T.StringType())])
+    as_read = read_as if strict else marked
+    if multi_line:
+        texts = _data_records(spark, path, read_as.names if by_name else None, folder)
+        options |= {"multiLine": "true", "columnNameOfCorruptRecord": ODD_ROW}
+        rows = texts.select(F.from_csv("text", ddl(as_read), options).alias("r")).select("r.*")
+    else:
+        reader = reader.option("columnNameOfCorruptRecord", ODD_ROW)
+        rows = reader.schema(as_read).csv(path)
     if strict:
-        return reader.schema(read_as).csv(path).select(*schema.names)
-    read_as = T.StructType([*read_as.fields, T.StructField(ODD_ROW, T.StringType())])
-    rows = reader.schema(read_as).option("columnNameOfCorruptRecord", ODD_ROW).csv(path)
+        return rows.select(*schema.names)
     # In every column: a filter on one of them, pushed into the reader, would else drop
     # broken rows before they are looked at.
-    whole = _whole(read_as)
+    whole = _whole(marked)
     return rows.select(*(F.when(whole, F.col(c)).alias(c) for c in schema.names))
 
 
+def _data_records(
+    spark: SparkSession, path: str | list[str], header: list[str] | None, folder: str | None
+) -> DataFrame:
+    """The text of every record but the headers, which all must have these names."""
+    paths = [path] if isinstance(path, str) else path
+    records = csv_records(spark, paths, folder)
+    first = records.where("record = 0")
+    if header is None:
+        wrong = F.col("text") == ""
+    else:
+        names = [f"c{i}" for i in range(len(header))]
+        strings = T.StructType([T.StructField(n, T.StringType()) for n in [*names, ODD_ROW]])
+        options = {**DIALECT, "columnNameOfCorruptRecord": ODD_ROW}
+        found = F.from_csv("text", ddl(strings), options)
+        same = [found[n].eqNullSafe(h) | (F.lower(found[n]) == h.lower()) for n, h in zip(names, header, strict=True)]
+        wrong = ~reduce(and_, same, found[ODD_ROW].isNull())
+    odd = first.where(wrong).agg(F.count("*").alias("n"), F.min("file_path").alias("one")).first()
+    if odd["n"]:
+        raise ValueError(f"{odd['n']} CSV files have another header than {header}, one is {odd['one']}")
+    return records.where("record > 0").select("text")
+
+
 # Holds the text of a row in which something did not parse.
 ODD_ROW = "_odd_row"
 
@@ -89,12 +125,18 @@ def _in_header_order(schema: T.StructType, header: list[str]) -> T.StructType:
 
 
 def read_purchases(
-    spark: SparkSession, path: str | list[str], multi_line: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = False,
+    folder: str | None = None,
 ) -> DataFrame:
-    return read_csv(spark, path, PURCHASES, multi_line)
+    return read_csv(spark, path, PURCHASES, multi_line, folder=folder)
 
 
 def read_reviews(
-    spark: SparkSession, path: str | list[str], multi_line: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = False,
+    folder: str | None = None,
 ) -> DataFrame:
-    return read_csv(spark, path, RAW_REVIEWS, multi_line)
+    return read_csv(spark, path, RAW_REVIEWS, multi_line, folder=folder)

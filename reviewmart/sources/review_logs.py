@@ -33,9 +33,10 @@ def read_logs_csv(
     path: str | list[str],
     row_tag: str = ROW_TAG,
     multi_line: bool = False,
+    folder: str | None = None,
 ) -> DataFrame:
     """``id_review,log`` lines: the record brings its own id."""
-    raw = read_csv(spark, path, RAW_LOGS, multi_line)
+    raw = read_csv(spark, path, RAW_LOGS, multi_line, folder=folder)
     xml = F.regexp_extract("log", f"({_element(row_tag)})", 1)
     record = parse_record(xml)
     return raw.select("id_review", record.alias("r")).select("r.*", "id_review")
