@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import types as T
 
 from reviewmart.schemas import ddl
 from reviewmart.scratch import delete_folder
+from reviewmart.sinks.versions import KEEP_HOURS, current_path, place_of, write_version
 from reviewmart.sources.csv import DIALECT
 
 # Formats the catalog stores itself; any other name is a connector.
@@ -50,53 +50,72 @@ def write_table(
     name: str,
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
+    keep_hours: float = KEEP_HOURS,
 ) -> None:
     """Replace a table, making its database if it is missing.
 
-    Catalog formats take ``path`` in ``options`` for a table outside the
-    warehouse folder; versions after the first are in folders beside it.  A connector takes whatever it needs there, for instance
-    the bucket it stages files in.
+    Catalog formats take ``path`` in ``options`` for a table outside the warehouse folder.
+    The rows are in a version folder below it, see :mod:`reviewmart.sinks.versions`;
+    whoever reads by path asks ``tables.read_current``.  It does not matter whether the
+    session's catalog knows the table.  A replaced version is kept for ``keep_hours``.
+    A connector takes whatever it needs in ``options``, for instance the bucket it stages
+    files in.
     """
     options = dict(options or {})
     if fmt in CATALOG_FORMATS:
         _create_database(df.sparkSession, name)
-        _replace(df, name, fmt, options)
+        _replace(df, name, fmt, options, keep_hours)
         return
     writer = df.write.format(fmt).mode("overwrite").options(**options)
     writer.option("dbtable" if fmt == "jdbc" else "table", name).save()
 
 
-def _replace(df: DataFrame, name: str, fmt: str, options: dict[str, str]) -> None:
-    """Write the rows to a fresh folder, then point the table there.
+def _replace(
+    df: DataFrame, name: str, fmt: str, options: dict[str, str], keep_hours: float = KEEP_HOURS
+) -> None:
+    """Write the rows to a fresh version folder, then point the table there.
 
-    Until all rows are written, and if that fails, the table is as it was; its old
-    folder goes last.  ``df`` may read the table.
+    Until all rows are written, and if that fails, the table is as it was.  ``df`` may
+    read the table.
     """
     spark = df.sparkSession
-    if not spark.catalog.tableExists(name):
-        df.write.format(fmt).options(**options).saveAsTable(name)
-        return
-    details = _details(spark, name)
-    old = details["Location"]
-    place = options.pop("path", old.rsplit(FRESH, 1)[0])
-    fresh = f"{place.rstrip('/')}{FRESH}{uuid.uuid4().hex}"
-    try:
-        df.write.format(fmt).options(**options).save(fresh)
-    except BaseException:
-        delete_folder(spark, fresh)
-        raise
-    same = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
-    if details["Provider"] == fmt and same == [(f.name, f.dataType) for f in df.schema.fields]:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
+    known = spark.catalog.tableExists(name)
+    details = _details(spark, name) if known else {}
+    given = options.pop("path", None)
+    place = given or (place_of(details["Location"]) if known else _default_place(spark, name))
+    writer = df.write.format(fmt).options(**options)
+    fresh = write_version(spark, place, lambda path: writer.save(path), keep_hours)
+    kinds = [(f.name, f.dataType) for f in df.schema.fields]
+    if known and details["Provider"] == fmt and kinds == [
+        (f.name, f.dataType) for f in spark.table(name).schema.fields
+    ]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_literal(fresh)}")
     else:
-        spark.sql(f"DROP TABLE {name}")
-        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{fresh}'")
+        # Other columns: the catalog has no way to change them in one step.  Should the
+        # program end between the two, the rows are there and the next write makes the table.
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({ddl(df.schema)}) USING {fmt} LOCATION {_literal(fresh)}")
     spark.catalog.refreshTable(name)
-    delete_folder(spark, old)
 
 
-# Between a table's own folder and what tells its versions apart.
-FRESH = "-version-"
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a table of the catalog with all its versions."""
+    place = place_of(_details(spark, name)["Location"])
+    spark.sql(f"DROP TABLE {name}")
+    delete_folder(spark, place)
+
+
+def _literal(text: str) -> str:
+    """As an SQL string."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _default_place(spark: SparkSession, name: str) -> str:
+    """Where the catalog would put a table's rows."""
+    database, _, table = name.rpartition(".")
+    rows = spark.sql(f"DESCRIBE DATABASE {database or spark.catalog.currentDatabase()}").collect()
+    location = next(r["info_value"] for r in rows if r["info_name"] == "Location")
+    return f"{location.rstrip('/')}/{table.lower()}"
 
 
 def _details(spark: SparkSession, name: str) -> dict[str, str]:
@@ -113,10 +132,17 @@ def _create_database(spark: SparkSession, table: str) -> None:
 def create_table(
     spark: SparkSession, name: str, schema: T.StructType, location: str | None = None
 ) -> None:
-    """Create the table, and its database, unless they exist."""
+    """Create the table, and its database, unless they exist.
+
+    Rows that another session has written to its folder are the table's.
+    """
     _create_database(spark, name)
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet{place}")
+    if spark.catalog.tableExists(name):
+        return
+    place = location or _default_place(spark, name)
+    path = current_path(spark, place) or place
+    columns = f"{name} ({ddl(schema)}) USING parquet"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {columns} LOCATION {_literal(path)}")
 
 
 def full_refresh(df: DataFrame, name: str) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reviewmart.schemas import STAGED_LOGS, STAGED_REVIEWS
+from reviewmart.sinks.versions import current_path
 
 
 def read_staged(
@@ -43,3 +44,15 @@ def read_table(
         return spark.table(name)
     key = "dbtable" if fmt == "jdbc" else "table"
     return spark.read.format(fmt).options(**(options or {})).option(key, name).load()
+
+
+def read_current(spark: SparkSession, place: str, fmt: str = "parquet") -> DataFrame:
+    """The rows of a written table by its folder, without a catalog.
+
+    What is read is the version that counts now; it stays readable while newer ones are
+    written, until it is purged.
+    """
+    path = current_path(spark, place)
+    if path is None:
+        raise ValueError(f"no table was written to {place}")
+    return spark.read.format(fmt).load(path)
