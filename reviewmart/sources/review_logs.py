@@ -42,30 +42,35 @@ def read_logs_csv(
     return raw.select("id_review", record.alias("r")).select("r.*", "id_review")
 
 
-def _plain_cdata(text: Column) -> Column:
-    """CDATA sections as escaped text, so that what looks like a tag in them is none."""
+# Whichever begins first; neither begins inside the other.
+SECTION = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 
-    def plain(part: Column, i: Column) -> Column:
-        inside = F.substring_index(part, "]]>", 1)
-        rest = F.substr(part, F.length(inside) + 4)
-        escaped = F.replace(inside, F.lit("&"), F.lit("&amp;"))
-        escaped = F.replace(escaped, F.lit("<"), F.lit("&lt;"))
-        return F.when(i == 0, part).otherwise(F.concat(escaped, rest))
-
-    parts = F.transform(F.split(text, r"<!\[CDATA\["), plain)
-    return F.when(F.contains(text, F.lit("<![CDATA[")), F.array_join(parts, "")).otherwise(text)
 
+def _plain_sections(text: Column) -> Column:
+    """Without comments, and with CDATA sections as escaped text: no tags in either.
 
-def _whole_sections(text: Column) -> Column:
-    """True, or an error where a comment or CDATA section does not end in the text."""
-    left = F.regexp_replace(text, r"(?s)<!\[CDATA\[.*?\]\]>", "")
-    torn = F.contains(left, F.lit("<!--")) | F.contains(left, F.lit("<![CDATA["))
+    A section that does not end in the text is an error.
+    """
+    sections = F.regexp_extract_all(text, F.lit(SECTION), F.lit(0))
+    between = F.split(text, SECTION)
+    torn = F.exists(between, lambda x: F.contains(x, F.lit("<!--")) | F.contains(x, F.lit("<![CDATA[")))
     message = F.concat(
         F.lit("a closing tag lies inside a comment or CDATA section; read with another"),
         F.lit(" layout than text: "),
         F.substring(text, 1, 200),
     )
-    return F.when(~torn, True).otherwise(F.raise_error(message).cast("boolean"))
+
+    def plain(part: Column, i: Column) -> Column:
+        section = F.coalesce(F.get(sections, i), F.lit("<!---->"))
+        inside = F.substr(section, F.lit(10), F.length(section) - 12)
+        escaped = F.replace(inside, F.lit("&"), F.lit("&amp;"))
+        escaped = F.replace(escaped, F.lit("<"), F.lit("&lt;"))
+        kept = F.when(F.startswith(section, F.lit("<!--")), F.lit("")).otherwise(escaped)
+        return F.concat(part, kept)
+
+    joined = F.array_join(F.transform(between, plain), "")
+    found = F.when(torn, F.raise_error(message).cast("string")).otherwise(joined)
+    return F.when(F.contains(text, F.lit("<!")), found).otherwise(text)
 
 
 def read_logs_text(
@@ -76,28 +81,34 @@ def read_logs_text(
     The text is cut at the closing tag, so large files are read by many tasks, and each
     part at its opening tags: every opening tag outside comments and CDATA sections is a
     record, an empty element (``<log/>``) too.  A closing tag *inside* a comment or CDATA
-    section cuts that in two, which is an error.  Rows carry their file position, for
-    ``number_rows``.
+    section cuts that in two, which is an error, as is a file that ends inside a record.
+    Rows carry their file position, for ``number_rows``.
     """
     paths = [path] if isinstance(path, str) else path
     closing = f"</{row_tag}>"
     opening = rf"<{row_tag}(?:\s[^>]*)?/?>"
-    value = F.regexp_replace("value", r"(?s)<!--.*?-->", "")
-    chunks = spark.read.option("lineSep", closing).text(paths)
-    chunks = chunks.where(F.col("value").rlike(opening)).select(
-        value.alias("value"), "_metadata"
-    )
-    chunks = chunks.where(_whole_sections(F.col("value")))
+    # Cut behind the tag's first character, which stays: a part that does not end with it
+    # was ended by the end of the file.
+    scan = spark.read.option("lineSep", closing[1:]).text(paths)
+    scan = scan.where(F.col("value").rlike(opening)).select("value", "_metadata")
+    closed = F.endswith("value", F.lit("<"))
+    body = F.when(closed, F.left("value", F.length("value") - 1)).otherwise(F.col("value"))
+    chunks = scan.select(_plain_sections(body).alias("value"), closed.alias("closed"), "_metadata")
     # A part but the last is followed by an opening tag, not by the closing one.
-    parts = F.split(_plain_cdata(F.col("value")), rf"(?={opening})")
-    parts = chunks.select(F.size(parts).alias("n"), F.posexplode(parts), "_metadata")
+    parts = F.split("value", rf"(?={opening})")
+    parts = chunks.select("closed", F.size(parts).alias("n"), F.posexplode(parts), "_metadata")
     text = F.col("col")
     spaced = rf"(?s)^(.*?</{row_tag})\s+>"
+    message = F.concat(
+        F.lit(f"a file ends inside a record, or {closing[1:]!r} stands in a text: "),
+        F.substring(text, 1, 200),
+    )
     record = (
         F.when(text.rlike(rf"^<{row_tag}(?:\s[^>]*)?/>"), F.regexp_extract(text, f"^{opening}", 0))
         .when(text.rlike(spaced), F.concat(F.regexp_extract(text, spaced, 1), F.lit(">")))
-        .when(F.col("pos") == F.col("n") - 1, F.concat(text, F.lit(closing)))
-        .otherwise(text)
+        .when(F.col("pos") < F.col("n") - 1, text)
+        .when(F.col("closed"), F.concat(text, F.lit(closing)))
+        .otherwise(F.raise_error(message).cast("string"))
     )
     records = parts.where(text.rlike(f"^{opening}")).select(record.alias("xml"), "_metadata")
     parsed = parse_record(F.col("xml")).alias("r")

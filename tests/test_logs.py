@@ -127,7 +127,7 @@ def test_csv_logs_keep_their_id(spark, tmp_path):
     lines = ["id_review,log"]
     lines += [f'{i},"<reviewlog>{record(i)}</reviewlog>"' for i in (7, 3, 7)]
     lines += ["4,<reviewlog><log><os>broken</reviewlog>", "5,", "x,<log><os>a</os></log>"]
-    write(tmp_path / "in", "log_reviews.csv", "\n".join(lines) + "\n")
+    write(tmp_path / "in", "records.csv", "\n".join(lines) + "\n")
     got = read_logs_csv(spark, str(tmp_path / "in"))
     assert sorted(got.columns) == sorted(STAGED_LOGS.names)
     rows = sorted(
@@ -276,6 +276,15 @@ ODD = {
     "a closing tag with a space": ("<log><os>a</os></log ><log><os>b</os></log\n><log><os>c</os></log>", "abc"),
     "tags in CDATA": ("<log><os><![CDATA[<log>]]></os></log><log><os>b</os></log>", ["<log>", "b"]),
     "CDATA with an ampersand": ("<log><os><![CDATA[&lt;]]></os></log>", ["&lt;"]),
+    "a comment's ends in two CDATAs": (
+        "<log><os><![CDATA[a <!-- b]]></os></log><log><os><![CDATA[c --> d]]></os></log>",
+        ["a <!-- b", "c --> d"],
+    ),
+    "CDATA in a comment": ("<log><!-- <![CDATA[ --><os>a</os></log><log><os>b]]&gt;</os></log>", ["a", "b]]>"]),
+    "two sections of each kind": (
+        "<log><!-- 1 --><os><![CDATA[x]]>y<!-- <![CDATA[2]]> --><![CDATA[<z>]]></os></log>",
+        ["xy<z>"],
+    ),
 }
 
 
@@ -303,6 +312,22 @@ def test_a_section_cut_in_two_is_an_error(spark, tmp_path, text):
         read_logs_text(spark, str(tmp_path / "in")).collect()
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "<log><device>b</device>",
+        "<log><device>b</device></log",
+        "<log><device>a</device></log>\n<log kind='x'><device>b",
+        "<log><device>b/log></device></log>",
+    ],
+)
+def test_a_file_that_ends_inside_a_record_is_an_error(spark, tmp_path, text):
+    write(tmp_path / "in", "a.xml", f"<reviewlog><log><os>a</os></log>{text}")
+    write(tmp_path / "in", "b.xml", "<log><os>a</os></log><log><os>x</os></log >")
+    with pytest.raises(Exception, match="ends inside a record"):
+        read_logs_text(spark, str(tmp_path / "in")).collect()
+
+
 def test_numbering_ends_in_no_single_task(spark, tmp_path, monkeypatch):
     from reviewmart.operators import row_ids
 
