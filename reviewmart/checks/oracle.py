@@ -173,6 +173,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS total_rows FROM purchases""",
         "export_purchases": f"WITH {_PURCHASES} SELECT * FROM purchases",
         "read_reviews_csv": f"WITH {_REVIEWS} SELECT * FROM reviews",
+        "review_value_counts": f"""WITH {_REVIEWS}
+            SELECT count(*) AS rows,
+                count(*) FILTER (id_review % 11 = 0 OR (id_review % 7 = 0 AND cid IS NOT NULL)) AS odd_rows,
+                count(*) FILTER (id_review % 7 = 0 AND cid IS NOT NULL) AS nulled_cid,
+                count(*) FILTER (id_review % 11 = 0) AS nulled_id_review
+            FROM reviews""",
         # reviews
         "review_tokens": f"""WITH {_REVIEWS}, {_words("reviews")}
             SELECT id_review, len(tok) AS n_tokens, len(tok_sw) AS n_kept FROM kept""",

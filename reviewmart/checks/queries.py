@@ -63,6 +63,19 @@ def read_reviews_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.read_reviews(spark, path, multi_line=True)
 
 
+def review_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What staging reviews has counted, where known ids do not parse."""
+    unreadable = inputs.reviews(spark, sf_dir).selectExpr(
+        "IF(id_review % 7 = 0, concat('no. ', cid), CAST(cid AS STRING)) AS cid",
+        "review_str",
+        "IF(id_review % 11 = 0, concat(id_review, '.5'), CAST(id_review AS STRING)) AS id_review",
+    )
+    with scratch_folder(spark, "reviews-csv") as path, scratch_folder(spark, "reviews") as out:
+        writers.write_csv(unreadable, path)
+        found = jobs.stage_reviews(spark, path, out, PLAIN_KEYWORD, multi_line=True)
+    return spark.createDataFrame([found], ", ".join(f"{c} bigint" for c in found))
+
+
 # Reviews
 
 
@@ -322,6 +335,7 @@ def queries() -> dict[str, Query]:
         "purchases_row_count": purchases_row_count,
         "export_purchases": export_purchases,
         "read_reviews_csv": read_reviews_csv,
+        "review_value_counts": review_value_counts,
         "review_tokens": review_tokens,
         "stage_reviews": stage_reviews,
         "stage_reviews_stopword": stage_reviews_stopword,

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from reviewmart.operators.row_ids import number_rows
 from reviewmart.plans.dims import DIMENSIONS
@@ -119,17 +119,21 @@ def stage_reviews(
     out_path: str,
     keyword: str = DEFAULT_KEYWORD,
     multi_line: bool = False,
-) -> None:
+) -> dict[str, int]:
     """Flag reviews; only the narrow staged rows are shuffled, to merge files.
 
-    Without ``multi_line`` a review with a line break is an error.
+    Without ``multi_line`` a review with a line break is an error.  Returns what the
+    writing pass has counted: ``rows``, ``odd_rows``, and the values that did not parse
+    and are NULL, ``nulled_cid`` and ``nulled_id_review``.
     """
+    counted = Observation("reviews")
     with (
         scratch_folder(spark, "stage-reviews") as folder,
         _sized_for_csv(spark, csv_path, multi_line),
     ):
-        raw = read_reviews(spark, csv_path, multi_line, folder)
+        raw = read_reviews(spark, csv_path, multi_line, folder, counted)
         write_parquet(staged_reviews(raw, keyword), out_path, merge=True)
+        return counted.get
 
 
 def stage_logs(

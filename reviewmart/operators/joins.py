@@ -1,8 +1,8 @@
 """A left join that spreads hot keys over many tasks.
 
-A key with a large share of the rows would otherwise land in one task.  Hot
-keys are found with a mergeable frequent-items sketch in one pass over the key
-columns.  Without any, the join is a plain one.  Otherwise the rows of a hot
+A key whose rows are more than a task should hold would otherwise land in one.  Hot
+keys are found with a mergeable frequent-items sketch in one pass over the key columns;
+what a task should hold is bytes, and the sketch grows with the table.  Without any, the join is a plain one.  Otherwise the rows of a hot
 key are dealt out to a grid of cells: left rows pick a grid row and are copied
 to its cells, right rows pick a grid column and are copied to its cells, so
 every pair meets exactly once.
@@ -16,39 +16,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is hot above this share of the rows, so fewer than SHARES keys are.
-SHARES = 4_000
-# Below this many rows one task copes with a key.
-MIN_HOT_ROWS = 1_000_000
-# Sketch size: estimates are off by less than 0.01 % of the rows, a sketch takes
-# about a megabyte.
-TRACKED = 40_000
+from reviewmart.session import planned_bytes
+
+# What a task should hold of one key.  It can sort and spill that much.
+PART_BYTES = 256 << 20
+# Rows are some three times larger in a shuffle than stored.
+SHUFFLED = 3
+# Below this many rows one task copes with a key, however wide they are.
+MIN_HOT_ROWS = 10_000
+# A table of more parts than that gets larger ones: as many keys can be hot at most, and a
+# sketch must track more of them than are.
+SHARES = 20_000
+# Items a sketch tracks for each share; estimates are off by 0.35 shares at most.
+TRACKED, LEAST_TRACKED = 10, 4_000
 # Each task makes one sketch; this many tasks merge them before the last one does.
 MERGERS = 128
 
 Parts = Mapping[object, int]
 
 
+def hot_rows(rows: int, stored: int) -> int:
+    """Rows of one key that a task should hold, for a table of so many rows and bytes."""
+    fitting = PART_BYTES * rows // max(stored * SHUFFLED, 1)
+    return max(fitting, MIN_HOT_ROWS, rows // SHARES)
+
+
 def hot_key_parts(
-    df: DataFrame, *keys: str, min_rows: int = MIN_HOT_ROWS
+    df: DataFrame, *keys: str, min_rows: int | None = None
 ) -> dict[str, dict[object, int]]:
     """For each key column, its hot values and into how many parts to cut each.
 
-    One pass, one result row; at most SHARES values per column are looked at.
-    A wrong estimate changes how work is spread, never the result of the join.
+    A key is hot if its rows take more than PART_BYTES, by the table's mean row, or with
+    ``min_rows`` if it has more rows.  One pass, after a count; one result row, with at
+    most SHARES values for a column.  Pass a written table: then the count reads no rows,
+    and the size is known.  A wrong estimate changes how work is spread, never the result
+    of the join.
     """
-    made = [F.expr(f"approx_top_k_accumulate(`{k}`, {TRACKED})").alias(k) for k in keys]
+    rows = df.count()
+    target = hot_rows(rows, planned_bytes(df)) if min_rows is None else max(min_rows, rows // SHARES)
+    shares = rows // target
+    if not shares:
+        return {k: {} for k in keys}
+    tracked = max(TRACKED * shares, LEAST_TRACKED)
+    made = [F.expr(f"approx_top_k_accumulate(`{k}`, {tracked})").alias(k) for k in keys]
     top = [
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{k}`), {SHARES})").alias(k)
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{k}`), {shares})").alias(k)
         for k in keys
     ]
     merger = F.pmod(F.spark_partition_id(), F.lit(MERGERS))
-    sketches = df.groupBy(merger).agg(F.count(F.lit(1)).alias("_rows"), *made)
+    sketches = df.groupBy(merger).agg(*made)
     # Grouped, so that no rows give no row: sketches cannot be combined from none.
-    row = sketches.groupBy(F.lit("all")).agg(F.sum("_rows").alias("_rows"), *top).first()
+    row = sketches.groupBy(F.lit("all")).agg(*top).first()
     if row is None:
         return {k: {} for k in keys}
-    target = max(min_rows, row["_rows"] // SHARES)
     return {
         k: {t["item"]: -(-t["count"] // target) for t in row[k] if t["count"] > target}
         for k in keys

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmart.operators.joins import MIN_HOT_ROWS, hot_key_parts, left_join
+from reviewmart.operators.joins import hot_key_parts, left_join
 from reviewmart.schemas import AMOUNT
 
 BEHAVIOR = ("customer_id", "amount_spent", "review_count", "review_score")
@@ -53,7 +53,7 @@ def fct_users(
 
 
 def reviews_with_logs(
-    reviews: DataFrame, logs: DataFrame, min_hot_rows: int = MIN_HOT_ROWS
+    reviews: DataFrame, logs: DataFrame, min_hot_rows: int | None = None
 ) -> DataFrame:
     """Each review with its logs, if any.  Takes enriched logs.
 
@@ -74,7 +74,7 @@ def fct_movie_analytics(
     reviews: DataFrame,
     logs: DataFrame,
     users: DataFrame,
-    min_hot_rows: int = MIN_HOT_ROWS,
+    min_hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per review and matching log, with its reviewer's totals.
 

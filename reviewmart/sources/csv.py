@@ -9,7 +9,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,7 @@ def read_csv(
     strict: bool = False,
     timestamp_format: str | None = None,
     folder: str | None = None,
+    counted: Observation | None = None,
 ) -> DataFrame:
     """Files with a header line, as the columns of ``schema``.
 
@@ -44,6 +45,11 @@ def read_csv(
     not written year first.
 
     Errors come up when a column is read: counting rows reads none.
+
+    ``counted`` gets the numbers of ``rows``, of ``odd_rows`` in which something does not
+    parse, and as ``nulled_<column>`` of values that are NULL for that reason.  They come
+    from the pass that reads the rows, at its end; rows of a task that has to run again
+    after an executor was lost are counted again.
     """
     options = {**DIALECT, "mode": "FAILFAST" if strict else "PERMISSIVE"}
     if timestamp_format:
@@ -68,10 +74,32 @@ def read_csv(
         return rows.select(*schema.names)
     # In every column: a filter on one of them, pushed into the reader, would else drop
     # broken rows before they are looked at.
+    if counted:
+        rows = _counted(rows, schema, marked, counted)
     whole = _whole(marked)
     return rows.select(*(F.when(whole, F.col(c)).alias(c) for c in schema.names))
 
 
+def _counted(
+    rows: DataFrame, schema: T.StructType, marked: T.StructType, counted: Observation
+) -> DataFrame:
+    """The rows, observed: what is NULL though its field has a text was made so."""
+    texts = F.from_csv(F.col(ODD_ROW), ddl(_strings(marked.names)), _STRING_OPTIONS)
+    rows = rows.withColumn(ODD_TEXTS, F.when(F.col(ODD_ROW).isNotNull(), texts))
+    parsed = [f.name for f in schema if not isinstance(f.dataType, T.StringType)]
+    lost = {c: F.col(c).isNull() & F.col(ODD_TEXTS)[c].isNotNull() for c in parsed}
+    return rows.observe(
+        counted,
+        F.count(F.lit(1)).alias("rows"),
+        F.count(ODD_ROW).alias("odd_rows"),
+        *(F.count_if(x).alias(f"nulled_{c}") for c, x in lost.items()),
+    )
+
+
+def _strings(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def _data_records(
     spark: SparkSession, path: str | list[str], header: list[str] | None, folder: str | None
 ) -> DataFrame:
@@ -83,9 +111,7 @@ def _data_records(
         wrong = F.col("text") == ""
     else:
         names = [f"c{i}" for i in range(len(header))]
-        strings = T.StructType([T.StructField(n, T.StringType()) for n in [*names, ODD_ROW]])
-        options = {**DIALECT, "columnNameOfCorruptRecord": ODD_ROW}
-        found = F.from_csv("text", ddl(strings), options)
+        found = F.from_csv("text", ddl(_strings([*names, ODD_ROW])), _STRING_OPTIONS)
         same = [found[n].eqNullSafe(h) | (F.lower(found[n]) == h.lower()) for n, h in zip(names, header, strict=True)]
         wrong = ~reduce(and_, same, found[ODD_ROW].isNull())
     odd = first.where(wrong).agg(F.count("*").alias("n"), F.min("file_path").alias("one")).first()
@@ -96,14 +122,19 @@ def _data_records(
 
 # Holds the text of a row in which something did not parse.
 ODD_ROW = "_odd_row"
+ODD_TEXTS = "_odd_texts"
+_STRING_OPTIONS = {
+    "quote": DIALECT["quote"],
+    "escape": DIALECT["escape"],
+    "multiLine": "true",
+    "columnNameOfCorruptRecord": ODD_ROW,
+}
 
 
 def _whole(read_as: T.StructType) -> Column:
     """True, or an error for a row that does not parse even as plain strings."""
-    strings = T.StructType([T.StructField(f.name, T.StringType()) for f in read_as.fields])
-    options = {"quote": DIALECT["quote"], "escape": DIALECT["escape"]}
-    options["columnNameOfCorruptRecord"] = ODD_ROW
-    broken = F.from_csv(F.col(ODD_ROW), ddl(strings), options)[ODD_ROW].isNotNull()
+    strings = ddl(_strings(read_as.names))
+    broken = F.from_csv(F.col(ODD_ROW), strings, _STRING_OPTIONS)[ODD_ROW].isNotNull()
     message = F.concat(
         F.lit("a CSV row has another number of fields than the header; if fields hold"),
         F.lit(" line breaks, read with multi_line: "),
@@ -138,5 +169,6 @@ def read_reviews(
     path: str | list[str],
     multi_line: bool = False,
     folder: str | None = None,
+    counted: Observation | None = None,
 ) -> DataFrame:
-    return read_csv(spark, path, RAW_REVIEWS, multi_line, folder=folder)
+    return read_csv(spark, path, RAW_REVIEWS, multi_line, folder=folder, counted=counted)

@@ -14,8 +14,16 @@ from reviewmart.sinks.versions import current_path
 def read_staged(
     spark: SparkSession, path: str | list[str], schema: T.StructType
 ) -> DataFrame:
-    """Whole Parquet folders, never single part files."""
+    """Whole Parquet folders, never single part files.
+
+    A column that no file has is an error: under the declared schema alone it would be
+    NULL in every row.  Spark reads the footers for this, in many tasks.
+    """
     paths = [path] if isinstance(path, str) else path
+    found = spark.read.option("mergeSchema", "true").parquet(*paths).columns
+    missing = {f.lower() for f in schema.names} - {c.lower() for c in found}
+    if missing:
+        raise ValueError(f"no column {sorted(missing)} in {found} of {paths}")
     return spark.read.schema(schema).parquet(*paths)
 
 

@@ -6,11 +6,13 @@ import random
 
 import pytest
 from conftest import plan_text
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewmart import jobs
 from reviewmart.schemas import RAW_REVIEWS
 from reviewmart.session import planned_bytes
-from reviewmart.sources import csv, csv_records
+from reviewmart.sources import csv, csv_records, tables
 
 HEADER = "cid,review_str,id_review"
 
@@ -126,3 +128,24 @@ def test_table_sizes_come_from_the_plan(spark, tmp_path):
     spark.range(100_000).write.saveAsTable("sized_by_plan", path=str(path))
     stored = sum(p.stat().st_size for p in path.glob("*.parquet"))
     assert 0.5 * stored < planned_bytes(spark.table("sized_by_plan")) < 2 * stored
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_what_does_not_parse_is_counted_as_it_is_written(spark, tmp_path, multi_line):
+    lines = ["1,good,2", "x,good,3", ",bad,4", "5,,6.5", "y,,z", "6,\"a, b\",7"]
+    (tmp_path / "r.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    found = jobs.stage_reviews(spark, str(tmp_path / "r.csv"), str(tmp_path / "out"), multi_line=multi_line)
+    assert found == {"rows": 6, "odd_rows": 3, "nulled_cid": 2, "nulled_id_review": 2}
+    (tmp_path / "r.csv").write_text(HEADER + "\n")
+    found = jobs.stage_reviews(spark, str(tmp_path / "r.csv"), str(tmp_path / "out"), multi_line=multi_line)
+    assert found == {"rows": 0, "odd_rows": 0, "nulled_cid": 0, "nulled_id_review": 0}
+
+
+def test_a_staged_table_without_a_column_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "staged")
+    spark.range(3).select(F.col("id").alias("review_id"), F.lit(1).alias("USER_ID")).write.parquet(path)
+    with pytest.raises(ValueError, match="positive_review"):
+        tables.read_staged_reviews(spark, path)
+    # Another file has it: the older rows have none.
+    spark.range(2).select(F.lit(1).alias("positive_review")).write.mode("append").parquet(path)
+    assert tables.read_staged_reviews(spark, path).where("positive_review IS NULL").count() == 3

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from reviewmart.operators.joins import SHARES, hot_key_parts, left_join
+from reviewmart.operators import joins
+from reviewmart.operators.joins import SHARES, hot_key_parts, hot_rows, left_join
 from conftest import plan_text
 
 LEFT = "k int, a int"
@@ -68,7 +69,7 @@ def test_parts_of_hot_values(spark):
     parts = hot_key_parts(df, "k", "s", min_rows=100)
     assert parts["k"] == {7: 5, None: 3, 9: 2}
     assert parts["s"] == {"7": 5, "None": 3, "9": 2}
-    assert hot_key_parts(df, "k") == {"k": {}}
+    assert hot_key_parts(df, "k") == {"k": {}}  # few rows, and narrow
     assert hot_key_parts(df.limit(0), "k", min_rows=1) == {"k": {}}
 
 
@@ -77,6 +78,37 @@ def test_fewer_than_shares_values_are_hot(spark):
     assert hot_key_parts(df, "k", min_rows=1) == {"k": {}}
 
 
+def test_what_is_hot_goes_by_bytes():
+    # 10^10 rows of 1 KB stored: a key of 5 million rows, 15 GB in a shuffle, is cut.
+    assert hot_rows(10**10, 10**13) <= 500_000
+    # The same number of narrow rows: so many of them are what a task can hold.
+    assert hot_rows(10**10, 10**11) > 5_000_000
+    # 10^12 rows: no part is larger than some gigabytes, where it was 250 million rows.
+    assert hot_rows(10**12, 10**14) * 300 <= 16 << 30
+    assert hot_rows(0, 0) == hot_rows(5, 10**9) == joins.MIN_HOT_ROWS
+
+
+def test_wide_rows_are_hot_earlier(spark, tmp_path, conf, monkeypatch):
+    """The same keys, in wide and in narrow rows; results are those of a plain join."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(joins, "MIN_HOT_ROWS", 100)
+    monkeypatch.setattr(joins, "PART_BYTES", 1 << 20)
+    keys = spark.range(20_000).select(F.when(F.col("id") % 4 == 0, 5).otherwise(F.col("id")).alias("k"))
+    found = {}
+    for width in (1, 1000):
+        wide = F.concat_ws("", *(F.sha2(F.concat("k", F.lit(i), F.rand(i)), 256) for i in range(-(-width // 64))))
+        path = str(tmp_path / str(width))
+        keys.withColumn("a", wide).repartition(4).write.parquet(path)
+        left = spark.read.parquet(path)
+        found[width] = hot_key_parts(left, "k")["k"]
+        right = spark.range(50).select(F.col("id").alias("j"), (F.col("id") + 1).alias("b"))
+        cut = left_join(left, right, "k", "j", found[width]).groupBy("b").count()
+        plain = left_join(left, right, "k", "j").groupBy("b").count()
+        assert rows(cut) == rows(plain)
+    assert found[1].keys() == found[1000].keys() - {5} or found[1].get(5, 1) < found[1000][5]
+    assert found[1000][5] > 5
+
+
 def test_no_hot_key_leaves_a_plain_join(spark):
     l = spark.createDataFrame([(1, 2)], LEFT)
     r = spark.createDataFrame([(1, 2)], RIGHT)
