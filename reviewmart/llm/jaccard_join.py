@@ -12,6 +12,12 @@ is indexed under
 
 and every similar pair meets under a key.  What meets is verified on whole sets.
 
+Two exact bounds keep what meets few.  At its first common shingle a pair shares no more
+than what stands from there on in either set, so a row of the join has both places and is
+dropped where that is too little: similar pairs pass at their first key.  And of every set
+512 parities are kept, of the shingles that hash to each: where they differ, the sets do,
+so sets whose parities differ in more places than similar ones may are not similar.
+
 Components are asked for, not pairs, so big groups are never expanded: equal sets are
 one class, and classes with an equal MinHash value are first verified against that
 value's smallest document only.  Under a key, pairs of different components alone are
@@ -22,10 +28,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,14 +55,20 @@ from reviewmart.llm.texts import unzipped, zipped
 SIZE = 5
 PERCENT = 75
 # Shingles of so many documents are indexed in combinations.  Which ones are frequent
-# changes the work, not the result, so counts below LOCAL in 4 million shingles of a
+# changes the work, not the result, so counts below LOCAL in a million shingles of a
 # task are not summed, and of the frequent ones the first MAX_FREQUENT count as such.
-FREQUENT, LOCAL, COUNTED, MAX_FREQUENT = 1000, 16, 1 << 22, 1 << 16
+FREQUENT, LOCAL, COUNTED, MAX_FREQUENT = 1000, 4, 1 << 20, 1 << 16
 MINHASHES = 4
+# Words of 64 parities.
+PARITIES = 8
+# Pairs, and bytes of compressed texts, that are unpacked together.
+PAIRS, PAIR_BYTES = 64, 1 << 20
 ONE = np.uint64(1)
 
+HASHES = [f"m{j}" for j in range(MINHASHES)]
+BITS = [f"p{j}" for j in range(PARITIES)]
 SETS = "kind byte, id long, n long, s1 long, s2 long, " + ", ".join(
-    f"m{j} long" for j in range(MINHASHES)
+    f"{x} long" for x in [*HASHES, *BITS]
 )
 
 
@@ -101,6 +115,16 @@ def _names(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return [_per_text(np.add, mixed(hashes ^ _seed(j)), bounds) for j in (11, 13)]
 
 
+def _parities(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """Bit i of a set: whether an odd number of its shingles hash to i."""
+    place = mixed(hashes ^ _seed(17)) >> np.uint64(55)
+    word, bit = place >> np.uint64(6), ONE << (place & np.uint64(63))
+    zero = np.uint64(0)
+    return [
+        _per_text(np.bitwise_xor, np.where(word == j, bit, zero), bounds) for j in range(PARITIES)
+    ]
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in SETS.split(", ")]
 
@@ -120,7 +144,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in chunks(batch):
             hashes, bounds = shingle_sets(data, offsets)
             mins = [_per_text(np.minimum, mixed(hashes ^ _seed(j)), bounds) for j in range(MINHASHES)]
-            yield rows(0, part.column(0), np.diff(bounds), *_names(hashes, bounds), *mins)
+            values = [*_names(hashes, bounds), *mins, *_parities(hashes, bounds)]
+            yield rows(0, part.column(0), np.diff(bounds), *values)
             seen.append(hashes)
             held += len(hashes)
             if held >= COUNTED:
@@ -136,8 +161,11 @@ def least_overlap(n: np.ndarray) -> np.ndarray:
 
 
 def index_keys(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray):
-    """Keys to index sets under, and each key's set; each set's number of single keys
-    and the last one.  The lowest bit of a key tells a combination from a single one.
+    """Keys to index sets under, each key's set, and its place there.
+
+    The place of a single shingle is how many stand before it, that of a combination how
+    many stand before its second one, less one: from there on, the set has as many common
+    shingles at most as it has places.  The lowest bit tells a combination from a single.
     """
     n = np.diff(bounds)
     doc = np.repeat(np.arange(len(n)), n)
@@ -151,13 +179,7 @@ def index_keys(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray):
     rank = np.arange(len(hashes)) - bounds[doc]
     prefix = (n - least_overlap(n) + 1)[doc]
     single = (rank < prefix) & ~often
-    keys, docs = [hashes[single] & ~ONE], [doc[single]]
-    singles = np.bincount(doc[single], minlength=len(n))
-    rare = np.bincount(doc[~often], minlength=len(n))
-    # With all rare ones in the prefix, its range has no end.
-    last = np.full(len(n), ~np.uint64(0))
-    inner = np.flatnonzero((singles > 0) & (singles < rare))
-    last[inner] = hashes[bounds[inner] + singles[inner] - 1]
+    keys, docs, places = [hashes[single] & ~ONE], [doc[single]], [rank[single]]
     left = np.flatnonzero((rank < prefix) & often)
     for i in np.unique(doc[left]):
         own = left[np.searchsorted(doc[left], i) : np.searchsorted(doc[left], i, "right")]
@@ -168,7 +190,8 @@ def index_keys(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray):
         a, b = np.triu_indices(len(extended), 1)
         keys.append(mixed(mixed(extended[a]) ^ extended[b]) | ONE)
         docs.append(np.full(len(a), i))
-    return np.concatenate(keys), np.concatenate(docs), singles, last
+        places.append(rank[own[0]] + b - 1)
+    return tuple(map(np.concatenate, (keys, docs, places)))
 
 
 def _index(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -182,8 +205,8 @@ def _index(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[
                 if (name := name.tobytes()) not in met and bounds[i + 1] > bounds[i]:
                     met.add(name)
                     new[i] = True
-            keys, docs, _, _ = index_keys(hashes, bounds, frequent)
-            keys, docs = keys[new[docs]], docs[new[docs]]
+            keys, docs, places = index_keys(hashes, bounds, frequent)
+            keys, docs, places = (x[new[docs]] for x in (keys, docs, places))
             ids = part.column(0).take(pa.array(docs))
             for low in range(0, len(keys), 1 << 16):
                 own = slice(low, low + (1 << 16))
@@ -194,24 +217,27 @@ def _index(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[
                         pa.array(keys[own].view(np.int64)),
                         pa.array(flag[own]),
                         ids.slice(low, 1 << 16),
+                        pa.array(places[own].astype(np.int32)),
                     ],
-                    names=["key", "flag", "doc_id"],
+                    names=["key", "flag", "doc_id", "place"],
                 )
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part, data, offsets in chunks(batch):
-            hashes, bounds = shingle_sets(data, offsets)
-            _, _, singles, last = index_keys(hashes, bounds, frequent)
-            # Halved, so that it is the same order as signed numbers.
-            last = (last >> ONE).astype(np.int64)
-            columns = [part.column(0), pa.array(singles), pa.array(last)]
-            yield pa.RecordBatch.from_arrays(columns, names=["rep", "singles", "last"])
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of few pairs and few bytes; a longer pair is a part of its own."""
+    size = sum(pc.binary_length(batch.column(i)).to_numpy().astype(np.int64) for i in (2, 3))
+    low, held = 0, 0
+    for i, x in enumerate(size):
+        if i > low and (held + x > PAIR_BYTES or i - low == PAIRS):
+            yield batch.slice(low, i - low)
+            low, held = i, 0
+        held += x
+    if low < batch.num_rows:
+        yield batch.slice(low)
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in _slices(whole)):
         sides = []
         for i in (2, 3):
             data, offsets = utf8(unzipped(batch.column(i))[1])
@@ -226,6 +252,20 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
 
+def _may_link() -> Column:
+    """Whether rows a and b of one key may be a similar pair that meets there first.
+
+    Both sides have ``n_low, n_high`` (set sizes; several if the document has several
+    texts), ``place`` and the parities, null where several sets are one document.
+    """
+    total = F.expr("a.n_low + b.n_low")
+    tests = [F.expr(f"{x}.n_high * 100 >= {y}.n_low * {PERCENT}") for x, y in ("ab", "ba")]
+    tests += [F.expr(f"({x}.n_high - {x}.place) * {100 + PERCENT}") >= total * PERCENT for x in "ab"]
+    differ = reduce(add, (F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in BITS))
+    near = differ * (100 + PERCENT) <= total * (100 - PERCENT)
+    return reduce(and_, tests) & F.coalesce(near, F.lit(True))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar."""
     a = texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za"))
@@ -256,8 +296,7 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("s1", "s2").agg(
-        F.min("doc_id").alias("rep"), *(F.first(f"m{j}").alias(f"m{j}") for j in range(MINHASHES)),
-        F.first("n").alias("n"),
+        F.min("doc_id").alias("rep"), *(F.first(x).alias(x) for x in ["n", *HASHES, *BITS])
     )
     classes = stage(classes, "classes", folder)
     of_doc = some.join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).select("doc_id", "rep", "n")
@@ -265,11 +304,12 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
     # Rows without an id go first: they must not stand in for equal sets of others.
     keyed = docs.where("doc_id IS NOT NULL").mapInArrow(
-        partial(_index, frequent=frequent), "key long, flag byte, doc_id long"
+        partial(_index, frequent=frequent), "key long, flag byte, doc_id long, place int"
     )
     found = repeated(keyed)
     found = found.join(of_doc.select("doc_id", "rep").distinct(), "doc_id")
-    index = stage(found.select("key", "rep").distinct(), "index", folder)
+    index = found.groupBy("key", "rep").agg(F.min("place").alias("place"))
+    index = stage(index, "index", folder)
 
     # Texts of the documents that meet another one, fetched once.
     meeting = index.select(F.col("rep").alias("doc_id")).distinct()
@@ -286,48 +326,23 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     ties = stage(links.union(same), "ties", folder)
     known = components(ties, folder)
 
-    sized = classes.groupBy("rep").agg(F.min("n").alias("n_low"), F.max("n").alias("n_high"))
-    labelled = index.join(known.withColumnRenamed("id", "rep"), "rep", "left").join(sized, "rep")
-    labelled = labelled.select(
-        "key", "rep", F.coalesce("component", "rep").alias("c"), "n_low", "n_high"
-    )
+    labelled = index.join(known.withColumnRenamed("id", "rep"), "rep", "left")
+    labelled = labelled.select("key", "rep", "place", F.coalesce("component", "rep").alias("c"))
     labelled = stage(labelled, "labelled", folder)
     mixed_keys = labelled.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"))
     mixed_keys = mixed_keys.where("x < y").select("key")
-    open_ = stage(labelled.join(mixed_keys, "key"), "open", folder)
-    a, b = open_.alias("a"), open_.alias("b")
-    near_size = F.expr(
-        f"a.n_high * 100 >= b.n_low * {PERCENT} AND b.n_high * 100 >= a.n_low * {PERCENT}"
-    )
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & F.expr("a.c < b.c") & near_size)
-    met = met.groupBy(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).agg(
-        F.count_if(F.expr("a.key & 1 = 0")).alias("shared")
-    )
-    # Of two sets, all single keys of the one whose prefix ends first lie within the
-    # prefix of the other: those not shared are missing there, and few may be.
-    prefixes = docs.mapInArrow(
-        partial(_prefixes, frequent=frequent), "rep long, singles long, last long"
-    )
-    prefixes = prefixes.join(open_.select("rep").distinct(), "rep").groupBy("rep").agg(
-        # Several texts of one document are not told apart here.
-        F.when(F.count("*") == 1, F.max("singles")).otherwise(0).alias("singles"),
-        F.min("last").alias("last"),
+    alone = F.count("*") == 1  # else several sets are one document
+    sized = classes.groupBy("rep").agg(
+        F.min("n").alias("n_low"),
+        F.max("n").alias("n_high"),
+        *(F.when(alone, F.max(p)).alias(p) for p in BITS),
     )
-    prefixes = prefixes.join(sized, "rep").withColumn("n", F.col("n_low"))
-    prefixes = stage(prefixes.select("rep", "singles", "last", "n"), "prefixes", folder)
-
-    def side(name: str) -> DataFrame:
-        return prefixes.select(*(F.col(c).alias(f"{name}_{c}") for c in prefixes.columns))
-
-    x, y = side("x"), side("y")
-    met = met.join(x, F.col("a") == F.col("x_rep")).join(y, F.col("b") == F.col("y_rep"))
-    overlap = F.ceil((F.col("x_n") + F.col("y_n")) * PERCENT / (100 + PERCENT))
-
-    def missing(name: str) -> Column:
-        return F.col(f"{name}_singles") - F.col("shared") - (F.col(f"{name}_n") - overlap)
-
-    first = F.when(F.col("x_last") <= F.col("y_last"), missing("x")).otherwise(missing("y"))
-    pairs = met.where(first <= 0).select("a", "b")
+    open_ = labelled.join(mixed_keys, "key").join(sized, "rep")
+    open_ = stage(open_, "open", folder)
+    a, b = open_.alias("a"), open_.alias("b")
+    same_key = (F.col("a.key") == F.col("b.key")) & F.expr("a.c < b.c")
+    met = a.join(b, same_key & _may_link())
+    pairs = met.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
     more = stage(_verified(pairs, texts), "links-rest", folder)
     final = components(ties.union(more), folder)
     joined = sets.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")

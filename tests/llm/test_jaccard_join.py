@@ -85,15 +85,40 @@ def test_combinations_of_frequent_shingles_find_all_pairs():
         frequent = np.sort(rng.choice(2000, trial * 7 % 2000, replace=False)).astype(np.uint64)
         x, y, frequent = (2 * v for v in (x, y, frequent))  # keys leave the lowest bit out
         bounds = np.array([0, len(x), len(x) + len(y)])
-        keys, docs, singles, last = jaccard_join.index_keys(np.concatenate([x, y]), bounds, frequent)
+        hashes = np.concatenate([x, y])
+        keys, docs, places = jaccard_join.index_keys(hashes, bounds, frequent)
         if 100 * both >= 75 * (len(x) + len(y) - both) and len(x) > 1:
-            shared = set(keys[docs == 0].tolist()) & set(keys[docs == 1].tolist())
-            assert shared
-            # What the set whose prefix ends first has alone is not more than may be.
-            i = 0 if last[0] <= last[1] else 1
-            overlap = -(-75 * (len(x) + len(y)) // 175)
-            alone = singles[i] - sum(k % 2 == 0 for k in shared)
-            assert alone <= (len(x), len(y))[i] - overlap
+            sides = [dict(zip(keys[docs == i].tolist(), (n - places[docs == i]).tolist(), strict=True)) for i, n in enumerate((len(x), len(y)))]
+            shared = sides[0].keys() & sides[1].keys()
+            # At one of them both sets have enough places left for what they share.
+            assert any(min(s[k] for s in sides) * 175 >= 75 * (len(x) + len(y)) for k in shared)
+            assert all(s[k] >= 1 for s in sides for k in shared)
+        parities = jaccard_join._parities(hashes, bounds)
+        differ = sum(int(p[0] ^ p[1]).bit_count() for p in parities)
+        assert differ <= len(x) + len(y) - 2 * both
+
+
+def test_texts_are_compared_in_small_parts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PAIR_BYTES", 300)
+    monkeypatch.setattr(jaccard_join, "PAIRS", 3)
+    rows = documents() + chain()
+    found = jaccard_join.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(map(tuple, found), key=str) == due(rows)
+
+
+def test_many_near_copies_that_are_not_similar(spark, monkeypatch):
+    """Each has edits of its own: all pairs share keys, few are similar."""
+    rng = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(160)]
+    rows = []
+    for i in range(150):
+        word = list(base)
+        for j in rng.choice(160, int(rng.integers(2, 8)), replace=False):
+            word[j] = f"own{i}x{j}"
+        rows.append((i, " ".join(word)))
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 20)
+    found = jaccard_join.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(map(tuple, found), key=str) == due(rows)
 
 
 def test_one_of_each_keeps_all_columns(spark):
