@@ -13,6 +13,7 @@ n-grams are new in a block, so that moves far less than one row per byte.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -217,6 +218,16 @@ def _block_texts(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.Re
 def _score(
     texts: pa.Table, grams: pa.Table, order: int, text: int, columns: Sequence[str]
 ) -> pa.Table:
+    found = pa.concat_tables(_scored(texts, grams, order, text, columns))
+    # Copied, as slices keep the whole batch they are of; what it took goes back.
+    found = found.take(pa.array(np.arange(len(found))))
+    pa.default_memory_pool().release_unused()
+    return found
+
+
+def _scored(
+    texts: pa.Table, grams: pa.Table, order: int, text: int, columns: Sequence[str]
+) -> list[pa.Table]:
     gram = grams.column("gram").to_numpy()
     by = np.argsort(gram)
     gram, logp = gram[by], grams.column("logp").to_numpy()[by].astype(np.float64)
@@ -233,7 +244,7 @@ def _score(
                 scored = pa.Table.from_batches([rows]).select(columns)
                 scored = scored.append_column("kn_symbols", pa.array(size))
                 out.append(scored.append_column("kn_log_perplexity", pa.array(-total / size)))
-    return pa.concat_tables(out)
+    return out
 
 
 def score(
@@ -270,6 +281,33 @@ def score(
     return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(scored, schema)
 
 
+def _judged(rows: DataFrame, held: DataFrame, pooled: float, folder: str | None) -> DataFrame:
+    """The rows with ``excess`` and ``threshold``, by tables of languages that are joined."""
+    by_lang = held.groupBy(F.col("lang").alias("language")).agg(
+        F.count("*").alias("n"), F.median("v").alias("median")
+    )
+    # A null language is joined with none.
+    own = by_lang.where(f"n >= {MIN_HELD_OUT} AND language IS NOT NULL").select("language", "median")
+    own = stage(own, "medians", folder)
+
+    def excess(df: DataFrame, value: str, center: Column) -> DataFrame:
+        return df.withColumn("excess", (F.col(value) - center) * F.sqrt("kn_symbols"))
+
+    def fence(df: DataFrame, *by: str) -> DataFrame:
+        # On a grid, the exact quantiles' state is bounded.
+        e = F.round("excess", 2)
+        low, high = (F.percentile(e, x) for x in (0.25, 0.75))
+        return df.groupBy(*by).agg((high + FENCE * (high - low)).alias("fence"))
+
+    of_own = excess(held.join(own, F.col("lang") == F.col("language")), "v", F.col("median"))
+    fences = fence(of_own, "language", "median")
+    languages = stage(fences, "fences", folder)
+    limit = F.lit(float(fence(excess(held, "v", F.lit(pooled))).first()["fence"]))
+    joined = rows.join(languages, F.col("lang") == F.col("language"), "left")
+    joined = excess(joined, "kn_log_perplexity", F.coalesce("median", F.lit(pooled)))
+    return joined.withColumn("threshold", F.coalesce("fence", limit))
+
+
 def classify(
     docs: DataFrame, trusted: DataFrame, keep: Sequence[str], folder: str | None = None
 ) -> DataFrame:
@@ -305,33 +343,11 @@ def classify(
     # On a grid, the exact quantiles' state is bounded.
     held = rows.where(held_out).join(some, "doc_id", "semi")
     held = held.select("lang", "kn_symbols", F.round("kn_log_perplexity", 4).alias("v"))
-    by_lang = held.groupBy("lang").agg(F.count("*").alias("n"), F.median("v").alias("median"))
-    middle = {r["lang"]: (r["n"], r["median"]) for r in by_lang.collect()}
     pooled = held.agg(F.median("v")).first()[0]
     if pooled is None:
         judged = rows.withColumns({"excess": F.lit(0.0), "threshold": F.lit(0.0)})
     else:
-        own = {k: m for k, (n, m) in middle.items() if n >= MIN_HELD_OUT and k is not None}
-        key = F.when(F.col("lang").isin(list(own)), F.col("lang"))
-        table = [(k, m) for k, m in own.items()] + [(None, pooled)]
-
-        def excess(df: DataFrame, value: str) -> DataFrame:
-            center = F.lit(float(pooled))
-            for k, m in table[:-1]:
-                center = F.when(F.col("key") == k, float(m)).otherwise(center)
-            root = F.sqrt(F.col("kn_symbols"))
-            return df.withColumn("excess", (F.col(value) - center) * root)
-
-        held = excess(held.withColumn("key", key), "v").withColumn("e", F.round("excess", 2))
-        quartiles = [F.percentile("e", x).alias(f"q{i}") for i, x in enumerate((0.25, 0.75))]
-        fences = {r["key"]: r["q1"] + FENCE * (r["q1"] - r["q0"]) for r in held.groupBy("key").agg(*quartiles).collect()}
-        all_rows = excess(held.withColumn("key", F.lit(None).cast("string")), "v")
-        pool = all_rows.withColumn("e", F.round("excess", 2)).agg(*quartiles).first()
-        limit = F.lit(float(pool["q1"] + FENCE * (pool["q1"] - pool["q0"])))
-        for k, m in table[:-1]:
-            limit = F.when(F.col("key") == k, float(fences[k])).otherwise(limit)
-        judged = excess(rows.withColumn("key", key), "kn_log_perplexity")
-        judged = judged.withColumn("threshold", limit)
+        judged = _judged(rows, held, float(pooled), folder)
     verdict = {
         "perplexity": F.exp("kn_log_perplexity"),
         "excess": F.col("excess"),
@@ -343,8 +359,19 @@ def classify(
 
 
 def accepted(docs: DataFrame, trusted: DataFrame, folder: str | None = None) -> DataFrame:
-    """The accepted documents, all columns."""
-    needed = ("doc_id", "lang", "text")
-    names = [c if c in needed else f"d{i}" for i, c in enumerate(docs.columns)]
-    judged = classify(docs.toDF(*names), trusted, names, folder)
-    return judged.where("accepted").select(*names).toDF(*docs.columns)
+    """The accepted rows, all columns, each judged by itself, whatever its id.
+
+    Null and empty texts are judged by their end alone, and a null language or one with few
+    held-out texts by all languages.  Only numbers of rows go through the judging; the
+    rejected ones are then left out.
+    """
+    number = f"row_{uuid.uuid4().hex[:8]}"
+    again = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if again.isEmpty():
+        numbered = docs.withColumn(number, F.col("doc_id"))
+    else:
+        numbered = docs.withColumn(number, F.monotonically_increasing_id())
+        numbered = stage(numbered, "numbered-rows", folder)
+    judged = classify(numbered, trusted, [number], folder)
+    gone = stage(judged.where("NOT accepted").select(number), "rejected", folder)
+    return numbered.join(gone, number, "anti").select(*docs.columns)
