@@ -16,7 +16,8 @@ Two exact bounds keep what meets few.  At its first common shingle a pair shares
 than what stands from there on in either set, so a row of the join has both places and is
 dropped where that is too little: similar pairs pass at their first key.  And of every set
 512 parities are kept, of the shingles that hash to each: where they differ, the sets do,
-so sets whose parities differ in more places than similar ones may are not similar.
+so sets whose parities differ in more places than similar ones may are not similar.  What is
+left is tested by more parities, four to eight for each shingle, before texts are fetched.
 
 Components are asked for, not pairs, so big groups are never expanded: equal sets are
 one class, and classes with an equal MinHash value are first verified against that
@@ -69,7 +70,7 @@ HASHES = [f"m{j}" for j in range(MINHASHES)]
 BITS = [f"p{j}" for j in range(PARITIES)]
 SETS = "kind byte, id long, n long, s1 long, s2 long, " + ", ".join(
     f"{x} long" for x in [*HASHES, *BITS]
-)
+) + ", sketch binary"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SIZE):
@@ -125,14 +126,37 @@ def _parities(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     ]
 
 
+def _sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Parities of each set, their number the power of two from four times its size."""
+    place = mixed(hashes ^ _seed(19)).view(np.int64)
+    out = []
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        bits = max(64, 4 << int(high - low - 1).bit_length()) if high > low else 64
+        odd = np.bincount(place[low:high] & (bits - 1), minlength=bits) & 1
+        out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
+    return out
+
+
+def _differing(x: bytes, y: bytes) -> int:
+    """In how many parities two sketches differ; the longer one is folded to the other's size."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        half = len(a) // 2
+        a = a[:half] ^ a[half:]
+    return int.from_bytes((a ^ b).tobytes(), "little").bit_count()
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in SETS.split(", ")]
 
-    def rows(kind: int, id_, n, *others) -> pa.RecordBatch:
+    def rows(kind: int, id_, n, *others, sketches=None) -> pa.RecordBatch:
         others = [np.asarray(x, np.uint64).view(np.int64) for x in others]
-        others += [np.zeros(len(n), np.int64)] * (len(names) - 3 - len(others))
+        others += [np.zeros(len(n), np.int64)] * (len(names) - 4 - len(others))
         columns = [pa.array(np.full(len(n), kind, np.int8)), id_, pa.array(np.asarray(n, np.int64))]
-        return pa.RecordBatch.from_arrays([*columns, *map(pa.array, others)], names=names)
+        columns += [*map(pa.array, others), pa.array(sketches or [None] * len(n), pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def frequent() -> pa.RecordBatch:
         token, n = np.unique(np.concatenate(seen), return_counts=True)
@@ -145,7 +169,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes, bounds = shingle_sets(data, offsets)
             mins = [_per_text(np.minimum, mixed(hashes ^ _seed(j)), bounds) for j in range(MINHASHES)]
             values = [*_names(hashes, bounds), *mins, *_parities(hashes, bounds)]
-            yield rows(0, part.column(0), np.diff(bounds), *values)
+            sketches = _sketches(hashes, bounds)
+            yield rows(0, part.column(0), np.diff(bounds), *values, sketches=sketches)
             seen.append(hashes)
             held += len(hashes)
             if held >= COUNTED:
@@ -252,6 +277,29 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
 
+def _tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        totals = batch.column(2).to_numpy()
+        keep = [
+            not (x.is_valid and y.is_valid)
+            or _differing(x.as_py(), y.as_py()) * (100 + PERCENT) <= total * (100 - PERCENT)
+            for total, x, y in zip(totals, batch.column(3), batch.column(4), strict=True)
+        ]
+        kept = batch.filter(pa.array(keep, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
+
+
+def _near(pairs: DataFrame, sized: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sketches do not rule out."""
+
+    def side(name: str) -> DataFrame:
+        return sized.selectExpr(f"rep {name}", f"n_low n{name}", f"sketch x{name}")
+
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    met = met.select("a", "b", F.expr("na + nb"), "xa", "xb")
+    return met.mapInArrow(_tested, "a long, b long")
+
+
 def _may_link() -> Column:
     """Whether rows a and b of one key may be a similar pair that meets there first.
 
@@ -296,7 +344,7 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("s1", "s2").agg(
-        F.min("doc_id").alias("rep"), *(F.first(x).alias(x) for x in ["n", *HASHES, *BITS])
+        F.min("doc_id").alias("rep"), *(F.first(x).alias(x) for x in ["n", *HASHES, *BITS, "sketch"])
     )
     classes = stage(classes, "classes", folder)
     of_doc = some.join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).select("doc_id", "rep", "n")
@@ -335,14 +383,15 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     sized = classes.groupBy("rep").agg(
         F.min("n").alias("n_low"),
         F.max("n").alias("n_high"),
-        *(F.when(alone, F.max(p)).alias(p) for p in BITS),
+        *(F.when(alone, F.max(p)).alias(p) for p in [*BITS, "sketch"]),
     )
-    open_ = labelled.join(mixed_keys, "key").join(sized, "rep")
+    open_ = labelled.join(mixed_keys, "key").join(sized.drop("sketch"), "rep")
     open_ = stage(open_, "open", folder)
     a, b = open_.alias("a"), open_.alias("b")
     same_key = (F.col("a.key") == F.col("b.key")) & F.expr("a.c < b.c")
     met = a.join(b, same_key & _may_link())
     pairs = met.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
+    pairs = stage(_near(pairs, sized), "near-pairs", folder)
     more = stage(_verified(pairs, texts), "links-rest", folder)
     final = components(ties.union(more), folder)
     joined = sets.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")

@@ -96,6 +96,8 @@ def test_combinations_of_frequent_shingles_find_all_pairs():
         parities = jaccard_join._parities(hashes, bounds)
         differ = sum(int(p[0] ^ p[1]).bit_count() for p in parities)
         assert differ <= len(x) + len(y) - 2 * both
+        differ = jaccard_join._differing(*jaccard_join._sketches(hashes, bounds))
+        assert differ <= len(x) + len(y) - 2 * both and differ % 2 == (len(x) + len(y)) % 2
 
 
 def test_texts_are_compared_in_small_parts(spark, monkeypatch):
