@@ -17,7 +17,7 @@ than what stands from there on in either set, so a row of the join has both plac
 dropped where that is too little: similar pairs pass at their first key.  And of every set
 512 parities are kept, of the shingles that hash to each: where they differ, the sets do,
 so sets whose parities differ in more places than similar ones may are not similar.  What is
-left is tested by more parities, four to eight for each shingle, before texts are fetched.
+left is tested by more parities, two to four for each shingle, before texts are fetched.
 
 Components are asked for, not pairs, so big groups are never expanded: equal sets are
 one class, and classes with an equal MinHash value are first verified against that
@@ -52,6 +52,7 @@ from reviewmart.llm.tasks import (
     word_bounds,
 )
 from reviewmart.llm.texts import unzipped, zipped
+from reviewmart.scratch import delete_folder, scratch_path
 
 SIZE = 5
 PERCENT = 75
@@ -127,11 +128,11 @@ def _parities(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
 
 
 def _sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """Parities of each set, their number the power of two from four times its size."""
+    """Parities of each set, their number the power of two from twice its size."""
     place = mixed(hashes ^ _seed(19)).view(np.int64)
     out = []
     for low, high in zip(bounds, bounds[1:], strict=False):
-        bits = max(64, 4 << int(high - low - 1).bit_length()) if high > low else 64
+        bits = max(64, 2 << int(high - low - 1).bit_length()) if high > low else 64
         odd = np.bincount(place[low:high] & (bits - 1), minlength=bits) & 1
         out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
     return out
@@ -335,6 +336,12 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
+    folder = f"{folder}/jaccard-{uuid.uuid4().hex}" if folder else scratch_path(spark, "jaccard")
+
+    def forget(label: str) -> None:
+        """Nothing reads this table any more."""
+        delete_folder(spark, f"{folder}/{label}")
+
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     both = stage(docs.mapInArrow(_sets, SETS), "sets", folder)
     sets = both.where("kind = 0").drop("kind").withColumnRenamed("id", "doc_id")
@@ -372,11 +379,12 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     same = of_doc.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     # A document with several texts ties their classes together.
     ties = stage(links.union(same), "ties", folder)
-    known = components(ties, folder)
+    known = components(ties, f"{folder}/known")
 
     labelled = index.join(known.withColumnRenamed("id", "rep"), "rep", "left")
     labelled = labelled.select("key", "rep", "place", F.coalesce("component", "rep").alias("c"))
     labelled = stage(labelled, "labelled", folder)
+    forget("index")
     mixed_keys = labelled.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"))
     mixed_keys = mixed_keys.where("x < y").select("key")
     alone = F.count("*") == 1  # else several sets are one document
@@ -387,13 +395,17 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     )
     open_ = labelled.join(mixed_keys, "key").join(sized.drop("sketch"), "rep")
     open_ = stage(open_, "open", folder)
+    forget("labelled")
     a, b = open_.alias("a"), open_.alias("b")
     same_key = (F.col("a.key") == F.col("b.key")) & F.expr("a.c < b.c")
     met = a.join(b, same_key & _may_link())
     pairs = met.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
     pairs = stage(_near(pairs, sized), "near-pairs", folder)
+    forget("open")
     more = stage(_verified(pairs, texts), "links-rest", folder)
-    final = components(ties.union(more), folder)
+    for label in ("met-texts", "near-pairs", "classes", "doc-classes"):
+        forget(label)
+    final = components(ties.union(more), f"{folder}/final")
     joined = sets.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return joined.select(
         "doc_id",
