@@ -370,11 +370,19 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     meeting = index.select(F.col("rep").alias("doc_id")).distinct()
     texts = stage(zipped(docs).join(meeting, "doc_id", "semi"), "met-texts", folder)
 
+    alone = F.count("*") == 1  # else several sets are one document
+    sized = classes.groupBy("rep").agg(
+        F.min("n").alias("n_low"),
+        F.max("n").alias("n_high"),
+        *(F.when(alone, F.max(p)).alias(p) for p in [*BITS, "sketch"]),
+    )
+
     values = F.explode(F.array(*(F.struct(F.lit(j).alias("j"), F.col(f"m{j}").alias("m")) for j in range(MINHASHES))))
     hashed = classes.select("rep", values.alias("v")).select("rep", "v.*")
     heads = hashed.groupBy("j", "m").agg(F.min("rep").alias("a"), F.count("*").alias("c"))
     stars = hashed.join(heads.where("c > 1"), ["j", "m"]).where("a <> rep")
     stars = stars.select("a", F.col("rep").alias("b")).distinct()
+    stars = stage(_near(stars, sized), "stars", folder)
     links = stage(_verified(stars, texts), "star-links", folder)
     same = of_doc.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     # A document with several texts ties their classes together.
@@ -387,12 +395,6 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     forget("index")
     mixed_keys = labelled.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"))
     mixed_keys = mixed_keys.where("x < y").select("key")
-    alone = F.count("*") == 1  # else several sets are one document
-    sized = classes.groupBy("rep").agg(
-        F.min("n").alias("n_low"),
-        F.max("n").alias("n_high"),
-        *(F.when(alone, F.max(p)).alias(p) for p in [*BITS, "sketch"]),
-    )
     open_ = labelled.join(mixed_keys, "key").join(sized.drop("sketch"), "rep")
     open_ = stage(open_, "open", folder)
     forget("labelled")
