@@ -393,6 +393,8 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     labelled = labelled.select("key", "rep", "place", F.coalesce("component", "rep").alias("c"))
     labelled = stage(labelled, "labelled", folder)
     forget("index")
+    # Dealt by key once, for the keys' components and for the join with them.
+    labelled = labelled.repartition("key")
     mixed_keys = labelled.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"))
     mixed_keys = mixed_keys.where("x < y").select("key")
     open_ = labelled.join(mixed_keys, "key").join(sized.drop("sketch"), "rep")
