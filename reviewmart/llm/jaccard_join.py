@@ -43,6 +43,7 @@ from reviewmart.llm.routing import flags, repeated
 from reviewmart.llm.tasks import (
     LOWER,
     chunks,
+    give_back,
     mixed,
     rolled,
     ship,
@@ -179,6 +180,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen, held = [], 0
     if seen:
         yield frequent()
+        seen = []
+    give_back()
 
 
 def least_overlap(n: np.ndarray) -> np.ndarray:
@@ -247,6 +250,7 @@ def _index(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[
                     ],
                     names=["key", "flag", "doc_id", "place"],
                 )
+    give_back()
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmart.llm.tasks import chunks, ship, stage, utf8
+from reviewmart.llm.tasks import chunks, give_back, ship, stage, utf8
 
 ORDER = 5
 SEPARATOR = 0
@@ -201,6 +201,7 @@ def _block_grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(own), block)), pa.array(own)], names=["block", "gram"]
             )
+    give_back()
 
 
 def _block_texts(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
@@ -221,7 +222,7 @@ def _score(
     found = pa.concat_tables(_scored(texts, grams, order, text, columns))
     # Copied, as slices keep the whole batch they are of; what it took goes back.
     found = found.take(pa.array(np.arange(len(found))))
-    pa.default_memory_pool().release_unused()
+    give_back()
     return found
 
 
