@@ -70,12 +70,38 @@ def test_keys_with_too_many_pieces_are_taken_apart(spark, monkeypatch):
     assert sorted(map(tuple, found), key=str) == due_words(rows, 35)
 
 
+def test_byte_keys_with_too_many_pieces_are_taken_apart(spark, monkeypatch):
+    real = repeats.Windows
+    monkeypatch.setattr(suffix_dedup, "Windows", lambda **k: real(**{**k, "shard": 600}))
+    rows = documents() + ODD
+    found = suffix_dedup.strip_repeats(frame(spark, rows)).drop("kept").collect()
+    assert sorted(map(tuple, found), key=str) == due_bytes(rows, 100)
+
+
 def test_empty_table(spark):
     empty = frame(spark, [])
     assert substring_dedup.strip_repeats(empty).collect() == []
     assert suffix_dedup.strip_repeats(empty).collect() == []
 
 
+@pytest.mark.parametrize("length", [1, 3, 7, 8, 20])
+def test_windows_in_prefix_order_are_cut_where_they_differ(length):
+    rng = np.random.default_rng(length)
+    for trial in range(60):
+        text = np.append(rng.integers(0, 2 + trial % 4, rng.integers(0, 80)), 0)
+        if trial % 3 == 0:  # long repeats
+            text = np.append(np.tile(text, 3), 0)
+        order = suffix_dedup.prefix_order(text, length)
+        assert sorted(order) == list(range(len(text)))
+        padded = [*text.tolist(), *[0] * length]
+        strings = [tuple(padded[i : i + length]) for i in order]
+        assert strings == sorted(strings)
+        cut = suffix_dedup.boundaries(text[order - 1], length)
+        whole = [a for a, s in enumerate(strings) if 0 not in s]
+        for a, b in zip(whole, whole[1:], strict=False):
+            assert (strings[a] == strings[b]) == (not cut[a + 1 : b + 1].any())
+
+
 def test_boundaries_against_plain_comparison():
     rng = np.random.default_rng(0)
     for trial in range(60):
