@@ -2,13 +2,15 @@
 
 The CRF labels the tokens of a line (runs of letters, runs of digits, single signs) from
 their word shapes and those of their neighbours.  It is trained on a small table of
-labelled lines and decoded by Viterbi for many lines at once.  Only lines that hold a
-digit or ``@`` are decoded: all other labels are ruled out elsewhere, as no kind of
-personal data here does without both.
+labelled lines (``pii_examples``) and decoded by Viterbi for many lines at once.  It finds
+forms the rules miss, and secrets, of which there is no rule.  Only stretches around a
+digit, ``@`` or a bracketed "at" are decoded: all other labels are ruled out elsewhere, as
+no kind of personal data here does without all three.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
@@ -16,21 +18,24 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmart.llm import pii_examples
 from reviewmart.llm.tasks import chunks, ship
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
+RULED = 4  # kinds the rules know
 Span = tuple[int, int, int]  # kind, start, end
 
-# Training takes so many documents at most, picked by a hash of their id, and of each
-# line so many code points around a span.
-SAMPLE_DOCS = 400
-CROP = 120
-ROUNDS = 80
-# Tokens, padding among them, that are decoded at once.
-DECODED = 1 << 16
+# Training takes so many labelled lines at most, picked by their hash.
+LABELLED = 4000
+ROUNDS = 120
+# A line is decoded where a trigger is so many code points away at most, in pieces of
+# ``CORE`` with as much around them.
+REACH, CORE = 160, 2000
+# Code points whose tokens are in memory, and tokens (padding too) decoded at once.
+GATHERED, DECODED = 1 << 18, 1 << 16
 
 # The rules, fixed by contract.  Possessive repeats and look-behinds keep them linear in
 # the text; they find what the plain patterns find.
@@ -41,7 +46,10 @@ EMAIL = re.compile(rf"(?<![{_LOCAL}]){_EMAIL}")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TRIGGER = re.compile("[0-9@]")
+# What the CRF's values have: a digit, @, or a bracketed "at".
+_AT = r"[\[({] ?at ?[\])}]"
+TRIGGER = re.compile(rf"[0-9@]+|{_AT}")
+TRIGGER_BYTES = b"0123456789@[({"
 
 
 def _digits(text: str) -> str:
@@ -196,27 +204,26 @@ class Crf:
 
 
 def _forward_backward(emitted, steps, inside):
-    """Label chances of each token, and expected steps, of padded lines."""
-    longest, n, k = emitted.shape
+    """Label chances of each token, and expected steps, of padded lines, longest first."""
+    longest, _, k = emitted.shape
     top = emitted.max(2, keepdims=True)
     e, s = np.exp(emitted - top), np.exp(steps - steps.max())
     alpha, beta = np.zeros_like(e), np.ones_like(e)
     alpha[0] = e[0] / e[0].sum(1, keepdims=True)
+    lines = inside.sum(1)  # that reach this token
     for t in range(1, longest):
-        a = alpha[t - 1] @ s * e[t]
-        a /= a.sum(1, keepdims=True)
-        alpha[t] = np.where(inside[t][:, None], a, alpha[t - 1])
+        n = lines[t]
+        a = alpha[t - 1, :n] @ s * e[t, :n]
+        alpha[t, :n] = a / a.sum(1, keepdims=True)
     expected = np.zeros((k, k))
     for t in range(longest - 1, 0, -1):
-        right = beta[t] * e[t]
-        pair = alpha[t - 1][:, :, None] * s * right[:, None, :]
-        pair /= pair.sum((1, 2), keepdims=True)
-        expected += pair[inside[t]].sum(0)
+        n = lines[t]
+        before, right = alpha[t - 1, :n], beta[t, :n] * e[t, :n]
         b = right @ s.T
-        b /= b.sum(1, keepdims=True)
-        beta[t - 1] = np.where(inside[t][:, None], b, beta[t - 1])
+        expected += s * (before.T @ (right / (before * b).sum(1, keepdims=True)))
+        beta[t - 1, :n] = b / b.sum(1, keepdims=True)
     chance = alpha * beta
-    return chance / chance.sum(2, keepdims=True), expected
+    return chance / np.maximum(chance.sum(2, keepdims=True), 1e-300), expected
 
 
 def fit(lines: Sequence[tuple[str, Sequence[Span]]], rounds: int = ROUNDS) -> Crf:
@@ -228,6 +235,7 @@ def fit(lines: Sequence[tuple[str, Sequence[Span]]], rounds: int = ROUNDS) -> Cr
     crf.weights[:, 0] = 1e-6
     made = [(tokens(text), spans) for text, spans in lines]
     made = [(t, labels(t[0], t[1], spans)) for t, spans in made if len(t[0])]
+    made.sort(key=lambda x: -len(x[1]))
     if not made:
         return crf
     size = np.array([len(x) for _, x in made])
@@ -240,6 +248,9 @@ def fit(lines: Sequence[tuple[str, Sequence[Span]]], rounds: int = ROUNDS) -> Cr
     same = line[1:] == line[:-1]
     seen = np.zeros((LABELS, LABELS))
     np.add.at(seen, (gold[:-1][same], gold[1:][same]), 1)
+    # Each column's tokens in order of their feature, so that a sum per feature is a run.
+    sorts = [np.argsort(column, kind="stable") for column in features.T]
+    runs = [np.unique(c[o], return_index=True) for c, o in zip(features.T, sorts, strict=True)]
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (crf.weights, crf.steps)]
     for step in range(1, rounds + 1):
         emitted = np.zeros((longest, n, LABELS))
@@ -248,8 +259,8 @@ def fit(lines: Sequence[tuple[str, Sequence[Span]]], rounds: int = ROUNDS) -> Cr
         error = chance[place, line]
         error[np.arange(len(gold)), gold] -= 1
         down = np.zeros_like(crf.weights)
-        for column in features.T:
-            np.add.at(down, column, error)
+        for order, (own, first) in zip(sorts, runs, strict=True):
+            down[own] += np.add.reduceat(error[order], first)
         for x, g, m in zip(
             (crf.weights, crf.steps), (down, expected - seen), moments, strict=True
         ):
@@ -263,49 +274,88 @@ def fit(lines: Sequence[tuple[str, Sequence[Span]]], rounds: int = ROUNDS) -> Cr
 # Finding
 
 
-def _lines(text: str) -> Iterator[tuple[int, str]]:
-    """Lines with a digit or @, and where they begin."""
+def _stretches(text: str, begin: int, end: int) -> Iterator[tuple[int, int]]:
+    """Parts of a line from ``REACH`` before a trigger to ``REACH`` behind it, joined."""
+    found = TRIGGER.search(text, begin, end)
+    while found:
+        low, high = max(found.start() - REACH, begin), found.end() + REACH
+        while (found := TRIGGER.search(text, found.end(), end)) and found.start() - REACH <= high:
+            high = found.end() + REACH
+        yield low, min(high, end)
+
+
+def _pieces(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """What is decoded: begin and end, and between which places its spans may begin."""
     begin = 0
-    while begin <= len(text):
-        end = text.find("\n", begin)
+    while found := TRIGGER.search(text, begin):
+        low = text.rfind("\n", begin, found.start()) + 1 or begin
+        end = text.find("\n", found.end())
         end = len(text) if end < 0 else end
-        if TRIGGER.search(text, begin, end):
-            yield begin, text[begin:end]
-        begin = end + 1
+        for a, b in _stretches(text, low, end):
+            for core in range(a, b, CORE):
+                stop = min(core + CORE, b)
+                yield max(a, core - REACH), min(b, stop + REACH), core, stop
+        begin = end
 
 
 def _plausible(kind: int, text: str) -> bool:
-    """What the CRF may add: whole values only, so that clean texts stay clean."""
+    """Whether a found value is whole: shapes tell neither a check digit nor a size."""
     if kind == 0:
-        return text.count("@") == 1 and "." in text.split("@")[1].strip(" .")
-    return (is_ip, is_card, is_phone)[kind - 1](text)
+        plain = re.sub(rf" *(?:{_AT}|@) *", "@", re.sub(r" *(?:[\[({] ?dot ?[\])}]|\.) *", ".", text))
+        return EMAIL.fullmatch(plain) is not None
+    if kind == 4:
+        value = text.isascii() and text.isalnum() and len(text) >= 16
+        return value and any(c.isdigit() for c in text) and any(c.isalpha() for c in text)
+    return not any(c.isalpha() for c in text) and (is_ip, is_card, is_phone)[kind - 1](text)
+
+
+def _found(path: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Kind, first and last token of each run of labels."""
+    starts = (path > 0) & (path % 2 == 1)
+    inside = (path > 0) & ~starts
+    # Labels that go on begin a run of their own behind another kind, or none.
+    inside[1:] &= (path[:-1] > 0) & ((path[1:] - 1) // 2 == (path[:-1] - 1) // 2)
+    inside[:1] = False
+    first = np.flatnonzero((path > 0) & ~inside)
+    outside = np.append(np.flatnonzero(path == 0), len(path))
+    ends = np.minimum(np.append(first[1:], len(path)), outside[np.searchsorted(outside, first)])
+    for a, b in zip(first, ends, strict=True):
+        yield (int(path[a]) - 1) // 2, int(a), int(b) - 1
 
 
 def added_spans(crf: Crf, texts: Sequence[str], base: Sequence[list[Span]]) -> list[list[Span]]:
-    """Spans the CRF finds apart from the base ones, per text."""
-    owner, begins, cut, lines = [], [], [], []
-    for i, text in enumerate(texts):
-        for begin, line in _lines(text):
-            starts, ends, features = tokens(line)
-            owner.append(i)
-            begins.append(begin)
-            cut.append((starts, ends))
-            lines.append(features)
+    """Spans the CRF finds apart from the base ones, per text; they never overlap.
+
+    A line is decoded in pieces, so a text of any length takes bounded memory; a span
+    that begins in a piece ends at most ``REACH`` behind it.
+    """
     out: list[list[Span]] = [[] for _ in texts]
-    for i, begin, (starts, ends), path in zip(owner, begins, cut, crf.decode(lines), strict=True):
-        t = 0
-        while t < len(path):
-            if not path[t]:
-                t += 1
-                continue
-            kind, first = (int(path[t]) - 1) // 2, t
-            t += 1
-            while t < len(path) and path[t] == 2 + 2 * kind:
-                t += 1
-            a, b = begin + int(starts[first]), begin + int(ends[t - 1])
-            apart = all(b <= x or a >= y for _, x, y in base[i])
-            if apart and _plausible(kind, texts[i][a:b]):
-                out[i].append((kind, a, b))
+    taken = [sorted((a, b) for _, a, b in spans) for spans in base]
+    last = [0] * len(texts)
+    gathered, held = [], 0
+
+    def decode() -> None:
+        cut = [tokens(texts[i][a:b]) for i, a, b, _, _ in gathered]
+        paths = crf.decode([features for _, _, features in cut])
+        for (i, begin, _, low, high), (starts, ends, _), path in zip(gathered, cut, paths, strict=True):
+            for kind, first, end in _found(path):
+                a, b = begin + int(starts[first]), begin + int(ends[end])
+                if not (low <= a < high and a >= last[i]):
+                    continue
+                # Base spans of several kinds may overlap each other; few stand in a text.
+                near = taken[i][: bisect.bisect_left(taken[i], (b, 0))]
+                if all(y <= a for _, y in near) and _plausible(kind, texts[i][a:b]):
+                    out[i].append((kind, a, b))
+                    last[i] = b
+
+    for i, text in enumerate(texts):
+        for begin, end, low, high in _pieces(text):
+            gathered.append((i, begin, end, low, high))
+            held += end - begin
+            if held >= GATHERED:
+                decode()
+                gathered, held = [], 0
+    decode()
     return out
 
 
@@ -313,62 +363,47 @@ def _join(spans: Sequence[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 
 
+FOUND = ", ".join(
+    ["doc_id long", *(f"n_{k} long" for k in KINDS[:RULED]), "base_sha256 string", "spans string",
+     "n_secret long", "n_added long"]
+)
+
+
 def _find(batches: Iterator[pa.RecordBatch], crf: Crf) -> Iterator[pa.RecordBatch]:
     nothing = hashlib.sha256(b"").hexdigest()
-    digit_or_at = np.zeros(256, bool)
-    digit_or_at[[*range(48, 58), 64]] = True
+    trigger = np.zeros(256, bool)
+    trigger[list(TRIGGER_BYTES)] = True
     for batch in batches:
         for rows, data, offsets in chunks(batch):
-            marks = np.concatenate([[0], np.cumsum(digit_or_at[data])])
+            marks = np.concatenate([[0], np.cumsum(trigger[data])])
             some = np.flatnonzero(marks[offsets[1:]] > marks[offsets[:-1]])
             raw = data.tobytes()
             texts = [raw[offsets[i] : offsets[i + 1]].decode("utf-8", "replace") for i in some]
             base = [base_spans(x) for x in texts]
             added = added_spans(crf, texts, base)
-            counts = np.zeros((len(KINDS), rows.num_rows), np.int64)
+            counts = np.zeros((RULED, rows.num_rows), np.int64)
+            found = np.zeros((2, rows.num_rows), np.int64)
             sums, spans = [nothing] * rows.num_rows, [""] * rows.num_rows
             for i, own, more in zip(some, base, added, strict=True):
                 for kind, _, _ in own:
                     counts[kind, i] += 1
                 sums[i] = hashlib.sha256(_join(own).encode()).hexdigest()
                 spans[i] = _join([*own, *more])
+                found[:, i] = sum(k == KINDS.index("secret") for k, _, _ in more), len(more)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), *map(pa.array, counts), pa.array(sums), pa.array(spans)],
-                names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"],
+                [rows.column(0), *map(pa.array, counts), pa.array(sums), pa.array(spans),
+                 *map(pa.array, found)],
+                names=[x.split()[0] for x in FOUND.split(", ")],
             )
 
 
-def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines around rule-found spans, and those with a trigger but none."""
-    for batch in batches:
-        out = []
-        for text in batch.column(0).to_pylist():
-            spans = base_spans(text)
-            for begin, line in _lines(text):
-                end = begin + len(line)
-                own = [s for s in spans if begin <= s[1] and s[2] <= end]
-                mark = own[0][1] if own else begin + TRIGGER.search(line).start()
-                low, high = max(begin, mark - CROP), min(end, mark + CROP)
-                if any(a < low < b or a < high < b for _, a, b in own):
-                    continue
-                own = [(k, a - low, b - low) for k, a, b in own if low <= a and b <= high]
-                out.append((text[low:high], _join(own)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[i] for x in out], pa.string()) for i in (0, 1)], names=["line", "spans"]
-        )
-
-
-def rule_labelled(docs: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
-    """A small labelled table (line, spans) of at most ``most`` documents' lines.
-
-    For want of labels by hand the rules label it.
-    """
-    ship(docs.sparkSession)
-    texts = docs.select("doc_id", F.col("text").cast("string")).where(r"text rlike '[0-9@]'")
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    ids = [r[0] for r in texts.select("doc_id").orderBy(*order).limit(most).collect()]
-    picked = texts.where(F.col("doc_id").isin(ids)).select("text")
-    return picked.mapInArrow(_label, "line string, spans string")
+def examples(spark: SparkSession) -> DataFrame:
+    """The small labelled table (line, spans) that the library brings along."""
+    rows = [
+        (line, ",".join(f"{k}:{a}:{b}" for k, a, b in spans))
+        for line, spans in pii_examples.labelled()
+    ]
+    return spark.createDataFrame(rows, "line string, spans string")
 
 
 def parse_spans(spans: str) -> list[Span]:
@@ -376,27 +411,21 @@ def parse_spans(spans: str) -> list[Span]:
     return [(KINDS.index(k), int(a), int(b)) for k, a, b in parts]
 
 
-def train(labelled: DataFrame, most: int = 4 * SAMPLE_DOCS) -> Crf:
+def train(labelled: DataFrame, most: int = LABELLED) -> Crf:
     """Fit a CRF to a table of (line, spans); ``most`` lines, picked by their hash.
 
-    Phone numbers are learnt without their ``+`` and country code, too: the rules need
-    it, but people leave it out.
+    Spans are ``kind:start:end``, comma-joined; a null or empty line or spans count as
+    empty, and repeated rows as one.
     """
     order = [F.xxhash64("line"), "line", "spans"]
-    rows = labelled.select("line", "spans").distinct().orderBy(*order).limit(most).collect()
-    lines = [(r["line"], parse_spans(r["spans"])) for r in rows]
-    more = []
-    for line, spans in lines:
-        for kind, a, b in spans:
-            if KINDS[kind] == "phone" and len(spans) == 1 and line[a] == "+":
-                code = re.match(r"\+[0-9]{1,3} ", line[a:b])
-                for cut in {1, code.end() if code else 1}:
-                    more.append((line[:a] + line[a + cut :], [(kind, a, b - cut)]))
-    return fit([*lines, *more])
+    rows = labelled.select(F.coalesce("line", F.lit("")).alias("line"), F.coalesce("spans", F.lit("")).alias("spans"))
+    rows = rows.distinct().orderBy(*order).limit(most).collect()
+    return fit([(r["line"], parse_spans(r["spans"])) for r in rows])
 
 
 def find(docs: DataFrame, crf: Crf) -> DataFrame:
-    """``doc_id``, the number of rule-found spans of each kind, ``base_sha256``, ``spans``.
+    """``doc_id``, the number of rule-found spans of each kind, ``base_sha256``, ``spans``,
+    the number of secrets and of all spans that only the CRF has found.
 
     Every whole text of (doc_id, text) is searched; a null text is empty.  ``spans`` has
     the rules' and the CRF's, which never overlap them.  Rows that share a ``doc_id``
@@ -404,9 +433,7 @@ def find(docs: DataFrame, crf: Crf) -> DataFrame:
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    counts = ", ".join(f"n_{k} long" for k in KINDS)
-    schema = f"doc_id long, {counts}, base_sha256 string, spans string"
-    return docs.mapInArrow(partial(_find, crf=crf), schema)
+    return docs.mapInArrow(partial(_find, crf=crf), FOUND)
 
 
 def _mask(batches: Iterator[pa.RecordBatch], crf: Crf, text: int) -> Iterator[pa.RecordBatch]:
@@ -429,7 +456,10 @@ def _mask(batches: Iterator[pa.RecordBatch], crf: Crf, text: int) -> Iterator[pa
 
 
 def mask(docs: DataFrame, crf: Crf) -> DataFrame:
-    """All rows and columns, with ``<KIND>`` in place of personal data in ``text``."""
+    """All rows and columns, with ``<KIND>`` in place of personal data in ``text``.
+
+    A null or empty text stays as it is; other columns, whatever their names, do too.
+    """
     ship(docs.sparkSession)
     text = docs.columns.index("text")
     return docs.mapInArrow(partial(_mask, crf=crf, text=text), docs.schema)

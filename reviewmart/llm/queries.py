@@ -49,7 +49,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return pii.find(docs, pii.train(pii.rule_labelled(docs)))
+    return pii.find(docs, pii.train(pii.examples(spark)))
 
 
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

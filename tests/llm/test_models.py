@@ -8,9 +8,10 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pytest
 from cases import documents, frame
 
-from reviewmart.llm import pii, quality
+from reviewmart.llm import pii, pii_examples, quality
 
 PLAIN = (
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -51,48 +52,75 @@ def test_rules_are_linear_in_the_text():
     pii.base_spans("+1(" * 100_000)
 
 
-def lines(seed, n):
-    rng = random.Random(seed)
-    made = []
-    for _ in range(n):
-        w = [rng.choice(["and", "The", "tion", "of", "call", "4736"]) for _ in range(8)]
-        kind = rng.randrange(5)
-        value = (
-            f"{rng.choice('abc')}x.{rng.randint(1, 99)}@mail{rng.randint(1, 9)}.example.com",
-            ".".join(str(rng.randint(1, 255)) for _ in range(4)),
-            "4539578763621486",
-            f"+1 ({rng.randint(100, 999)}) 555-{rng.randint(1000, 9999)}",
-            "1234567890123456",
-        )[kind]
-        at = rng.randint(0, 8)
-        text = " ".join([*w[:at], value, *w[at:]])
-        begin = len(" ".join(w[:at])) + (at > 0)
-        spans = [] if kind == 4 else [(kind, begin, begin + len(value))]
-        made.append((text, spans))
-    return made
-
-
-def test_crf_finds_held_out_values_and_forms_the_rules_miss(spark):
-    train = spark.createDataFrame([(t, pii._join(s)) for t, s in lines(1, 150)], "line string, spans string")
-    crf = pii.train(train)
-    held = lines(2, 80)
+@pytest.fixture(scope="module")
+def crf(spark):
+    return pii.train(pii.examples(spark))
+
+
+def held_out(seed, n):
+    return [(t, [(pii.KINDS.index(k), a, b) for k, a, b in s]) for t, s in pii_examples.labelled(seed, n)]
+
+
+def test_crf_finds_held_out_values(crf):
+    held = held_out(77, 600)
     found = pii.added_spans(crf, [t for t, _ in held], [[] for _ in held])
-    # A card number has the shape of any number as long; its check digit is the rules' part.
-    card = pii.KINDS.index("card")
-    found = [[s for s in x if s[0] != card] for x in found]
-    due = [[s for s in x if s[0] != card] for _, x in held]
-    hits = sum(len(set(a) & set(b)) for a, b in zip(found, due, strict=True))
-    assert hits >= 0.9 * sum(map(len, due))
-    assert sum(map(len, found)) <= 1.05 * sum(map(len, due))
-    text = "call 1 (984) 555-5227 of The"
-    assert pii.added_spans(crf, [text], [[]]) == [[(3, 5, 21)]]
-    assert pii.added_spans(crf, ["no 12 value 7 here", ""], [[], []]) == [[], []]
+    for kind in range(len(pii.KINDS)):
+        due = {(i, s) for i, (_, spans) in enumerate(held) for s in spans if s[0] == kind}
+        got = {(i, s) for i, spans in enumerate(found) for s in spans if s[0] == kind}
+        assert len(due & got) >= 0.9 * len(due) > 50
+        assert len(due & got) >= 0.9 * len(got)
+
+
+FORMS = {
+    'la token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" ea': (4, 12, 52),
+    "call (984) 555-5227 of The": (3, 5, 19),
+    "mail ann.b [at] host.org now": (0, 5, 24),
+    "seen 4539.5787.6362.1486 once": (2, 5, 24),
+    "from 10 . 20 . 30 . 40 then": (1, 5, 22),
+}
+CLEAN = [
+    "Licensed under the Apache License, Version 2.0.", "General Public License, version 3.", "CC BY-NC 4.0.",
+    "no 12 value 7 here", "", "4736 (at) home", "on 2024-05-12 at 10:30", "x" * 5000 + "1" + "y" * 5000,
+]
+
+
+def test_crf_finds_forms_the_rules_miss_and_leaves_others_alone(crf):
+    texts = [*FORMS, *CLEAN]
+    assert not any(map(pii.base_spans, texts))
+    assert pii.added_spans(crf, texts, [[] for _ in texts]) == [*([s] for s in FORMS.values()), *([] for _ in CLEAN)]
+
+
+def test_values_far_apart_in_one_long_line_are_all_found(crf):
+    own, (kind, a, b) = next(iter(FORMS.items()))
+    for between in ("and of ", "7 ", "\n"):
+        text = own + " " + between * 2000
+        found = pii.added_spans(crf, [text * 5], [[]])[0]
+        assert [s for s in found if s[0] == kind] == [(kind, i * len(text) + a, i * len(text) + b) for i in range(5)]
+
+
+def test_long_lines_take_time_in_proportion(crf):
+    for unit in ("12 a@b ", "1", "@", "(at) ", "a.1"):
+        for x in pii.added_spans(crf, [unit * (200_000 // len(unit))], [[]])[0]:
+            assert x[1] < x[2]
+
+
+def test_crf_finds_secrets_of_the_given_documents(spark, crf):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    due = {(d, *m.span(1)) for d, t in texts.items() for m in re.finditer('token = "([0-9a-f]{40})"', t)}
+    found = pii.find(docs, crf).collect()
+    got = {(r["doc_id"], *map(int, s.split(":")[1:])) for r in found for s in r["spans"].split(",") if s[:6] == "secret"}
+    # Digits in a secret that pass for a card are the rules' span: what is left may be short.
+    cut = {(d, a, b) for d, a, b in due if pii.base_spans(texts[d][a:b])}
+    assert len((due - cut) & got) >= 0.95 * len(due - cut) > 5
+    assert sum(r["n_secret"] for r in found) == len(got)
+    assert all(re.search("(?i)token", texts[d][max(a - 60, 0) : a]) for d, a, _ in got)
 
 
 def test_decoding_is_the_best_path():
     rng = random.Random(3)
-    crf = pii.fit(lines(4, 30), rounds=10)
-    texts = [t for t, _ in lines(5, 6)] + ["", "a1"]
+    crf = pii.fit(held_out(4, 30), rounds=10)
+    texts = [t for t, _ in held_out(5, 6)] + ["", "a1"]
     features = [pii.tokens(t)[2] for t in texts]
     for x, path in zip(features, crf.decode(features), strict=True):
         emitted = crf.emissions(x)
@@ -109,11 +137,16 @@ def test_decoding_is_the_best_path():
             assert score(list(path)) >= score(other) - 1e-9
 
 
-def test_find_and_mask_handle_odd_rows(spark):
+def test_labelled_rows_may_be_odd(spark):
+    rows = [("x 1", ""), ("x 1", ""), (None, None), ("", None)]
+    crf = pii.train(spark.createDataFrame(rows, "line string, spans string").selectExpr("*", "1 AS kind"))
+    assert pii.added_spans(crf, ["a 12 b"], [[]]) == [[]]
+
+
+def test_find_and_mask_handle_odd_rows(spark, crf):
     texts = ["mail a.b@c-d.com, 10.0.0.256 10.0.0.25", "é +1 (017) 555-7713é", "4539 5787 6362 1486"]
     rows = documents() + [(200 + i, t) for i, t in enumerate(texts)] + [(200, texts[0]), (None, texts[1])]
     docs = frame(spark, rows)
-    crf = pii.train(pii.rule_labelled(docs))
     found = pii.find(docs, crf).collect()
     due = []
     for doc, text in rows:
