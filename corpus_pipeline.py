@@ -35,7 +35,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by the name of its kind."""
-    masked = pii.mask(docs, pii.train(pii.rule_labelled(docs)))
+    masked = pii.mask(docs, pii.train(pii.examples(spark)))
     return masked.withColumn("n_chars", F.length("text").cast("long"))
 
 
