@@ -45,12 +45,12 @@ class Rule:
 
 
 def write_digests(entries: Sequence[bytes], path: str) -> None:
-    """The file: number of entries, digests, text offsets (one more), texts."""
+    """The file: number of entries, length of the longest, digests, text offsets, texts."""
     entries = sorted(set(entries), key=lambda x: (xxhash.xxh64_intdigest(x), x))
     digests = np.array([xxhash.xxh64_intdigest(x) for x in entries], "<u8")
     sizes = np.array([0, *map(len, entries)], "<u8")
     with open(path, "wb") as out:
-        out.write(np.array([len(entries)], "<u8").tobytes())
+        out.write(np.array([len(entries), sizes.max()], "<u8").tobytes())
         out.write(digests.tobytes())
         out.write(np.cumsum(sizes, dtype="<u8").tobytes())
         out.write(b"".join(entries))
@@ -59,10 +59,10 @@ def write_digests(entries: Sequence[bytes], path: str) -> None:
 class DigestArray:
     def __init__(self, path: str):
         data = np.memmap(path, np.uint8, "r")
-        n = int(data[:8].view("<u8")[0])
-        self.digests = data[8 : 8 + 8 * n].view("<u8")
-        self.offsets = data[8 + 8 * n : 16 + 16 * n].view("<u8")
-        self.texts = data[16 + 16 * n :]
+        n, self.longest = (int(x) for x in data[:16].view("<u8"))
+        self.digests = data[16 : 16 + 8 * n].view("<u8")
+        self.offsets = data[16 + 8 * n : 24 + 16 * n].view("<u8")
+        self.texts = data[24 + 16 * n :]
 
     def contains(self, probes: Sequence[bytes]) -> np.ndarray:
         digests = np.array([xxhash.xxh64_intdigest(x) for x in probes], "<u8")
@@ -86,11 +86,17 @@ def _array(name: str) -> DigestArray:
     return _arrays[name]
 
 
-def _probes(host: str, path: str) -> list[bytes]:
-    """What may be listed: the host and those above it, and the host with its path."""
-    labels = host.split(".")
-    out = [".".join(labels[i:]).encode() for i in range(len(labels))]
-    return [*out, (host + path).encode()]
+def _probes(host: str, path: str, longest: int) -> list[bytes]:
+    """What may be listed: the host and those above it, and the host with its path.
+
+    What is longer than the longest entry is not in the list, so it is not made: a host
+    of many labels takes no more than that many probes.
+    """
+    raw, out = host.encode(), []
+    at = len(raw)
+    while at > 0 and (at := raw.rfind(b".", 0, at)) >= 0 and len(raw) - at - 1 <= longest:
+        out.append(raw[at + 1 :])
+    return [*out, *(x for x in (raw, raw + path.encode()) if len(x) <= longest)]
 
 
 def _blocked(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
@@ -99,7 +105,7 @@ def _blocked(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.Record
         hosts, paths = (batch.column(batch.schema.names.index(x)) for x in ("host", "path"))
         probes, row = [], []
         for i, (host, path) in enumerate(zip(hosts.to_pylist(), paths.to_pylist(), strict=True)):
-            own = _probes(host, path) if host else []
+            own = _probes(host, path, held.longest) if host else []
             probes += own
             row += [i] * len(own)
         hit = np.zeros(batch.num_rows, bool)

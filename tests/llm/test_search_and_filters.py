@@ -71,6 +71,10 @@ def test_urls(spark):
         "": ("", "", None, "allow"),
         None: ("", "", None, "allow"),
         "http://" + "x" * 50_000: ("x" * 50_000, "", None, "allow"),
+        "http://" + "a." * 50_000 + "net/y": ("a." * 50_000 + "net", "/y", None, "allow"),
+        "http://" + "a." * 50_000 + "free-bets.example.com": ("a." * 50_000 + "free-bets.example.com", "", None, "block"),
+        "http://c.net./bad/page": ("c.net.", "/bad/page", None, "allow"),
+        "http://" + "." * 50_000: ("." * 50_000, "", None, "allow"),
     }
     rows = [(i, u) for i, u in enumerate(cases)] + [(0, next(iter(cases))), (None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string")
@@ -84,6 +88,16 @@ def test_urls(spark):
     assert {r["verdict"] for r in url_filter.judge(pages.where("page_id = 9"), RULES, none).collect()} == {"allow"}
 
 
+def test_probes_are_all_that_may_be_listed():
+    rng = random.Random(4)
+    for _ in range(500):
+        host, path = ("".join(rng.choice("a.é") for _ in range(rng.randint(1, 9))) for _ in range(2))
+        labels, longest = host.split("."), rng.randint(0, 12)
+        due = {".".join(labels[i:]) for i in range(len(labels))} | {host + path}
+        due = {x.encode() for x in due if len(x.encode()) <= longest}
+        assert set(url_filter._probes(host, path, longest)) == due
+
+
 def test_a_digest_that_two_texts_share_blocks_only_the_listed_one(tmp_path, monkeypatch):
     monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda x: len(x))
     url_filter.write_digests([b"abc", b"abd", b"xy"], str(tmp_path / "d"))
