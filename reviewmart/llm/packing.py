@@ -12,6 +12,12 @@ sequence has tokens, whatever the corpus:
 4. what is left, the last ones among it, goes, longest first, where it leaves the
    least room.
 
+Patterns of three pieces put two together that best fit would part: many lengths below
+half a sequence pack better by them.  Where short pieces abound they fill any room, and
+patterns that use them up first are worse than best fit.  So steps 3 and 4 are done for
+several shares of the repeats, and the plan of the fewest sequences counts, among equals
+that of the largest share.
+
 A piece finds its place by its length and its rank among the pieces of that length.
 """
 
@@ -32,10 +38,12 @@ from pyspark.sql.window import Window
 from reviewmart.llm.bpe import encoder
 from reviewmart.llm.tasks import chunks, ship, spread, stage
 
-# Measured on log-normal lengths: with two pieces as many sequences as plain best fit
-# (0 to 0.3 % over the least possible), with three some 0.05 % more.
-CLASSES = 256
-PIECES_PER_PATTERN = 2
+# With patterns of two pieces the first one is over half a sequence, so best fit would
+# open a sequence for it too: they change nothing.
+CLASSES = 128
+PIECES_PER_PATTERN = 3
+# Parts of the patterns' repeats that are tried; with 0 best fit is alone.
+SHARES = (1.0, 0.95, 0.9, 0.8, 0.65, 0.5, 0.35, 0.2, 0.1, 0.05, 0.02, 0.0)
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -118,12 +126,19 @@ def patterns(total: int, most: int) -> list[tuple[int, ...]]:
     return out
 
 
-def pattern_repeats(counts: np.ndarray, most: int) -> list[tuple[tuple[int, ...], int]]:
-    """How often to use each pattern; counts[c] pieces are of class c (from 1)."""
+def pattern_repeats(
+    counts: np.ndarray, most: int, exact: bool = False
+) -> list[tuple[tuple[int, ...], int]]:
+    """How often to use each pattern; counts[c] pieces are of class c (from 1).
+
+    ``exact`` says that a class holds one length only.
+    """
     total = len(counts) - 1
-    # Lengths are below their class, by half of one on average, so two classes may
-    # sum to one too many: the last piece is chosen by its exact length.
-    all_patterns = [(total,), *(p for p in patterns(total + 1, most) if p[0] <= total)]
+    # Lengths are below their class, by half of one on average, so classes may sum to
+    # one too many: the last piece is chosen by its exact length.
+    fill = total if exact else total + 1
+    all_patterns = [(total,), *(p for p in patterns(fill, most) if p[0] < total or 1 < len(p))]
+    all_patterns = [p for p in all_patterns if p[0] <= total]
     matrix = np.zeros((total, len(all_patterns)))
     for j, pattern in enumerate(all_patterns):
         for c in pattern:
@@ -168,15 +183,35 @@ def plan(histogram: dict[int, int], limit: int) -> np.ndarray:
     counts = np.zeros(limit + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    pools, rows, sequences = _Pools(counts), [], 0
     classes = min(CLASSES, limit)
     unit = -(-limit // classes)
     classes = -(-limit // unit)
     of = -(-np.arange(limit + 1) // unit)
     by_class = np.bincount(of, counts, minlength=classes + 1).astype(np.int64)
+    repeats = pattern_repeats(by_class, PIECES_PER_PATTERN, exact=unit == 1)
+    least = -(-int(counts @ np.arange(limit + 1)) // limit)
+    best, fewest = None, None
+    for share in SHARES:
+        parts = [(pattern, int(n * share)) for pattern, n in repeats]
+        rows, sequences = _rows(counts, limit, unit, [x for x in parts if x[1]])
+        if fewest is None or sequences < fewest:
+            best, fewest = rows, sequences
+        if fewest == least:
+            break
+    if not best:
+        return np.zeros((0, 5), np.int64)
+    table = np.array(best, np.int64)
+    return table[np.lexsort((table[:, 1], table[:, 0]))]
+
+
+def _rows(
+    counts: np.ndarray, limit: int, unit: int, repeats: list[tuple[tuple[int, ...], int]]
+) -> tuple[list[tuple[int, ...]], int]:
+    """The plan's rows in any order, and its sequences: the patterns, then best fit."""
+    pools, rows, sequences = _Pools(counts), [], 0
     # Groups of equal open sequences: room left, first sequence, how many.
     opened: list[tuple[int, int, int]] = []
-    for pattern, repeat in pattern_repeats(by_class, PIECES_PER_PATTERN):
+    for pattern, repeat in repeats:
         groups = [(0, sequences, repeat)]  # filled, first sequence, how many
         sequences += repeat
         for c in pattern[:-1] if len(pattern) > 1 else pattern:
@@ -218,10 +253,7 @@ def plan(histogram: dict[int, int], limit: int) -> np.ndarray:
                     room[free - length] = []
                     insort(frees, free - length)
                 heapq.heappush(room[free - length], (first, m))
-    if not rows:
-        return np.zeros((0, 5), np.int64)
-    table = np.array(rows, np.int64)
-    return table[np.lexsort((table[:, 1], table[:, 0]))]
+    return rows, sequences
 
 
 def _place(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.RecordBatch]:

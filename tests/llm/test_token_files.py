@@ -95,6 +95,42 @@ def test_plan_is_close_to_the_least(seed):
     assert used <= 1.02 * -(-lengths.sum() // 2048) + 1
 
 
+@pytest.mark.parametrize(
+    ("histogram", "limit", "least"),
+    [
+        ({4: 600, 3: 1200}, 10, 600),
+        ({1000: 300, 524: 600}, 2048, 300),
+        ({n: 40 for n in range(400, 900)}, 2048, 6343),
+    ],
+)
+def test_patterns_pack_what_best_fit_alone_does_not(monkeypatch, histogram, limit, least):
+    def sequences(table):
+        left = dict(histogram)
+        for length, _, n, _, _ in table:
+            left[length] -= n
+        assert not any(left.values())
+        return (table[:, 2] + table[:, 3]).max()
+
+    assert least == -(-sum(length * n for length, n in histogram.items()) // limit)
+    used = sequences(packing.plan(histogram, limit))
+    assert used <= 1.02 * least
+    monkeypatch.setattr(packing, "pattern_repeats", lambda *a, **k: [])
+    assert sequences(packing.plan(histogram, limit)) > 1.03 * used
+
+
+def test_patterns_never_cost_a_sequence(monkeypatch):
+    rng = np.random.default_rng(1)
+    for spread in (0.4, 0.8, 1.2):
+        lengths = np.clip(rng.lognormal(6, spread, 3000).astype(int), 1, 2048)
+        histogram = {int(k): int(n) for k, n in zip(*np.unique(lengths, return_counts=True), strict=True)}
+        with_patterns = packing.plan(histogram, 2048)
+        with monkeypatch.context() as m:
+            m.setattr(packing, "pattern_repeats", lambda *a, **k: [])
+            alone = packing.plan(histogram, 2048)
+        used, without = ((t[:, 2] + t[:, 3]).max() for t in (with_patterns, alone))
+        assert used <= without
+
+
 def test_nnls_meets_the_conditions():
     rng = np.random.default_rng(0)
     for _ in range(20):
