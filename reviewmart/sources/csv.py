@@ -40,7 +40,7 @@ def read_csv(
     quoted field holds a line break, and the row is half of one.
 
     ``multi_line`` allows line breaks inside quoted fields.  The files are then read at
-    once, by as many tasks as without, and their lines written to ``folder`` or the scratch
+    once, by as many tasks as without, and chunks of their lines written to ``folder`` or the scratch
     folder; see :mod:`reviewmart.sources.csv_records`.  ``timestamp_format`` is for times
     not written year first.
 
@@ -106,7 +106,7 @@ def _data_records(
     """The text of every record but the headers, which all must have these names."""
     paths = [path] if isinstance(path, str) else path
     records = csv_records(spark, paths, folder)
-    first = records.where("record = 0")
+    first = records.where("first_record = 0 AND record = 0")
     if header is None:
         wrong = F.col("text") == ""
     else:

@@ -149,3 +149,40 @@ def test_a_staged_table_without_a_column_is_an_error(spark, tmp_path):
     # Another file has it: the older rows have none.
     spark.range(2).select(F.lit(1).alias("positive_review")).write.mode("append").parquet(path)
     assert tables.read_staged_reviews(spark, path).where("positive_review IS NULL").count() == 3
+
+
+def test_lines_are_neither_sorted_nor_shuffled_to_find_records(spark, tmp_path, monkeypatch):
+    (tmp_path / "r.csv").write_text(content(1, 50, "\n"))
+    staged, original = {}, csv_records.stage
+
+    def seen(df, label, *args, **kwargs):
+        staged[label] = plan_text(df)
+        return original(df, label, *args, **kwargs)
+
+    monkeypatch.setattr(csv_records, "stage", seen)
+    due = bag(spark_reads(spark, str(tmp_path)))
+    assert bag(csv.read_reviews(spark, str(tmp_path), multi_line=True)) == due
+    text = next(p for p in staged.values() if "Scan text" in p)
+    assert "Exchange" not in text and "Sort" not in text
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [1, 40, 300])
+def test_chunks_of_any_size_give_the_same_records(spark, tmp_path, monkeypatch, conf, end, size):
+    monkeypatch.setattr(csv_records, "CHUNK_BYTES", size)
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_bytes(content(10 + i, 80, end).encode())
+    due = bag(spark_reads(spark, str(tmp_path)))
+    conf(
+        spark__sql__files__maxPartitionBytes="500",
+        spark__sql__files__openCostInBytes="1",
+        spark__sql__execution__arrow__maxRecordsPerBatch="7",
+    )
+    assert bag(csv.read_reviews(spark, str(tmp_path), multi_line=True)) == due
+
+
+def test_many_quotes_in_one_record(spark, tmp_path):
+    text = '""' * 300_000 + "\n" + '"",""' * 100_000
+    (tmp_path / "r.csv").write_text(f'{HEADER}\n1,"{text}",2\n')
+    found = csv.read_reviews(spark, str(tmp_path), multi_line=True).select(F.length("review_str")).first()
+    assert found[0] == len(text.replace('""', '"'))
