@@ -23,8 +23,12 @@ from pyspark.sql import functions as F
 from reviewmart.schemas import LOG_RECORD, PURCHASES
 
 
+def path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir}/{name}.parquet"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(path(sf_dir, name))
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmart import jobs
@@ -14,6 +14,7 @@ from reviewmart.checks import inputs
 from reviewmart.plans import dims, facts, staging
 from reviewmart.quality import row_count
 from reviewmart.scratch import scratch_folder, scratch_path, stage
+from reviewmart.session import sized_for
 from reviewmart.sinks import writers
 from reviewmart.sources import csv, tables
 
@@ -30,13 +31,24 @@ def _table_name(label: str) -> str:
     return f"reviewmart_{label}_{uuid.uuid4().hex}"
 
 
+def _write_purchases_csv(
+    spark: SparkSession, sf_dir: str, path: str, detail: Column | None = None
+) -> None:
+    """The raw delivery; the join that makes it moves both its tables."""
+    rows = inputs.purchases(spark, sf_dir)
+    if detail is not None:
+        rows = rows.withColumn("detail", detail)
+    with sized_for(spark, [inputs.path(sf_dir, t) for t in ("lineitem", "orders")]):
+        writers.write_csv(rows, path)
+
+
 # Sources, landing, export
 
 
 def load_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _table_name("purchases")
     with scratch_folder(spark, "purchases-csv") as path:
-        writers.write_csv(inputs.purchases(spark, sf_dir), path)
+        _write_purchases_csv(spark, sf_dir, path)
         jobs.load_purchases(spark, path, name, scratch_path(spark, "purchases"))
     return tables.read_table(spark, name)
 
@@ -270,7 +282,7 @@ def mart_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"CREATE DATABASE {mart.database} LOCATION '{place}/database'")
     with scratch_folder(spark, "mart-files") as root:
         raw, staged = f"{root}/raw", f"{root}/staged"
-        writers.write_csv(inputs.purchases(spark, sf_dir), f"{raw}/purchases")
+        _write_purchases_csv(spark, sf_dir, f"{raw}/purchases")
         writers.write_csv(inputs.reviews(spark, sf_dir), f"{raw}/reviews")
         writers.write_csv(inputs.more_reviews(spark, sf_dir), f"{raw}/more_reviews")
         _write_log_csv(spark, sf_dir, f"{raw}/logs")
@@ -295,10 +307,9 @@ def mart_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = scratch_path(spark, "mart")
     mart = jobs.Warehouse(_table_name("mart"), location=f"{place}/tables")
     spark.sql(f"CREATE DATABASE {mart.database} LOCATION '{place}/database'")
-    broken = F.expr("concat(detail, '\n', '\"', stock_code, '\r\n,')").alias("detail")
+    broken = F.expr("concat(detail, '\n', '\"', stock_code, '\r\n,')")
     with scratch_folder(spark, "mart-files") as root:
-        rows = inputs.purchases(spark, sf_dir).withColumn("detail", broken)
-        writers.write_csv(rows, f"{root}/raw")
+        _write_purchases_csv(spark, sf_dir, f"{root}/raw", broken)
         landed = _table_name("landed")
         jobs.load_purchases(spark, f"{root}/raw", landed, f"{root}/landed", multi_line=True)
         jobs.export_purchases(spark, landed, f"{root}/export")
