@@ -13,8 +13,10 @@ is indexed under
 and every similar pair meets under a key.  What meets is verified on whole sets.
 
 Two exact bounds keep what meets few.  At its first common shingle a pair shares no more
-than what stands from there on in either set, so a row of the join has both places and is
-dropped where that is too little: similar pairs pass at their first key.  And of every set
+than what stands from there on in either set, so a row of the index has its place and its
+set's size, and goes where no other set under its key leaves enough: similar pairs pass at
+their first key, and most that share a shingle by chance never enter the index, however many
+documents there are to share it with.  Only one row of equal sets enters.  And of every set
 512 parities are kept, of the shingles that hash to each: where they differ, the sets do,
 so sets whose parities differ in more places than similar ones may are not similar.  What is
 left is tested by more parities, two to four for each shingle, before texts are fetched.
@@ -64,6 +66,8 @@ FREQUENT, LOCAL, COUNTED, MAX_FREQUENT = 1000, 4, 1 << 20, 1 << 16
 MINHASHES = 4
 # Words of 64 parities.
 PARITIES = 8
+# Sets under a key whose pairs are tested before they enter the index; more enter untested.
+MEETING = 32
 # Pairs, and bytes of compressed texts, that are unpacked together.
 PAIRS, PAIR_BYTES = 64, 1 << 20
 ONE = np.uint64(1)
@@ -236,7 +240,7 @@ def _index(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[
                     new[i] = True
             keys, docs, places = index_keys(hashes, bounds, frequent)
             keys, docs, places = (x[new[docs]] for x in (keys, docs, places))
-            ids = part.column(0).take(pa.array(docs))
+            sets, n = names[docs, 0].view(np.int64), np.diff(bounds)[docs].astype(np.int32)
             for low in range(0, len(keys), 1 << 16):
                 own = slice(low, low + (1 << 16))
                 if low == 0:
@@ -245,14 +249,38 @@ def _index(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[
                     [
                         pa.array(keys[own].view(np.int64)),
                         pa.array(flag[own]),
-                        ids.slice(low, 1 << 16),
+                        pa.array(sets[own]),
                         pa.array(places[own].astype(np.int32)),
+                        pa.array(n[own]),
                     ],
-                    names=["key", "flag", "doc_id", "place"],
+                    names=["key", "flag", "s1", "place", "n"],
                 )
     give_back()
 
 
+def _may_meet(batch: pa.RecordBatch, group: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Places of the rows that may be a similar pair's first meeting, one of each set."""
+    s1, place, n = (batch.column(x).to_numpy().astype(np.int64) for x in ("s1", "place", "n"))
+    at = np.lexsort((place, s1, group))
+    new = np.ones(len(at), bool)
+    new[1:] = (group[at[1:]] != group[at[:-1]]) | (s1[at[1:]] != s1[at[:-1]])
+    at = at[new]
+    group, place, n = group[at], place[at], n[at]
+    group = group - group[0]
+    keep = known[at] | (np.bincount(group)[group] > MEETING)
+    for step in range(1, MEETING):
+        a = np.flatnonzero(group[step:] == group[:-step])
+        if not len(a):
+            break
+        b = a + step
+        total = (n[a] + n[b]) * PERCENT
+        may = (n[a] * 100 >= n[b] * PERCENT) & (n[b] * 100 >= n[a] * PERCENT)
+        for x in (a, b):
+            may &= (n[x] - place[x]) * (100 + PERCENT) >= total
+        keep[a[may]] = keep[b[may]] = True
+    return at[keep]
+
+
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Parts of few pairs and few bytes; a longer pair is a part of its own."""
     size = sum(pc.binary_length(batch.column(i)).to_numpy().astype(np.int64) for i in (2, 3))
@@ -363,16 +391,17 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
     # Rows without an id go first: they must not stand in for equal sets of others.
     keyed = docs.where("doc_id IS NOT NULL").mapInArrow(
-        partial(_index, frequent=frequent), "key long, flag byte, doc_id long, place int"
+        partial(_index, frequent=frequent), "key long, flag byte, s1 long, place int, n int"
     )
-    found = repeated(keyed)
-    found = found.join(of_doc.select("doc_id", "rep").distinct(), "doc_id")
-    index = found.groupBy("key", "rep").agg(F.min("place").alias("place"))
-    index = stage(index, "index", folder)
+    index = stage(repeated(keyed, _may_meet).drop("n"), "index", folder)
 
-    # Texts of the documents that meet another one, fetched once.
-    meeting = index.select(F.col("rep").alias("doc_id")).distinct()
-    texts = stage(zipped(docs).join(meeting, "doc_id", "semi"), "met-texts", folder)
+    def verified(pairs: DataFrame, label: str) -> DataFrame:
+        """The similar pairs; only texts of documents in pairs are moved to them."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        texts = stage(zipped(docs).join(ids, "doc_id", "semi"), f"{label}-texts", folder)
+        links = stage(_verified(pairs, texts), label, folder)
+        forget(f"{label}-texts")
+        return links
 
     alone = F.count("*") == 1  # else several sets are one document
     sized = classes.groupBy("rep").agg(
@@ -387,22 +416,24 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     stars = hashed.join(heads.where("c > 1"), ["j", "m"]).where("a <> rep")
     stars = stars.select("a", F.col("rep").alias("b")).distinct()
     stars = stage(_near(stars, sized), "stars", folder)
-    links = stage(_verified(stars, texts), "star-links", folder)
+    links = verified(stars, "star-links")
     same = of_doc.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     # A document with several texts ties their classes together.
     ties = stage(links.union(same), "ties", folder)
     known = components(ties, f"{folder}/known")
 
-    labelled = index.join(known.withColumnRenamed("id", "rep"), "rep", "left")
-    labelled = labelled.select("key", "rep", "place", F.coalesce("component", "rep").alias("c"))
-    labelled = stage(labelled, "labelled", folder)
+    labelled = classes.select("s1", "rep").join(known.withColumnRenamed("id", "rep"), "rep", "left")
+    labelled = labelled.select("s1", "rep", F.coalesce("component", "rep").alias("c"))
+    labelled = stage(index.join(labelled, "s1").drop("s1"), "labelled", folder)
     forget("index")
     # Dealt by key once, for the keys' components and for the join with them.
     labelled = labelled.repartition("key")
     mixed_keys = labelled.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"))
     mixed_keys = mixed_keys.where("x < y").select("key")
-    open_ = labelled.join(mixed_keys, "key").join(sized.drop("sketch"), "rep")
-    open_ = stage(open_, "open", folder)
+    # A set that one task holds with its key and others without may have come twice.
+    open_ = labelled.join(mixed_keys, "key").groupBy("key", "rep")
+    open_ = open_.agg(F.min("place").alias("place"), F.first("c").alias("c"))
+    open_ = stage(open_.join(sized.drop("sketch"), "rep"), "open", folder)
     forget("labelled")
     a, b = open_.alias("a"), open_.alias("b")
     same_key = (F.col("a.key") == F.col("b.key")) & F.expr("a.c < b.c")
@@ -410,8 +441,8 @@ def near_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     pairs = met.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
     pairs = stage(_near(pairs, sized), "near-pairs", folder)
     forget("open")
-    more = stage(_verified(pairs, texts), "links-rest", folder)
-    for label in ("met-texts", "near-pairs", "classes", "doc-classes"):
+    more = verified(pairs, "links-rest")
+    for label in ("near-pairs", "classes", "doc-classes"):
         forget(label)
     final = components(ties.union(more), f"{folder}/final")
     joined = sets.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import documents, frame, split
 
@@ -123,6 +124,54 @@ def test_many_near_copies_that_are_not_similar(spark, monkeypatch):
     assert sorted(map(tuple, found), key=str) == due(rows)
 
 
+def test_chance_meetings_and_copies_stay_out_of_the_index(spark, monkeypatch):
+    """Texts of too different sizes share a shingle, others are copies: nothing is left to meet."""
+    counts = {}
+
+    def counted(df, label, folder=None):
+        table = tasks.stage(df, label, folder)
+        counts[label] = table.count()
+        return table
+
+    monkeypatch.setattr(jaccard_join, "stage", counted)
+    far = [(i, " ".join(["all of them share this", *(f"w{i}x{j}" for j in range(12 * 2**i))])) for i in range(4)]
+    copies = [(10 + i, " ".join(f"copy{j}" for j in range(50))) for i in range(20)]
+    found = jaccard_join.near_duplicates(frame(spark, far + copies)).collect()
+    assert sorted(map(tuple, found), key=str) == due(far + copies)
+    assert counts["index"] == 0
+
+
+def test_rows_that_may_be_first_meetings():
+    rng = np.random.default_rng(4)
+    for trial in range(200):
+        m = int(rng.integers(1, 60))
+        group = np.sort(rng.integers(0, 1 + trial % 20, m))
+        s1 = rng.integers(0, 1 << 40, m)
+        s1[rng.random(m) < 0.3] = 7
+        n = np.where(s1 == 7, 40, rng.integers(5, 80, m))
+        place = np.where(s1 == 7, 5, rng.integers(0, 20, m) * n // 80)
+        known = np.isin(group, [3])
+        names = ["key", "flag", "s1", "place", "n"]
+        columns = [group, np.zeros(m, np.int8), s1, place.astype(np.int32), n.astype(np.int32)]
+        batch = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
+        stay = jaccard_join._may_meet(batch, group, known)
+        assert len({(group[i], s1[i]) for i in stay}) == len(stay)
+        found = {(group[i], s1[i]) for i in stay}
+        every = set(zip(group.tolist(), s1.tolist(), strict=True))
+        may = {
+            (group[i], s1[i])
+            for i in range(m)
+            if known[i] or any(
+                group[i] == group[j] and s1[i] != s1[j] and min(n[i], n[j]) * 100 >= 75 * max(n[i], n[j])
+                and min(n[i] - place[i], n[j] - place[j]) * 175 >= 75 * (n[i] + n[j])
+                for j in range(m)
+            )
+        }
+        crowded = {g for g in set(group.tolist()) if sum(g == x for x, _ in every) > jaccard_join.MEETING}
+        assert {x for x in found if x[0] not in crowded} == {x for x in may if x[0] not in crowded}
+        assert all(x in found for x in every if x[0] in crowded)
+
+
 def test_one_of_each_keeps_all_columns(spark):
     rows = documents() + ODD
     docs = frame(spark, rows)
