@@ -2,17 +2,55 @@
 
 The tokenizer drops white space, so no token holds any: a text's ids are those of
 its pieces between ASCII white space, one after the other.
+
+Most of a new word's time goes into the tokenizer's normal forms and split rule.  Of
+words of plain characters (visible ASCII and the letters of Latin-1) both are known
+beforehand, if the tokenizer's are those in ``FORMS``: such characters are composed and
+blank-free, so they are lower-cased and split here, and only distinct parts go to the
+tokenizer's model.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from itertools import chain
 
 import numpy as np
 
 # Words a worker keeps before it starts anew; some 200 MB.
 KEPT_WORDS = 1_000_000
 
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+FORMS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+# The split rule over lower-cased plain characters.
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+# A letter of Latin-1 is two bytes; the byte level writes these bytes as characters from U+0100 on.
+BYTES = [*range(33), *range(127, 161), 173]
+BYTE_LEVEL = {
+    i: "".join(chr(256 + BYTES.index(x)) if x in BYTES else chr(x) for x in chr(i).encode())
+    for i in range(0xC0, 0x100)
+}
+
 
 class WordEncoder(dict):
     """A word's number in order of first sight; ids by number."""
@@ -22,6 +60,12 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        # Plain words with an added token in them, which goes before any split, are not.
+        added = [x["content"] for x in made["added_tokens"]]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        known = all(made[x] == form for x, form in FORMS.items())
+        self.model = self.tokenizer.model if known else None
         self.forget()
 
     def forget(self) -> None:
@@ -35,17 +79,38 @@ class WordEncoder(dict):
         number = self[word] = len(self)
         return number
 
+    def ids_of(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word."""
+
+        parts = [
+            PARTS.findall(x.lower())
+            if self.model and PLAIN.fullmatch(x) and not self.added.search(x)
+            else None
+            for x in words
+        ]
+        rest = [x for x, own in zip(words, parts, strict=True) if own is None]
+        others = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        known: dict[str, list[int]] = {}
+        out = []
+        for own in parts:
+            if own is None:
+                out.append(next(others).ids)
+                continue
+            for part in own:
+                if part not in known:
+                    tokens = self.model.tokenize(part.translate(BYTE_LEVEL))
+                    known[part] = [token.id for token in tokens]
+            out.append(known[own[0]] if len(own) == 1 else [i for x in own for i in known[x]])
+        return out
+
     def learn(self) -> None:
         known = len(self) - len(self.new)
         end = int(self.ends[known - 1]) if known else 0
         words = [w.decode("utf-8") for w in self.new]
         for low in range(0, len(words), 4096):
-            found = self.tokenizer.encode_batch_fast(
-                words[low : low + 4096], add_special_tokens=False
-            )
-            ids = [x.ids for x in found]
+            ids = self.ids_of(words[low : low + 4096])
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
             while len(self.ids) < end + len(flat):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             while len(self.ends) < known + len(sizes):

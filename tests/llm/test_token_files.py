@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +13,7 @@ import pytest
 from cases import documents, frame
 from tokenizers import Tokenizer
 
-from reviewmart.llm import packing, token_store
+from reviewmart.llm import bpe, packing, token_store
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [(5, "b"), (5, "a"), (5, "a"), (None, "none"), (9, "<|endoftext|>x 's \u0301 \u00e9")]
@@ -139,3 +142,39 @@ def test_nnls_meets_the_conditions():
         gradient = a.T @ (b - a @ x)
         assert (x >= 0).all() and (gradient <= 1e-6).all()
         assert abs(gradient[x > 0]).max(initial=0) < 1e-6
+
+
+def test_plain_words_go_to_the_model_alone():
+    whole = bpe.WordEncoder(PATH)
+    rng = random.Random(5)
+    plain = "aAzZ09.,'sStTrReEvVmMlLdD<|>_-!~\"&ÀßÖöÿÞðñéÉ"
+    others = "µ²ªİΣςıſ¼ⅷ÷×\u0301\u0085ǅ中"
+    words = ["".join(rng.choices(plain, k=rng.randint(1, 9))) for _ in range(5000)]
+    odd = ["".join(rng.choices(plain + others, k=rng.randint(1, 9))) for _ in range(5000)]
+    words += ["don't", "IT'S", "x'LLy", "'", "''s", "<|ENDOFTEXT|>", "end.of,text"]
+    odd += ["x<|startoftext|>y", "<|endoftext|>", "'ſ"]
+    for texts in (words, odd, []):
+        due = [x.ids for x in whole.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        assert whole.ids_of(texts) == due
+    whole.tokenizer = None
+    with pytest.raises(AttributeError):
+        whole.ids_of(odd)
+
+    class Nothing:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            assert texts == []
+            return []
+
+    whole.tokenizer = Nothing()
+    assert all(whole.ids_of(words))
+
+
+def test_words_of_another_tokenizer_are_not_split_here(tmp_path):
+    made = json.loads(Path(PATH).read_text())
+    made["normalizer"]["normalizers"].pop()  # keeps capitals
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(made))
+    other = bpe.WordEncoder(str(path))
+    words = ["Plain", "WORDS,", "don't"]
+    due = [x.ids for x in other.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    assert other.model is None and other.ids_of(words) == due
