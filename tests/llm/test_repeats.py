@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import documents, frame, split
 
@@ -133,3 +134,26 @@ def test_backward_search_counts_occurrences():
                 low, high = index.extend(np.array([symbol]), low, high)
             n = sum(text[i : i + len(pattern)] == pattern for i in range(len(text)))
             assert high[0] - low[0] == n
+
+
+def test_windows_of_many_texts_are_laid_out_at_once():
+    rng = np.random.default_rng(3)
+    places, sizes, due = [], [], []
+    for i in range(70):
+        n = int(rng.integers(0, 300)) if i % 5 else 0
+        sizes.append(n)
+        rows, at = [], 0
+        while n - at >= 20:
+            m = int(min(rng.integers(1, 20), n - at - 9))
+            hits = np.packbits(rng.random(m) < 0.2).tobytes()
+            rows.append({"start": at, "hits": hits})
+            at += m
+        places.append(rows if i % 7 else None)
+        due.append(repeats.covered(places[-1], n, 10))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("hits", pa.binary())]))
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    whole = pa.array([None, *places, None], kind)
+    found = suffix_dedup.gone_bytes(whole.slice(1, 70), offsets, 10)
+    assert found.tolist() == np.concatenate(due).tolist()
+    # None of the windows is a Python object of its own.
+    assert "to_pylist" not in suffix_dedup._strip.__code__.co_names
