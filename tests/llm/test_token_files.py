@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -178,3 +179,47 @@ def test_words_of_another_tokenizer_are_not_split_here(tmp_path):
     words = ["Plain", "WORDS,", "don't"]
     due = [x.ids for x in other.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
     assert other.model is None and other.ids_of(words) == due
+
+
+def test_words_are_told_apart_in_a_table_of_their_bytes(monkeypatch):
+    words = [b"a", b"a\0", b"a\0\0", b"\0", "é".encode(), b"<|endoftext|>"]
+    words += [b"x" * n for n in range(1, 40)] + [b"y" * 7 + bytes([n]) for n in range(33, 120)]
+    words += [b"w%d" % n for n in range(200_000)]  # the table grows
+    texts = [b" ".join(words), b"", b" ", b"\n".join(reversed(words[:500])), b"w7 w7"]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    kept = bpe.Words()
+    starts, ends, _ = bpe.word_bounds(data, offsets)
+    number, new = kept.numbers(data, starts, ends)
+    raw = data.tobytes()
+    first = {}
+    for i, (a, b) in enumerate(zip(starts, ends, strict=True)):
+        assert first.setdefault(raw[a:b], number[i]) == number[i]
+    assert sorted(first.values()) == list(range(len(first)))
+    assert [first[raw[starts[i] : ends[i]]] for i in new] == list(range(len(first)))
+    again, none = kept.numbers(data, starts, ends)
+    assert (again == number).all() and none == []
+
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 100)
+    whole = bpe.WordEncoder(PATH)
+    texts = [x.decode() for x in texts[1:]] + [f"don't {n} Œuvre" for n in range(300)]
+    for low in range(0, len(texts), 50):
+        part = [x.encode() for x in texts[low : low + 50]]
+        offsets = np.cumsum([0, *map(len, part)])
+        ids, at = whole.encode(np.frombuffer(b"".join(part), np.uint8), offsets, 9)
+        due = whole.tokenizer.encode_batch_fast(texts[low : low + 50], add_special_tokens=False)
+        assert [x.tolist() for x in np.split(ids, at[1:-1])] == [[*x.ids, 9] for x in due]
+
+
+def test_kept_words_take_little_memory():
+    rng = np.random.default_rng(2)
+    whole = bpe.WordEncoder(PATH)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    tracemalloc.start()
+    for _ in range(3):
+        data = letters[rng.integers(0, 26, 1_000_000)]
+        data[9::10] = 32
+        whole.encode(data, np.array([0, len(data)]), 0)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert whole.words.count > 290_000 and held / whole.words.count < 110
