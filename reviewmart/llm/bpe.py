@@ -24,7 +24,7 @@ from itertools import chain
 
 import numpy as np
 
-from reviewmart.llm.tasks import MIX, MIX2, mixed, word_bounds
+from reviewmart.llm.tasks import MIX, MIX2, give_back, mixed, word_bounds
 
 # Words a worker keeps before it starts anew; some 40 MB.
 KEPT_WORDS = 650_000
@@ -168,6 +168,8 @@ class WordEncoder:
         self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         known = all(made[x] == form for x, form in FORMS.items())
         self.model = self.tokenizer.model if known else None
+        del made
+        give_back()  # the vocabulary as JSON takes more than the tokenizer
         self.forget()
 
     def forget(self) -> None:

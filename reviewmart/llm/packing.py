@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from reviewmart.llm.bpe import encoder
-from reviewmart.llm.tasks import chunks, ship, spread, stage
+from reviewmart.llm.tasks import chunks, give_back, ship, spread, stage
 
 # With patterns of two pieces the first one is over half a sequence, so best fit would
 # open a sequence for it too: they change nothing.
@@ -73,6 +73,7 @@ def _cut(
                 ],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+    give_back()
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, last_id: int, limit: int) -> DataFrame:

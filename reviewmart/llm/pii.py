@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmart.llm import pii_examples
-from reviewmart.llm.tasks import chunks, ship
+from reviewmart.llm.tasks import chunks, give_back, ship
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 RULED = 4  # kinds the rules know
@@ -453,6 +453,7 @@ def _mask(batches: Iterator[pa.RecordBatch], crf: Crf, text: int) -> Iterator[pa
         columns = list(batch.columns)
         columns[text] = pa.array(texts, batch.schema.field(text).type)
         yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+    give_back()
 
 
 def mask(docs: DataFrame, crf: Crf) -> DataFrame:

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import documents, frame
 from tokenizers import Tokenizer
@@ -223,3 +224,11 @@ def test_kept_words_take_little_memory():
     held = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert whole.words.count > 290_000 and held / whole.words.count < 110
+
+
+def test_a_packing_task_gives_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(packing, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words"])], names=["a", "b"])
+    (out,) = packing._cut(iter([batch]), PATH, 0, 2048)
+    assert out.num_rows == 1 and calls == [1]
