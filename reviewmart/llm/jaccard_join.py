@@ -7,8 +7,10 @@ overlap in t shingles share their least common one within the first n - t + 1 of
 is indexed under
 
 - each rare shingle of its prefix, and
-- each combination of two frequent ones, the first in the prefix, the second in the
-  extended one: if the least common shingle is frequent, so is the next one;
+- if it is small, each combination of two frequent ones, the first in the prefix, the second
+  in the extended one: if the least common shingle is frequent, so is the next one;
+- if not, each frequent one of its prefix, as combinations grow with the square of a set's
+  size; sizes from which on a similar set may be on the other side have both;
 
 and every similar pair meets under a key.  What meets is verified on whole sets.
 
@@ -59,10 +61,11 @@ from reviewmart.scratch import delete_folder, scratch_path
 
 SIZE = 5
 PERCENT = 75
-# Shingles of so many documents are indexed in combinations.  Which ones are frequent
+# Shingles of so many documents are indexed in combinations, by sets of up to COMBINED.  Which ones are frequent
 # changes the work, not the result, so counts below LOCAL in a million shingles of a
 # task are not summed, and of the frequent ones the first MAX_FREQUENT count as such.
 FREQUENT, LOCAL, COUNTED, MAX_FREQUENT = 1000, 4, 1 << 20, 1 << 16
+COMBINED = 64
 MINHASHES = 4
 # Words of 64 parities.
 PARITIES = 8
@@ -211,9 +214,11 @@ def index_keys(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray):
     hashes, often = hashes[order], often[order]
     rank = np.arange(len(hashes)) - bounds[doc]
     prefix = (n - least_overlap(n) + 1)[doc]
-    single = (rank < prefix) & ~often
+    # A set that is similar to one of more than COMBINED has more than so many itself.
+    large, small = n * 100 > COMBINED * PERCENT, n <= COMBINED
+    single = (rank < prefix) & (~often | large[doc])
     keys, docs, places = [hashes[single] & ~ONE], [doc[single]], [rank[single]]
-    left = np.flatnonzero((rank < prefix) & often)
+    left = np.flatnonzero((rank < prefix) & often & small[doc])
     for i in np.unique(doc[left]):
         own = left[np.searchsorted(doc[left], i) : np.searchsorted(doc[left], i, "right")]
         extended = hashes[own[0] : min(own[-1] + 2, bounds[i + 1])]

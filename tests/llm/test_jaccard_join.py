@@ -101,6 +101,42 @@ def test_combinations_of_frequent_shingles_find_all_pairs():
         assert differ <= len(x) + len(y) - 2 * both and differ % 2 == (len(x) + len(y)) % 2
 
 
+def test_index_of_sets_of_frequent_shingles_grows_with_their_size():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(rng.integers(30, 120))
+        x = 2 * np.sort(rng.choice(1000, n, replace=False)).astype(np.uint64)
+        gone = rng.choice(n, int(rng.integers(0, n // 4 + 1)), replace=False)
+        y = np.delete(x, gone)
+        own = 2 * rng.choice(np.arange(1000, 2000), int(rng.integers(0, n // 8)), replace=False).astype(np.uint64)
+        y = np.sort(np.append(y, own))
+        both = n - len(gone)
+        frequent = 2 * np.arange(2000 if rng.random() < 0.5 else 900).astype(np.uint64)
+        hashes, bounds = np.concatenate([x, y]), np.array([0, n, n + len(y)])
+        keys, docs, places = jaccard_join.index_keys(hashes, bounds, frequent)
+        assert len(keys) <= 400
+        if 100 * both >= 75 * (n + len(y) - both):
+            sides = [dict(zip(keys[docs == i].tolist(), (m - places[docs == i]).tolist(), strict=True)) for i, m in enumerate((n, len(y)))]
+            shared = sides[0].keys() & sides[1].keys()
+            assert any(min(s[k] for s in sides) * 175 >= 75 * (n + len(y)) for k in shared)
+    large = 2 * np.arange(4000).astype(np.uint64)
+    assert len(jaccard_join.index_keys(large, np.array([0, 4000]), large)[0]) == 1001
+
+
+def test_near_copies_of_large_frequent_texts(spark, monkeypatch):
+    """All shingles are frequent, sizes lie on both sides of those with combinations."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 2)
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(120):
+        word = [f"w{j}" for j in range(int(rng.integers(45, 95)))]
+        for j in rng.choice(len(word), int(rng.integers(0, 3)), replace=False):
+            word[j] = f"other{j}"
+        rows.append((i, " ".join(word)))
+    found = jaccard_join.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(map(tuple, found), key=str) == due(rows)
+
+
 def test_texts_are_compared_in_small_parts(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PAIR_BYTES", 300)
     monkeypatch.setattr(jaccard_join, "PAIRS", 3)
