@@ -21,7 +21,7 @@ their first key, and most that share a shingle by chance never enter the index,
 documents there are to share it with.  Only one row of equal sets enters.  And of every set
 512 parities are kept, of the shingles that hash to each: where they differ, the sets do,
 so sets whose parities differ in more places than similar ones may are not similar.  What is
-left is tested by more parities, two to four for each shingle, before texts are fetched.
+left is tested by more parities, one to two for each shingle, before texts are fetched.
 
 Components are asked for, not pairs, so big groups are never expanded: equal sets are
 one class, and classes with an equal MinHash value are first verified against that
@@ -136,11 +136,11 @@ def _parities(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
 
 
 def _sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """Parities of each set, their number the power of two from twice its size."""
+    """Parities of each set, their number the power of two from its size."""
     place = mixed(hashes ^ _seed(19)).view(np.int64)
     out = []
     for low, high in zip(bounds, bounds[1:], strict=False):
-        bits = max(64, 2 << int(high - low - 1).bit_length()) if high > low else 64
+        bits = max(64, 1 << int(high - low - 1).bit_length()) if high > low else 64
         odd = np.bincount(place[low:high] & (bits - 1), minlength=bits) & 1
         out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
     return out
