@@ -103,6 +103,24 @@ def test_windows_in_prefix_order_are_cut_where_they_differ(length):
             assert (strings[a] == strings[b]) == (not cut[a + 1 : b + 1].any())
 
 
+@pytest.mark.parametrize("length", [3, 7, 8, 9, 20, 100])
+def test_boundaries_from_packed_strings_cut_the_same_windows(length):
+    rng = np.random.default_rng(length)
+    for trial in range(90):
+        pieces = [rng.integers(1, 257 if trial % 5 == 0 else 2 + trial % 4, rng.integers(1, 60)) for _ in range(4)]
+        pieces += [np.tile(pieces[0], 8), np.append(pieces[1], pieces[0]), pieces[2]]
+        text = np.concatenate([np.append(x, 0) for x in pieces])
+        key = suffix_dedup.packed(text)
+        order = suffix_dedup.prefix_order(text, length, key)
+        assert order.tolist() == suffix_dedup.prefix_order(text, length).tolist()
+        cut = suffix_dedup.boundaries(text[order - 1], length, key[order])
+        padded = [*text.tolist(), *[0] * length]
+        strings = [tuple(padded[i : i + length]) for i in order]
+        whole = [a for a, s in enumerate(strings) if 0 not in s]
+        for a, b in zip(whole, whole[1:], strict=False):
+            assert (strings[a] == strings[b]) == (not cut[a + 1 : b + 1].any())
+
+
 def test_boundaries_against_plain_comparison():
     rng = np.random.default_rng(0)
     for trial in range(60):
